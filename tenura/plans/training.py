@@ -34,10 +34,10 @@ def feature_names(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return numeric_columns(df, [LABEL, WEIGHT, *exclude])
 
 
-def key_hash(key: str, seed: int = SEED, salt: int = 7919) -> Column:
+def key_hash(key: str, seed: int = SEED, salt: int = 8837) -> Column:
     """Integer in [0, HASH_MODULUS) from an integer key: the same wherever a row is."""
     k = F.pmod(F.col(key), F.lit(HASH_MODULUS))
-    return F.pmod(k * k * salt + k * 104729 + seed, F.lit(HASH_MODULUS))
+    return F.pmod(k * k * salt + k * 31013 + seed, F.lit(HASH_MODULUS))
 
 
 def split_by_hash(df: DataFrame, key: str, test_share: float, seed: int = SEED) -> DataFrame:
@@ -89,7 +89,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float, see
 
 def with_folds(df: DataFrame, key: str, folds: int = 5, seed: int = SEED) -> DataFrame:
     """Shuffled fold number by key hash; every class is spread over all folds."""
-    return df.withColumn(FOLD, F.pmod(key_hash(key, seed, salt=6151), F.lit(folds)).cast("int"))
+    return df.withColumn(FOLD, F.pmod(key_hash(key, seed, salt=5417), F.lit(folds)).cast("int"))
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
