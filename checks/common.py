@@ -6,6 +6,7 @@ same parquet tables, without the library's one-pass and block-wise forms.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -352,7 +353,12 @@ _ALL = {
 
 def sql(prelude: str, body: str, *more: str) -> str:
     """A query on top of the named prelude; ``more`` holds further ``name AS (...)`` parts."""
-    return "WITH " + ",\n".join([*_ALL[prelude], *more]) + "\n" + body
+    return exact_means("WITH " + ",\n".join([*_ALL[prelude], *more]) + "\n" + body)
+
+
+def exact_means(text: str) -> str:
+    """Means of whole numbers as sum / count: correctly rounded, unlike AVG here."""
+    return re.sub(r"AVG\(([^()]+)\)", r"(CAST(SUM(\1) AS DOUBLE) / COUNT(\1))", text)
 
 
 # --- tail probabilities by quadrature: SQL engines have no such functions -----------
