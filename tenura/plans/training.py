@@ -162,6 +162,17 @@ def _classifier(spec: ModelSpec, features: str, weight_total: float):
     raise ValueError(f"unknown model kind {spec.kind!r}")
 
 
+# Feature bytes per task. The iterative fits run one short job per step, so tasks on
+# a few rows would spend their time being scheduled; forests do far more work per byte.
+_TASK_BYTES = {"logistic": 32 << 20, "boosted": 32 << 20, "forest": 1 << 20}
+
+
+def _sized(df: DataFrame, rows: int, columns: int, kind: str) -> DataFrame:
+    """Merge partitions (without a shuffle) down to the tasks the data is worth."""
+    tasks = max(1, math.ceil(rows * columns * 8 / _TASK_BYTES[kind]))
+    return df.coalesce(tasks) if tasks < df.rdd.getNumPartitions() else df
+
+
 def fit_model(train: DataFrame, spec: ModelSpec, columns: Sequence[str]) -> PipelineModel:
     """Fit one model; the result carries its own assembling and scaling.
 
@@ -170,7 +181,7 @@ def fit_model(train: DataFrame, spec: ModelSpec, columns: Sequence[str]) -> Pipe
     counts = class_counts(train)
     rows = sum(counts.values())
     weighted = with_class_weights(train, counts=counts) if spec.balanced else train
-    weighted = fill_nulls(weighted, columns)
+    weighted = _sized(fill_nulls(weighted, columns), rows, len(columns), spec.kind)
     stages = [VectorAssembler(inputCols=list(columns), outputCol="assembled", handleInvalid="error")]
     features = "assembled"
     if spec.scaled:
