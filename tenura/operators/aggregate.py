@@ -15,6 +15,7 @@ from tenura.functions.arithmetic import percent
 from tenura.operators.columns import long_form, numeric_columns
 from tenura.operators.joins import bounded
 from tenura.operators.ordering import exact_quantiles, quantiles_of_counts, value_table
+from tenura.session import settle
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -161,8 +162,8 @@ def pivot_median(df: DataFrame, row: str, column: str, levels: Mapping[object, s
 
 def center_by_class(df: DataFrame, value: str, label: str) -> DataFrame:
     """Exact median, mean and count of a measure by class."""
-    counts = value_table(df.filter(F.col(label).isNotNull()), value, [label])
-    medians = quantiles_of_counts(counts, value, {"median": 0.5}, by=[label])
+    counts = settle(value_table(df.filter(F.col(label).isNotNull()), value, [label]))
+    medians = quantiles_of_counts(counts, value, {"median": 0.5}, by=[label], settled=True)
     means = counts.groupBy(label).agg(
         (F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"), F.sum("n").alias("n")
     )
@@ -187,18 +188,27 @@ def median_gap(df: DataFrame, value: str, label: str, high: object, low: object)
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, exact quartiles and max per column."""
-    long = long_form(df, columns).filter(F.col("value").isNotNull())
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    """Count, mean, sample std, min, exact quartiles and max per column.
+
+    The rows are read once, into counts per distinct value; all the rest comes
+    from those.
+    """
+    counts = settle(value_table(long_form(df, columns), "value", ["feature"]))
+    v, n = F.col("value"), F.col("n")
+    first = bounded(
+        counts.groupBy("feature").agg(
+            F.sum("n").alias("rows"), (F.sum(v * n) / F.sum("n")).alias("mean"),
+            F.min("value").alias("min"), F.max("value").alias("max"),
+        )
+    )
+    off = v - F.col("mean")
+    spread = F.sqrt(F.sum(n * off * off) / F.nullif(F.max("rows") - 1, F.lit(0)))
+    moments = counts.join(first, "feature").groupBy("feature", "rows", "mean", "min", "max").agg(spread.alias("std"))
+    quartiles = quantiles_of_counts(
+        counts, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=["feature"], settled=True
     )
-    quartiles = exact_quantiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=["feature"])
-    return moments.join(bounded(quartiles), "feature").select(
-        "feature", "n", "mean", "std", "min", "q25", "q50", "q75", "max"
+    return moments.join(quartiles, "feature").select(
+        "feature", F.col("rows").alias("n"), "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -262,9 +272,9 @@ def histogram(df: DataFrame, columns: Sequence[str], by: str, bins: int) -> Data
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     """Five-number summary, 1.5 IQR whiskers and outlier count by class."""
-    counts = value_table(df.filter(F.col(by).isNotNull()), value, [by])
+    counts = settle(value_table(df.filter(F.col(by).isNotNull()), value, [by]))
     quartiles = quantiles_of_counts(
-        counts, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by]
+        counts, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by], settled=True
     )
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
@@ -284,8 +294,8 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
 
 def violin_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     """Count, mean, exact median, min and max by level."""
-    counts = value_table(df.filter(F.col(by).isNotNull()), value, [by])
-    medians = quantiles_of_counts(counts, value, {"median": 0.5}, by=[by])
+    counts = settle(value_table(df.filter(F.col(by).isNotNull()), value, [by]))
+    medians = quantiles_of_counts(counts, value, {"median": 0.5}, by=[by], settled=True)
     rest = counts.groupBy(by).agg(
         F.sum("n").alias("n"),
         (F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"),

@@ -13,14 +13,20 @@ from tenura.session import settle
 BROADCAST_ROWS = 100_000
 
 
+def counted(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Compute a lookup once; also tells whether it is small enough to broadcast."""
+    table = settle(df)
+    return table, table.count() <= max_rows
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Compute a lookup once and mark it for broadcast if it is small.
 
     A larger one comes back unmarked: Spark then joins by shuffle and splits hot
     keys at run time.
     """
-    table = settle(df)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    table, small = counted(df, max_rows)
+    return F.broadcast(table) if small else table
 
 
 def lookup_join(
@@ -28,12 +34,12 @@ def lookup_join(
     lookup: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     max_rows: int = BROADCAST_ROWS,
-    counted: bool = False,
+    known_small: bool = False,
 ) -> DataFrame:
     """LEFT equi-join to a unique-keyed lookup; single or composite key.
 
     ``on`` maps row columns to lookup columns; the lookup's key columns are
-    dropped from the result. Null keys match nothing. ``counted`` says that the
+    dropped from the result. Null keys match nothing. ``known_small`` says that the
     caller has already counted the lookup and found it within the bound.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
@@ -41,7 +47,7 @@ def lookup_join(
         *[F.col(there).alias(f"_on_{here}") for here, there in pairs.items()],
         *[c for c in lookup.columns if c not in pairs.values()],
     )
-    side = F.broadcast(side) if counted else bounded(side, max_rows)
+    side = F.broadcast(side) if known_small else bounded(side, max_rows)
     condition = None
     for here in pairs:
         equal = rows[here] == side[f"_on_{here}"]

@@ -62,14 +62,14 @@ def dense_key(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFr
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[str | Column], name: str, counted: bool = False
+    df: DataFrame, order: Sequence[str | Column], name: str, known_small: bool = False
 ) -> DataFrame:
     """Row numbers for a table that is usually tiny (a dimension) but may not be.
 
-    ``counted`` says that the caller has already found it small enough.
+    ``known_small`` says that the caller has already counted it.
     """
-    table = df if counted else settle(df)
-    if not counted and table.count() > WINDOW_ROWS:
+    table = df if known_small else settle(df)
+    if not known_small and table.count() > WINDOW_ROWS:
         return dense_key(table, order, name)
     number = F.row_number().over(Window.orderBy(*_order(order)))
     return table.withColumn(name, number.cast("bigint"))
@@ -81,13 +81,15 @@ def running_totals(
     order: Sequence[str | Column],
     within: Sequence[str] = (),
     window_rows: int = WINDOW_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Adds ``<sum>_before`` (over earlier rows of the group) and ``<sum>_total``.
 
     ``order`` must be unique within a group, as after a ``groupBy`` on it. A group
     may be of any size: it is cut into blocks, and only block totals are combined.
+    ``settled`` says that ``df`` is a written table already.
     """
-    table = settle(df)
+    table = df if settled else settle(df)
     keys = _order(order)
     groups = list(within)
     if table.count() <= window_rows:
@@ -144,9 +146,12 @@ def quantiles_of_counts(
     probs: dict[str, float],
     by: Sequence[str] = (),
     window_rows: int = WINDOW_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles from ``(by, value, n)``, one row per group."""
-    ranked = running_totals(counts, ["n"], [value], within=by, window_rows=window_rows)
+    ranked = running_totals(
+        counts, ["n"], [value], within=by, window_rows=window_rows, settled=settled
+    )
     last = F.col("n_before") + F.col("n")
     aggregates = []
     for name, p in probs.items():
@@ -168,5 +173,5 @@ def quantiles_of_counts(
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), **options: int
 ) -> DataFrame:
-    """Exact quantiles per group; nulls are ignored, as are null groups' absence."""
+    """Exact quantiles of the non-null values per group."""
     return quantiles_of_counts(value_table(df, value, by), value, probs, by, **options)

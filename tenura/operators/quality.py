@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.operators.joins import bounded
+from tenura.operators.joins import BROADCAST_ROWS, counted
 
 
 @dataclass(frozen=True)
@@ -55,19 +55,18 @@ def _line(check: Check, failures) -> object:
     )
 
 
-def _one_pass(df: DataFrame, checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Nulls, orphans and row counts: one scan whatever the number of tests."""
+def _one_pass(df: DataFrame, checks: Sequence[Check], tables: Mapping[str, DataFrame],
+              small_parents: Mapping[int, DataFrame]) -> DataFrame:
+    """Nulls, orphans of small parents and row counts: one scan for any number of tests."""
     rows, lines = df, []
     for i, check in enumerate(checks):
         column = F.col(check.column) if check.column != "*" else None
         if check.test == "not_null":
             lines.append(_line(check, F.count_if(column.isNull())))
         elif check.test == "relationships":
-            parent, key = check.arg
-            seen = f"_seen_{i}"
-            keys = tables[parent].select(F.col(key).alias(f"_parent_{i}")).distinct()
-            keys = bounded(keys.withColumn(seen, F.lit(True)))
-            rows = rows.join(keys, rows[check.column] == keys[f"_parent_{i}"], "left")
+            parent, seen = f"_parent_{i}", f"_seen_{i}"
+            keys = small_parents[id(check)].select(F.col("_parent").alias(parent), F.lit(True).alias(seen))
+            rows = rows.join(F.broadcast(keys), F.col(check.column) == F.col(parent), "left")
             lines.append(_line(check, F.count_if(column.isNotNull() & F.col(seen).isNull())))
         elif check.test == "min_rows":
             lines.append(_line(check, F.greatest(F.lit(check.arg[0]) - F.count(F.lit(1)), F.lit(0))))
@@ -77,6 +76,20 @@ def _one_pass(df: DataFrame, checks: Sequence[Check], tables: Mapping[str, DataF
     return rows.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
 
 
+def _orphan_count(df: DataFrame, check: Check, keys: DataFrame) -> DataFrame:
+    """Orphans of a large parent: rows per foreign key are counted before the join,
+    so a key that many rows share crosses the shuffle once per task."""
+    used = (
+        df.filter(F.col(check.column).isNotNull())
+        .groupBy(F.col(check.column).alias("_fk"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    lost = used.join(keys, F.col("_fk") == F.col("_parent"), "left_anti")
+    return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_f")).select(
+        F.inline(F.array(_line(check, F.col("_f"))))
+    )
+
+
 def _outside_values(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Distinct values outside their lists, all columns in one scan; nulls pass."""
     cells = [
@@ -101,7 +114,8 @@ def _repeated(df: DataFrame, check: Check) -> DataFrame:
     )
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check],
+               max_parents: int = BROADCAST_ROWS) -> DataFrame:
     """One row per test: table, column, test, failures, status.
 
     Per table: one scan for nulls, orphans and counts, one for accepted values,
@@ -111,13 +125,19 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     for name in dict.fromkeys(c.table for c in checks):
         df = tables[name]
         mine = [c for c in checks if c.table == name]
-        simple = [c for c in mine if c.test not in ("accepted_values", "unique")]
+        small_parents, large_parents = {}, {}
+        for check in (c for c in mine if c.test == "relationships"):
+            parent, key = check.arg
+            keys, small = counted(tables[parent].select(F.col(key).alias("_parent")).distinct(), max_parents)
+            (small_parents if small else large_parents)[id(check)] = keys
+        simple = [c for c in mine if c.test not in ("accepted_values", "unique") and id(c) not in large_parents]
         listed = [c for c in mine if c.test == "accepted_values"]
         if simple:
-            reports.append(_one_pass(df, simple, tables))
+            reports.append(_one_pass(df, simple, tables, small_parents))
         if listed:
             reports.append(_outside_values(df, listed))
         reports.extend(_repeated(df, c) for c in mine if c.test == "unique")
+        reports.extend(_orphan_count(df, c, large_parents[id(c)]) for c in mine if id(c) in large_parents)
     report = reduce(DataFrame.unionByName, reports)
     return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 

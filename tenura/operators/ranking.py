@@ -12,18 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.ordering import WINDOW_ROWS, running_totals
-from tenura.operators.stats import class_counts_by_value
+from tenura.session import settle
 
 
-def threshold_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
-                    window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Per distinct score, highest first: rows at and above it, by true class."""
+def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """(score, pos, neg) per group: combined before the shuffle."""
+    flag = F.col(label).cast("bigint")
     present = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    if by:
-        flag = F.col(label).cast("bigint")
-        counts = present.groupBy(*by, score).agg(F.sum(flag).alias("pos"), F.sum(1 - flag).alias("neg"))
-    else:
-        counts = class_counts_by_value(present, score, label)
+    return present.groupBy(*by, score).agg(F.sum(flag).alias("pos"), F.sum(1 - flag).alias("neg"))
+
+
+def _thresholds(counts: DataFrame, score: str, by: Sequence[str], window_rows: int = WINDOW_ROWS) -> DataFrame:
     ranked = running_totals(
         counts, ["pos", "neg"], [F.col(score).desc()], within=by, window_rows=window_rows
     )
@@ -38,6 +37,12 @@ def threshold_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (
     )
 
 
+def threshold_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
+                    window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """Per distinct score, highest first: rows at and above it, by true class."""
+    return _thresholds(score_counts(df, score, label, by), score, by, window_rows)
+
+
 def _share(part: Column, whole: Column) -> Column:
     """part / whole, 0 when there is nothing to divide by."""
     return F.when(whole != 0, part.cast("double") / whole.cast("double")).otherwise(F.lit(0.0))
@@ -64,9 +69,7 @@ def pr_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> D
     )
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under the ROC curve and average precision."""
-    table = threshold_table(df, score, label, by)
+def _areas(table: DataFrame, by: Sequence[str]) -> DataFrame:
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     # a positive beats every negative scored lower, and half of its own ties
     beaten = pos * (F.col("n_neg") - F.col("fp") + neg / 2)
@@ -78,6 +81,11 @@ def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = (
     )
 
 
+def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve and average precision."""
+    return _areas(threshold_table(df, score, label, by), by)
+
+
 def confusion_counts(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn in one pass."""
     yes, said = F.col(label) == 1, F.col(prediction) == 1
@@ -103,9 +111,20 @@ def rates_from_confusion(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 
 def binary_metrics(df: DataFrame, score: str, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """The six headline metrics, one row per group."""
-    cut_metrics = rates_from_confusion(confusion_counts(df, label, prediction, by), by)
-    areas = ranking_metrics(df, score, label, by)
+    """The six headline metrics, one row per group; the rows are scored and read once."""
+    folded = settle(score_counts(df, score, label, [*by, prediction]))
+    said, unsaid = F.col(prediction) == 1, F.col(prediction) == 0
+
+    def rows(which: Column, side: str) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col(side))), F.lit(0))
+
+    counts = folded.groupBy(*by).agg(
+        rows(said, "pos").alias("tp"), rows(said, "neg").alias("fp"),
+        rows(unsaid, "pos").alias("fn"), rows(unsaid, "neg").alias("tn"),
+    )
+    cut_metrics = rates_from_confusion(counts, by)
+    per_score = folded.groupBy(*by, score).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    areas = _areas(_thresholds(per_score, score, by), by)
     if by:
         return cut_metrics.join(areas, list(by))
     return cut_metrics.select(

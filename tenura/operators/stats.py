@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tenura.functions.pvalues import chi2_p, normal_p, student_p
 from tenura.operators.columns import long_form
 from tenura.operators.ordering import WINDOW_ROWS, running_totals
+from tenura.session import settle
 
 
 def point_biserial(df: DataFrame, columns: Sequence[str], flag: str, alpha: float) -> DataFrame:
@@ -86,7 +87,7 @@ def chi_squared(df: DataFrame, columns: Sequence[str], label: str, alpha: float)
     share one scan; afterwards only (feature, level, class) counts are handled.
     """
     long = long_form(df, columns, keep=[label], dtype="string", value="level")
-    cells = (
+    cells = settle(
         long.filter(F.col("level").isNotNull() & F.col(label).isNotNull())
         .groupBy("feature", "level", label)
         .agg(F.count(F.lit(1)).alias("o"))

@@ -9,8 +9,7 @@ from tenura import specs
 from tenura.functions.arithmetic import mean_of, ratio
 from tenura.functions.encode import one_hot, product, threshold_flag
 from tenura.operators.aggregate import means_from_rollup, rollup_means
-from tenura.operators.joins import BROADCAST_ROWS, lookup_join
-from tenura.session import settle
+from tenura.operators.joins import counted, lookup_join
 
 
 def ratio_columns() -> list:
@@ -44,17 +43,17 @@ def group_context(silver: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
     them. The flag says whether both were counted to be small.
     """
     measures = list(dict.fromkeys([*specs.DEPARTMENT_CONTEXT.values(), *specs.ROLE_CONTEXT.values()]))
-    fine = settle(rollup_means(silver, ["department", "job_role"], measures))
+    fine, small = counted(rollup_means(silver, ["department", "job_role"], measures))
     by_department = means_from_rollup(fine, "department", specs.DEPARTMENT_CONTEXT, specs.DEPARTMENT_HEADCOUNT)
     by_role = means_from_rollup(fine, "job_role", specs.ROLE_CONTEXT, specs.ROLE_HEADCOUNT)
-    return by_department, by_role, fine.count() <= BROADCAST_ROWS
+    return by_department, by_role, small
 
 
 def with_group_context(silver: DataFrame) -> DataFrame:
     """Clean rows with their department's and role's aggregates."""
     by_department, by_role, small = group_context(silver)
-    joined = lookup_join(silver, by_department, ["department"], counted=small)
-    return lookup_join(joined, by_role, ["job_role"], counted=small)
+    joined = lookup_join(silver, by_department, ["department"], known_small=small)
+    return lookup_join(joined, by_role, ["job_role"], known_small=small)
 
 
 def ml_features(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,6 +14,7 @@ from tenura import specs
 from tenura.operators.quality import min_rows, require, run_checks
 from tenura.plans import data_tests as names
 from tenura.plans import registry, scoring, training
+from tenura.session import scratch_scope
 from tenura.sources.readers import scan_first_available
 from tenura.sources.tables import Lake
 
@@ -96,24 +97,25 @@ def run(lake: Lake, paths: Sequence[str] | DataFrame, expected: int = 1,
         return _validated(lake, names.PREDICTIONS, expected)
 
     try:
-        for layer in ("bronze", "silver", "gold"):
-            lake.create_schema(layer)
-        log.task(1, "raw load", lambda: load_raw(lake, paths, expected, if_exists))
-        log.task(2, "clean", lambda: transform(names.CLEAN, ["silver"]))
-        with ThreadPoolExecutor(2) as pool:
-            side_by_side = [
-                pool.submit(log.task, 3, "features", lambda: transform(names.FEATURES, ["features"])),
-                pool.submit(log.task, 4, "star schema", lambda: transform(names.FACT, ["star_schema"])),
-            ]
-            for done in side_by_side:
-                done.result()
-        log.task(5, "analytics", lambda: transform(names.ANALYTICS, ["analytics"], rows=1))
-        best_run_id = log.task(
-            6, "training",
-            lambda: training.train_all(lake, lake.read(names.FEATURES), specs.KEY, models,
-                                       folds=folds, model_root=model_root),
-        )
-        log.task(7, "scoring", score)
+        with scratch_scope(lake.spark):
+            for layer in ("bronze", "silver", "gold"):
+                lake.create_schema(layer)
+            log.task(1, "raw load", lambda: load_raw(lake, paths, expected, if_exists))
+            log.task(2, "clean", lambda: transform(names.CLEAN, ["silver"]))
+            with ThreadPoolExecutor(2) as pool:
+                side_by_side = [
+                    pool.submit(log.task, 3, "features", lambda: transform(names.FEATURES, ["features"])),
+                    pool.submit(log.task, 4, "star schema", lambda: transform(names.FACT, ["star_schema"])),
+                ]
+                for done in side_by_side:
+                    done.result()
+            log.task(5, "analytics", lambda: transform(names.ANALYTICS, ["analytics"], rows=1))
+            best_run_id = log.task(
+                6, "training",
+                lambda: training.train_all(lake, lake.read(names.FEATURES), specs.KEY, models,
+                                           folds=folds, model_root=model_root),
+            )
+            log.task(7, "scoring", score)
     finally:
         saved = log.save()
     return saved

@@ -12,9 +12,8 @@ from tenura import specs
 from tenura.functions.arithmetic import ratio
 from tenura.functions.encode import band, decode, yes_no
 from tenura.operators.aggregate import distinct_tuples, distinct_values
-from tenura.operators.joins import BROADCAST_ROWS, lookup_join
+from tenura.operators.joins import counted, lookup_join
 from tenura.operators.ordering import dense_key, number_rows
-from tenura.session import settle
 
 # dimension -> (key, {clean column: dimension column}, sort order in dimension columns)
 DIMENSIONS = {
@@ -47,12 +46,12 @@ class Dimensions:
     """The dimension tables, and whether they were counted to be small."""
 
     tables: Mapping[str, DataFrame]
-    counted: bool = False
+    small: bool = False
 
 
-def _numbered(values: DataFrame, name: str, counted: bool = False) -> DataFrame:
+def _numbered(values: DataFrame, name: str, known_small: bool = False) -> DataFrame:
     key, columns, order = DIMENSIONS[name]
-    return number_rows(values, order, key, counted).select(key, *columns.values())
+    return number_rows(values, order, key, known_small).select(key, *columns.values())
 
 
 def dimension(silver: DataFrame, name: str) -> DataFrame:
@@ -65,8 +64,7 @@ def dimensions(silver: DataFrame) -> Dimensions:
     """All five dimensions from one scan of the clean table."""
     sets = {name: list(columns) for name, (_, columns, _) in DIMENSIONS.items()}
     types = {f.name: f.dataType for f in silver.schema.fields}
-    tuples = settle(distinct_tuples(silver, sets))
-    small = tuples.count() <= BROADCAST_ROWS
+    tuples, small = counted(distinct_tuples(silver, sets))
     built = {}
     for name, (_, columns, _) in DIMENSIONS.items():
         values = tuples.filter(F.col("set_name") == name).select(
@@ -103,7 +101,7 @@ def with_dimension_keys(silver: DataFrame, dims: Dimensions) -> DataFrame:
     for name, (key, columns, _) in DIMENSIONS.items():
         on = {old: columns[old] for old in _JOIN_COLUMNS.get(name, columns)}
         lookup = dims.tables[name].select(key, *on.values())
-        rows = lookup_join(rows, lookup, on, counted=dims.counted)
+        rows = lookup_join(rows, lookup, on, known_small=dims.small)
     return rows
 
 

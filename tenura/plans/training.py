@@ -21,6 +21,7 @@ from tenura import specs
 from tenura.operators.columns import fill_nulls, numeric_columns
 from tenura.operators.ranking import binary_metrics, ranking_metrics
 from tenura.operators.topk import top_k
+from tenura.session import shared_dir
 
 SEED = 42
 HASH_MODULUS = 1_000_003
@@ -352,7 +353,8 @@ def train_all(lake, features: DataFrame, key: str, models: Sequence[ModelSpec] =
             results[spec.name] = (model, metrics)
         best = max(results, key=lambda name: results[name][1]["auc_roc"])
         model, metrics = results[best]
-        path = f"{model_root}/{best.replace(' ', '_')}-{uuid.uuid4().hex}"
+        root = model_root or f"{shared_dir(features.sparkSession)}/models"
+        path = f"{root}/{best.replace(' ', '_')}-{uuid.uuid4().hex}"
         model.write().overwrite().save(path)
         counts = class_counts(split)
         params = {

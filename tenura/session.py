@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without: it gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -54,12 +56,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scopes: dict[str, list[str]] = {}
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what :func:`settle` writes inside the block once the block is left.
+
+    For jobs whose results are tables: nothing settled may be read afterwards.
+    """
+    path = scratch_path(spark, "scope")
+    stack = _scopes.setdefault(spark.sparkContext.applicationId, [])
+    stack.append(path)
+    try:
+        yield
+    finally:
+        stack.remove(path)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Survives lost executors, keeps columns prunable, and gives later plans real
     sizes, so Spark picks its join strategy from what is there.
     """
-    path = scratch_path(df.sparkSession, "settled")
+    spark = df.sparkSession
+    stack = _scopes.get(spark.sparkContext.applicationId)
+    path = f"{stack[-1]}/{uuid.uuid4().hex}" if stack else scratch_path(spark, "settled")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
