@@ -9,19 +9,16 @@ from pyspark.sql import functions as F
 
 from tenura.functions.encode import decode
 from tenura.operators.aggregate import duplicate_rows, mode_of
-from tenura.operators.columns import numeric_columns, string_columns
+from tenura.operators.columns import long_form, numeric_columns, string_columns
 
 
-def _levels(df: DataFrame, columns: Sequence[str], order: str | None = None) -> DataFrame:
-    """(feature, value, n[, first_at]) with nulls as a level of their own.
+def _levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, n) with nulls as a level of their own.
 
     Counts combine before the shuffle, so a constant column sends one row per task.
     """
-    cells = [F.col(c).cast("string").alias(c) for c in columns]
-    keep = [] if order is None else [F.col(order).alias("_at")]
-    long = df.select(*keep, *cells).unpivot([] if order is None else ["_at"], list(columns), "feature", "value")
-    first = [] if order is None else [F.min("_at").alias("first_at")]
-    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), *first)
+    long = long_form(df, columns, dtype="string")
+    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _present(then: Column | str) -> Column:
@@ -35,18 +32,22 @@ def schema_profile(df: DataFrame, order: str, columns: Sequence[str] | None = No
     """
     columns = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in columns}
-    per_column = _levels(df, columns, order).groupBy("feature").agg(
+    per_column = _levels(df, columns).groupBy("feature").agg(
         F.coalesce(F.sum(_present("n")), F.lit(0)).alias("non_null"),
-        (F.sum("n") - F.coalesce(F.sum(_present("n")), F.lit(0))).alias("null_count"),
-        F.round((F.sum("n") - F.coalesce(F.sum(_present("n")), F.lit(0))) * 100.0 / F.sum("n"), 2)
-        .cast("double").alias("null_pct"),
+        F.sum("n").alias("n_rows"),
         F.count("value").alias("n_unique"),
-        F.min_by("value", "first_at").alias("sample_value"),
     )
-    return per_column.select(
+    # the first row alone, found by its key: a filter that the scan can prune on
+    first_row = df.filter(F.col(order) == df.agg(F.min(order)).scalar()).limit(1)
+    first = long_form(first_row, columns, dtype="string").select("feature", F.col("value").alias("sample_value"))
+    nulls = F.col("n_rows") - F.col("non_null")
+    return per_column.join(F.broadcast(first), "feature", "left").select(
         F.col("feature").alias("column_name"),
         decode("feature", types).alias("dtype"),
-        "non_null", "null_count", "null_pct", "n_unique", "sample_value",
+        "non_null",
+        nulls.alias("null_count"),
+        F.round(nulls * 100.0 / F.col("n_rows"), 2).cast("double").alias("null_pct"),
+        "n_unique", "sample_value",
     )
 
 
