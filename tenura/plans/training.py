@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tenura import specs
 from tenura.operators.columns import fill_nulls, numeric_columns
+from tenura.operators.ordering import running_totals
 from tenura.operators.ranking import binary_metrics, ranking_metrics
 from tenura.operators.topk import top_k
 from tenura.session import shared_dir
@@ -70,10 +71,13 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float, see
     on_edge = hashed.join(
         F.broadcast(edge), (F.col(label) == F.col("_class")) & (F.col("_h") == F.col("_edge"))
     )
-    place = F.row_number().over(Window.partitionBy("_class").orderBy(key))
+    # badly spread keys may share that hash value in any number: ranked in blocks
+    on_edge = on_edge.groupBy("_class", "_edge", "_rest", key).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(on_edge, ["_n"], [key], within=["_class"])
     cuts = (
-        on_edge.withColumn("_place", place)
-        .filter(F.col("_place") == F.col("_rest"))
+        ranked.filter(
+            (F.col("_n_before") < F.col("_rest")) & (F.col("_rest") <= F.col("_n_before") + F.col("_n"))
+        )
         .select("_class", "_edge", F.col(key).alias("_last"))
         .collect()  # one row per class
     )
