@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenura.llm.ann import every_twentieth, nearest
+from tenura.llm.bitpack import token_index
+from tenura.llm.gam import quality_scores
+from tenura.llm.impacts import every_hundredth, top_products
+from tenura.llm.mix import words_taken
 from tenura.llm.pack import pack
+from tenura.llm.spans import section_tokens
+from tenura.llm.warc import page_captures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +29,50 @@ def op1_pack_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*first, *[c for c in pieces.columns if c not in first])
 
 
+def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as request, response or revisit, and metadata records, written, read and assembled."""
+    return page_captures(table(spark, sf_dir, "pages"))
+
+
+def op3_bitpacked_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in bit-packed files, read back."""
+    return token_index(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix of all sources takes from each document."""
+    return words_taken(table(spark, sf_dir, "documents"))
+
+
+def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for each twentieth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), every_twentieth())
+
+
+def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of every document, from one encoding of the whole text."""
+    return section_tokens(table(spark, sf_dir, "documents"))
+
+
+def op9_impact_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest integer products with all vectors for each hundredth vector."""
+    return top_products(table(spark, sf_dir, "embeddings"), every_hundredth())
+
+
+def op10_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pack_vectors": op1_pack_vectors,
+    "op2_warc_transactions": op2_warc_transactions,
+    "op3_bitpacked_ids": op3_bitpacked_ids,
+    "op4_mix_sources": op4_mix_sources,
+    "op6_rotated_codes": op6_rotated_codes,
+    "op7_section_tokens": op7_section_tokens,
+    "op9_impact_ordered": op9_impact_ordered,
+    "op10_additive_model": op10_additive_model,
 }
 
 ORACLE: dict[str, str] = {}
