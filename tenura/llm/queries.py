@@ -10,6 +10,7 @@ from tenura.llm.ann import every_twentieth, nearest
 from tenura.llm.bitpack import token_index
 from tenura.llm.gam import quality_scores
 from tenura.llm.impacts import every_hundredth, top_products
+from tenura.llm.jaccard import linked_documents
 from tenura.llm.mix import words_taken
 from tenura.llm.pack import pack
 from tenura.llm.spans import section_tokens
@@ -54,6 +55,11 @@ def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shingle count and link component of every document."""
+    return linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_impact_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 largest integer products with all vectors for each hundredth vector."""
     return top_products(table(spark, sf_dir, "embeddings"), every_hundredth())
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op6_rotated_codes": op6_rotated_codes,
     "op7_section_tokens": op7_section_tokens,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_impact_ordered": op9_impact_ordered,
     "op10_additive_model": op10_additive_model,
 }
