@@ -140,7 +140,7 @@ def write_token_shards(
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, files = encoder(path), SharedFiles(folder)
         bits = bits_for(max(encode.vocab_size, end_id + 1))
-        end = np.array([end_id], "<u4").tobytes()
+        end, kind = np.uint32(end_id), np.uint16 if bits <= 16 else np.uint32
         part, seq, held = TaskContext.get().partitionId(), 0, 0
         keys: list[int | None] = []
         documents: list[np.ndarray] = []
@@ -154,10 +154,10 @@ def write_token_shards(
             return batch_of(shape, [row])
 
         for frame in text_batches(frames, "text"):
-            for key, raw in zip(frame.column("id").to_pylist(), encode.raw_ids(frame.column("text").to_pylist()), strict=True):
-                ids = np.frombuffer(raw + end, "<u4")
+            for key, found in zip(frame.column("id").to_pylist(), encode.ids(frame.column("text")), strict=True):
+                ids = np.append(found, end).astype(kind)
                 keys.append(key)
-                documents.append(ids.astype(np.uint16) if bits <= 16 else ids)
+                documents.append(ids)
                 held += len(ids)
                 if held >= shard_ids:
                     yield close()

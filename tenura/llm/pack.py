@@ -85,26 +85,30 @@ def dot_product_bins(pieces: list[Piece], limits: Limits) -> list[list[Piece]]:
     keys = sorted(kinds, reverse=True)
     if not keys:
         return []
-    size = np.array(keys, dtype=np.int64)
+    tokens, loss = (np.array(column, dtype=np.int64) for column in zip(*keys, strict=True))
+    longest_first = -tokens
     left = np.array([len(kinds[k]) for k in keys])
-    whole = np.array([limits.tokens, limits.loss], dtype=np.float64)
-    weight = size / whole
     bins, remaining = [], len(pieces)
     while remaining:
-        room, places, content = np.array([limits.tokens, limits.loss]), limits.segments, []
+        room, quota, places, content = limits.tokens, limits.loss, limits.segments, []
         while places and remaining:
-            fits = (left > 0) & (size <= room).all(axis=1)
-            if not fits.any():
+            a = int(np.searchsorted(longest_first, -room))  # from here on pieces are short enough
+            fits = (left[a:] > 0) & (loss[a:] <= quota)
+            # a segment weighs the same for each piece, so it decides only whether a place is left
+            score = tokens[a:] * (room / limits.tokens**2) + loss[a:] * (quota / limits.loss**2)
+            score[~fits] = -1.0
+            k = a + int(score.argmax()) if len(score) else a
+            if not len(score) or not fits[k - a]:
                 break
-            # one segment weighs the same for each piece, so it decides only whether a place is left
-            score = np.where(fits, weight @ (room / whole) + places / limits.segments**2, -1.0)
-            k = int(score.argmax())
             content.append(kinds[keys[k]].pop())
             left[k] -= 1
             remaining -= 1
-            room = room - size[k]
-            places -= 1
+            room, quota, places = room - keys[k][0], quota - keys[k][1], places - 1
         bins.append(content)
+        if remaining and 2 * remaining < left.size:  # kinds that are used up only cost time
+            alive = left > 0
+            keys = [k for k, x in zip(keys, alive.tolist(), strict=True) if x]
+            tokens, loss, longest_first, left = tokens[alive], loss[alive], longest_first[alive], left[alive]
     return bins
 
 
@@ -257,7 +261,7 @@ def pack(
 
         for frame in text_batches(frames, "text"):
             done: list[list[Piece]] = []
-            raws = encode.raw_ids(frame.column("text").to_pylist())
+            raws = encode.raw_ids(frame.column("text"))
             for key, raw, n_quiet in zip(frame.column("id").to_pylist(), raws, frame.column("quiet").to_pylist(), strict=True):
                 raw += end
                 held[count] = (key, raw)

@@ -2,8 +2,8 @@
 
 The byte-level pattern never runs across the boundary before a single space that a
 non-space character follows, so a text may be cut there and its chunks encoded
-apart. Most chunks have been seen before; only new ones go to the tokenizer, and the
-memo is emptied when it is full.
+apart. A batch has few different chunks; those that the memo does not have go to the
+tokenizer, and the memo is emptied when it is full.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _CUT = re.compile(r" (?=\S)")
-_AWKWARD = re.compile(r" (?:\s|$)|[\x1c-\x1f\x85]")
 # Chunks of visible ASCII, Latin letters and single line ends between them.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _KNOWN = re.compile(f"[!-~{_LATIN}]+(?:\n[!-~{_LATIN}]+)*")
@@ -63,7 +64,6 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.memo_chunks = memo_chunks
         self.memo: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -75,45 +75,85 @@ class Encoder:
             self.pieces.clear()
         known = [c for c in chunks if _KNOWN.fullmatch(c)]
         pieces = _PIECES.findall(" " + " ".join(known)) if known else []
-        new = list(set(pieces) - self.pieces.keys())
+        new = [p for p in set(pieces) if p not in self.pieces]
         shown = "\0".join(new).encode().decode("latin-1").translate(self.alphabet)
         merge = self.tokenizer.model.tokenize
         for piece, text in zip(new, shown.split(self.alphabet[0]), strict=bool(new)):
             self.pieces[piece] = array("I", [t.id for t in merge(text)]).tobytes()
         ids = list(map(self.pieces.__getitem__, pieces))
         starts = [i for i, p in enumerate(pieces) if p[0] == " "]
-        for chunk, i, j in zip(known, starts, [*starts[1:], len(pieces)], strict=True):
+        for chunk, i, j in zip(known, starts, [*starts[1:], len(pieces)][: len(known)], strict=True):
             self.memo[chunk] = ids[i] if j == i + 1 else b"".join(ids[i:j])
         rest = [c for c in chunks if not _KNOWN.fullmatch(c)] if len(known) < len(chunks) else []
         self.memo.update(zip(rest, self._plain([" " + c for c in rest]), strict=True))
 
-    def raw_ids(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks that follow a space."""
         if len(self.memo) > self.memo_chunks:
             self.memo.clear()
-        if len(self.heads) > self.memo_chunks:
-            self.heads.clear()
-        split = []
-        for text in texts:
-            text = text or ""
-            split.append(_CUT.split(text) if _AWKWARD.search(text) else text.split(" "))
-        memo, heads = self.memo, self.heads
-        first = {s[0] for s in split} - heads.keys()
-        heads.update(zip(first, self._plain(list(first)), strict=True))
-        found = [list(map(memo.get, s)) for s in split]
-        new = {c for s, f in zip(split, found, strict=True) if None in f[1:] for c, x in zip(s[1:], f[1:], strict=True) if x is None}
+        found = list(map(self.memo.get, chunks))
+        new = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
         if new:
-            self._learn(list(new))
-        out = []
-        for s, f in zip(split, found, strict=True):
-            f[0] = heads[s[0]]
-            if None in f:
-                f = [memo[c] if x is None else x for c, x in zip(s, f, strict=True)]
-            out.append(b"".join(f))
-        return out
-
-    def ids(self, texts: Sequence[str | None]) -> list[np.ndarray]:
-        return [np.frombuffer(raw, "<u4") for raw in self.raw_ids(texts)]
+            self._learn(new)
+            found = [self.memo[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
+        return found
+
+    def _rare(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts in which white space follows a space: they are cut only where a word follows."""
+        split = [_CUT.split(t) for t in texts]
+        different = list(dict.fromkeys(c for s in split for c in s[1:]))
+        known = dict(zip(different, self._known(different), strict=True))
+        heads = self._plain([s[0] for s in split])
+        return [h + b"".join([known[c] for c in s[1:]]) for h, s in zip(heads, split, strict=True)]
+
+    def arrays(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after the other, and where each text's begin, the end last."""
+        n = len(texts)
+        split = pc.split_pattern(texts.fill_null(""), " ")
+        place = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        coded = split.flatten().dictionary_encode()
+        which = coded.indices.to_numpy().astype(np.int64)
+        chunks = coded.dictionary.to_pylist()
+        heads = place[:-1]
+        later = np.ones(len(which), bool)
+        later[heads] = False
+        # the first chunk of a text has no space in front
+        follows = np.zeros(len(chunks), bool)
+        follows[which[later]] = True
+        odd = np.array([f and (not c or c[0].isspace()) for c, f in zip(chunks, follows.tolist(), strict=True)], bool)
+        rare = np.unique(np.searchsorted(place, np.flatnonzero(odd[which] & later), "right") - 1).tolist()
+        used = np.flatnonzero(follows & ~odd)
+        front, back = np.unique(which[heads], return_inverse=True)
+        ids = [*self._known([chunks[i] for i in used.tolist()]), *self._plain([chunks[i] for i in front.tolist()])]
+        slot = np.zeros(len(chunks), np.int64)
+        slot[used] = np.arange(len(used))
+        taken = slot[which]
+        taken[heads] = len(used) + back
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(length) - length
+        sizes = length[taken]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out = flat[np.repeat(begin[taken] - ends[:-1], sizes) + np.arange(ends[-1])]
+        at = ends[place]
+        if not rare:
+            return out, at
+        parts = [out[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+        for i, raw in zip(rare, self._rare(texts.take(pa.array(rare)).to_pylist()), strict=True):
+            parts[i] = np.frombuffer(raw, "<u4")
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])[: n + 1]
+
+    def ids(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        out, at = self.arrays(texts)
+        return [out[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+
+    def raw_ids(self, texts: pa.Array | Sequence[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return [ids.tobytes() for ids in self.ids(texts)]
 
 
 @lru_cache(maxsize=2)
