@@ -45,6 +45,12 @@ def text_batches(
             yield batch.slice(start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
+    """All batches of a task; for steps whose partitions Spark keeps small."""
+    held = list(batches)
+    return pa.Table.from_batches(held) if held else schema.empty_table()
+
+
 def kind_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
