@@ -438,3 +438,17 @@ def linked_documents(docs: DataFrame, rule: Rule | None = None, task_shingles: i
     return known.join(roots, same(known["doc_id"], F.col("_node")), "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def first_of_groups(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
+    """The rows of ``docs`` that stand for their groups of linked texts: those with the smallest id.
+
+    Texts without words and rows without an id stay. Of rows that repeat an id one stays.
+    """
+    found = linked_documents(docs, rule)
+    firsts = found.filter("doc_id is not null and component_id = doc_id").select(F.col("doc_id").alias("_first")).distinct()
+    known = docs.filter("doc_id is not null")
+    kept = known.join(firsts, known["doc_id"] == F.col("_first"), "left_semi")
+    if known.groupBy("doc_id").count().filter("count > 1").head(1):
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id is null"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tenura.llm.ann import every_twentieth, nearest
 from tenura.llm.bitpack import token_index
 from tenura.llm.gam import quality_scores
@@ -14,6 +15,7 @@ from tenura.llm.jaccard import linked_documents
 from tenura.llm.mix import words_taken
 from tenura.llm.pack import pack
 from tenura.llm.spans import section_tokens
+from tenura.llm.suffix import removed_passages
 from tenura.llm.warc import page_captures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +47,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words_taken(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that start earlier."""
+    return removed_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all vectors for each twentieth vector."""
     return nearest(table(spark, sf_dir, "embeddings"), every_twentieth())
@@ -75,11 +82,13 @@ QUERIES: dict[str, Query] = {
     "op2_warc_transactions": op2_warc_transactions,
     "op3_bitpacked_ids": op3_bitpacked_ids,
     "op4_mix_sources": op4_mix_sources,
+    "op5_suffix_arrays": op5_suffix_arrays,
     "op6_rotated_codes": op6_rotated_codes,
     "op7_section_tokens": op7_section_tokens,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_impact_ordered": op9_impact_ordered,
     "op10_additive_model": op10_additive_model,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
