@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -66,6 +67,12 @@ def word_count(text: str | Column) -> Column:
     return F.regexp_count(F.coalesce(column, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are written: it does so once the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class SharedFiles:
     """Files below one folder that the driver and all executors reach, on any store that Arrow knows."""
 

@@ -8,11 +8,13 @@ around, so shards are built of the text that can matter:
    equal windows have equal anchors at equal places. An anchor's context is all that
    the windows around it cover. Of equal contexts the first stays, the others go whole.
 2. Where one anchor has different contexts, windows must be compared: those contexts,
-   once each, are brought together by anchor. Each task lays them out in shards of
-   bounded size and sorts each shard's suffixes by Larsson-Sadakane refinement; Kasai's
-   rule gives common prefixes, and suffixes that share ``length`` bytes are equal
-   windows. Shards of a task are merged by binary search in each other's sorted
-   windows. An anchor with very many contexts is brought together window by window.
+   once each, are brought together by anchor. Contexts are cut back to what they share
+   with any other on either side of the anchor, and what is equal then is combined
+   again. Each task lays the rest out in shards of bounded size and sorts each shard's
+   suffixes by Larsson-Sadakane refinement; Kasai's rule gives common prefixes, and
+   suffixes that share ``length`` bytes are equal windows. Shards are merged by binary
+   search in each other's sorted windows. An anchor with very many contexts is brought
+   together window by window.
 3. Each document gets its spans, and what is left of it.
 """
 
@@ -21,26 +23,30 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.common import arrow_schema, gathered, text_batches
+from tenura.llm.common import arrow_schema, gathered, let_go, text_batches
 from tenura.llm.shingles import mix
 from tenura.session import settle
 
-GRAM = 24
+GRAM = 48
 #: Bytes of text that are hashed at a time, and bytes whose equal contexts a task combines.
 BATCH, COMBINE = 1 << 20, 16 << 20
 SHARD_BYTES = 2 << 20
+#: Contexts that are cut back at a time.
+CHUNK = 1 << 15
 #: Contexts of one anchor beyond which its windows go their own ways.
-MANY = 2048
+MANY = 1 << 16
 _PLACE = 40  # low bits of a place: the byte; high bits: which of the texts under one id
 
 _ANCHOR = "h long, c long, key long, place long, span long"
 _FOUND = "kind int, key long, place long, span long, h long, contexts long"
+# kind 0: a span that goes; 1: a context with ``span`` bytes before its anchor; 2: a window
 _CONTEXT = "kind int, route long, key long, place long, span long, content binary"
 _SPAN = "key long, place long, span long"
 
@@ -241,10 +247,16 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     h; groups of one are done and not touched again.
     """
     n = len(text)
+    if not n:
+        return np.zeros(0, np.int64)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     head = _words_at(padded)[:n].byteswap()
-    # the end counts as zero bytes; a shorter suffix is the smaller of equals
-    order = np.lexsort((-np.arange(n), head)) if n else np.zeros(0, np.int64)
+    # the last suffixes are shorter than a word: each stands before its equals, the shortest first
+    whole = max(0, n - 7)
+    order = np.argsort(head[:whole])
+    last = np.arange(n - 1, whole - 1, -1)
+    last = last[np.argsort(head[last], kind="stable")]
+    order = np.insert(order, np.searchsorted(head[order], head[last], "left"), last)
     sorted_head = head[order]
     tail = np.minimum(n - order, 8)
     fresh = np.ones(n, bool)
@@ -259,18 +271,18 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         return np.repeat(~single, ends - begins + 1)
 
     places = np.arange(n)
-    places = places[number(places, fresh)] if n else places
+    places = places[number(places, fresh)]
     h = 8
     while len(places):
         suffixes = order[places]
         ahead = suffixes + h
-        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)], -1)
-        group = rank[suffixes]
-        inner = np.lexsort((second, group))
+        # group and what follows, as one number
+        both = rank[suffixes] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        inner = np.argsort(both)
         order[places] = suffixes[inner]
-        group, second = group[inner], second[inner]
+        both = both[inner]
         fresh = np.ones(len(places), bool)
-        fresh[1:] = (group[1:] != group[:-1]) | (second[1:] != second[:-1])
+        fresh[1:] = both[1:] != both[:-1]
         places = places[number(places, fresh)]
         h *= 2
     return order
@@ -314,12 +326,26 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, begin: np.ndarray, size
 class Shard:
     """Different windows of a shard in sorted order, where each starts first, and windows that repeat in it."""
 
-    rows: np.ndarray  # window bytes as big-endian numbers, one row each
+    text: np.ndarray
+    at: np.ndarray  # where the windows are in the text
+    length: int
     key: np.ndarray
     place: np.ndarray
     gone_key: np.ndarray
     gone_place: np.ndarray
 
+    @cached_property
+    def rows(self) -> np.ndarray:
+        """The windows' bytes as big-endian numbers, one row each."""
+        words = _words_at(np.concatenate([self.text, np.zeros(8, np.uint8)]))
+        columns = []
+        for j in range(0, self.length, 8):
+            w = words[self.at + j].byteswap()
+            if self.length - j < 8:
+                w = w >> np.uint64(8 * (8 - (self.length - j)))
+            columns.append(w)
+        return np.stack(columns, axis=1)
+
 
 def build_shard(content: list[bytes], key: np.ndarray, place: np.ndarray, length: int) -> Shard:
     """``content`` starts at ``place`` of text ``key``; each has ``length`` bytes at least."""
@@ -328,30 +354,30 @@ def build_shard(content: list[bytes], key: np.ndarray, place: np.ndarray, length
     begin = np.cumsum(size) - size
     order = suffix_order(text)
     shared = common_prefixes(text, order, begin, size, length)
-    within = np.arange(len(text)) - np.repeat(begin, size)
-    whole = within <= np.repeat(size, size) - length
-    group_of = np.empty(len(text), np.int64)
-    group_of[order] = np.cumsum(shared[order] < length)
-    starts = np.flatnonzero(whole)
-    owner = np.repeat(np.arange(len(content)), size)[starts]
-    keys, places, groups = key[owner], place[owner] + within[starts], group_of[starts]
-    by = np.lexsort((places, keys, groups))
-    first = np.ones(len(by), bool)
-    first[1:] = groups[by][1:] != groups[by][:-1]
-    kept, gone = by[first], by[~first]
+    same = shared[order] >= length  # as the suffix before
+    group = np.cumsum(~same)
+    owner_of = np.repeat(np.arange(len(content)), size)
+    left = begin[owner_of] + size[owner_of] - np.arange(len(text))  # bytes to the end of the content
+    whole = left[order] >= length
+    starts, group = order[whole], group[whole]
+    keys = key[owner_of[starts]]
+    places = place[owner_of[starts]] + starts - begin[owner_of[starts]]
+    fresh = np.ones(len(starts), bool)
+    fresh[1:] = group[1:] != group[:-1]
+    # groups lie together already; only those of several windows need their first one found
+    several = np.zeros(len(starts), bool)
+    several[1:] |= ~fresh[1:]
+    several[:-1] |= ~fresh[1:]
+    some = np.flatnonzero(several)
+    some = some[np.lexsort((places[some], keys[some], group[some]))]
+    first = np.ones(len(some), bool)
+    first[1:] = group[some][1:] != group[some][:-1]
+    leader = some[first][np.cumsum(first) - 1]
     # a place may be there twice, in neighbouring contexts: it doesn't repeat itself
-    leader = kept[np.cumsum(first) - 1][~first]
-    itself = (keys[gone] == keys[leader]) & (places[gone] == places[leader])
-    gone = gone[~itself]
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    words = _words_at(padded)
-    columns = []
-    for j in range(0, length, 8):
-        w = words[starts[kept] + j].byteswap()
-        if length - j < 8:
-            w = w >> np.uint64(8 * (8 - (length - j)))
-        columns.append(w)
-    return Shard(np.stack(columns, axis=1), keys[kept], places[kept], keys[gone], places[gone])
+    gone = some[(keys[some] != keys[leader]) | (places[some] != places[leader])]
+    kept = np.flatnonzero(~several)
+    kept = np.sort(np.concatenate([kept, some[first]]))
+    return Shard(text, starts[kept], length, keys[kept], places[kept], keys[gone], places[gone])
 
 
 def search(rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -413,7 +439,7 @@ def cut_contexts(rows: DataFrame, open_: DataFrame, length: int) -> DataFrame:
                     low = max(0, w["at"] - (length - gram))
                     content = raw[low : w["at"] + length]
                     if not w["many"]:
-                        out.append((1, w["h"], key, base + low, 0, content))
+                        out.append((1, w["h"], key, base + low, w["at"] - low, content))
                         continue
                     for o in range(len(content) - length + 1):
                         window, place = content[o : o + length], (key, base + low + o)
@@ -423,7 +449,7 @@ def cut_contexts(rows: DataFrame, open_: DataFrame, length: int) -> DataFrame:
                             repeats.append(max(known, place))
             for window, (key, place) in windows.items():
                 route = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                out.append((1, route, key, place, 0, window))
+                out.append((2, route, key, place, 0, window))
             if repeats:
                 k, p, s = union(np.array([x[0] for x in repeats]), np.array([x[1] for x in repeats]), np.full(len(repeats), length))
                 out += [(0, a ^ b, a, b, c, None) for a, b, c in zip(k.tolist(), p.tolist(), s.tolist(), strict=True)]
@@ -433,28 +459,96 @@ def cut_contexts(rows: DataFrame, open_: DataFrame, length: int) -> DataFrame:
     return rows.join(wanted, ["key", "ordinal"]).select("key", "ordinal", "text", "wanted").mapInArrow(task, _CONTEXT)
 
 
+def _sides(text: np.ndarray, start: np.ndarray, size: np.ndarray, step: int, width: int) -> np.ndarray:
+    """The ``size`` bytes from each start on, forwards or backwards, filled up with zeros."""
+    at = np.arange(width)
+    index = start[:, None] + step * at
+    return np.where(at < size[:, None], text[np.clip(index, 0, len(text) - 1)], np.uint8(0))
+
+
+def _most_shared(route: np.ndarray, side: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The longest prefix that each side shares with another of the same route: its neighbours' in sorted order."""
+    words = np.ascontiguousarray(side).view(">u8").astype(np.uint64)
+    order = np.lexsort((size, *words.T[::-1], route))  # zeros that fill up come before zeros of a text
+    one, other = order[1:], order[:-1]
+    equal = side[one] == side[other]
+    shared = np.where(equal.all(axis=1), side.shape[1], equal.argmin(axis=1))
+    shared = np.minimum(shared, np.minimum(size[one], size[other]))
+    shared[route[one] != route[other]] = -1
+    most = np.full(len(route), -1)
+    most[one] = shared
+    most[other] = np.maximum(most[other], shared)
+    return most
+
+
+def cut_back(content: list[bytes], route: np.ndarray, before: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes of each context can be cut at its start, and how many can stay; none if no window is shared.
+
+    A window that two contexts share reaches over what they share before and behind
+    the anchor, so what a context shares with none of its route is of no use.
+    """
+    gram = min(GRAM, length)
+    width = -(-max(length - gram, 1) // 8) * 8
+    text = np.frombuffer(b"".join(content), np.uint8)
+    size = np.fromiter(map(len, content), np.int64, len(content))
+    begin = np.cumsum(size) - size
+    after = size - before - gram
+    left = _most_shared(route, _sides(text, begin + before - 1, before, -1, width), before)
+    right = _most_shared(route, _sides(text, begin + before + gram, after, 1, width), after)
+    stay = np.where(left >= 0, left + gram + right, 0)
+    return before - left, np.where(stay >= length, stay, 0)
+
+
 def repeated_windows(found: DataFrame, length: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Spans of windows that start earlier elsewhere, from contexts brought together."""
     shape, arrow = arrow_schema(_SPAN), arrow_schema(_CONTEXT)
 
-    def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = gathered(frames, arrow).sort_by([("route", "ascending")])
-        kind = table.column("kind").to_numpy()
-        key, place, span = (table.column(c).to_numpy() for c in ("key", "place", "span"))
-        content = table.column("content")
-        spans = [(key[kind == 0], place[kind == 0], span[kind == 0])]
-        rows = np.flatnonzero(kind == 1)
+    def shared(content: list[bytes], route: np.ndarray, key: np.ndarray, place: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """Spans of contexts that are ordered by key and place: repeats of whole ones, then of windows."""
+        first: dict[tuple[int, bytes], int] = {}
+        again = [i for i, x in enumerate(zip(route.tolist(), content, strict=True)) if first.setdefault(x, i) != i]
+        # the same bytes may have come by two anchors
+        again = [i for i in again if (j := first[route[i], content[i]]) >= 0 and (key[i] != key[j] or place[i] != place[j])]
+        spans = [(key[again], place[again], np.fromiter((len(content[i]) for i in again), np.int64, len(again)))]
+        kept = sorted(first.values())
         shards, start, size = [], 0, 0
-        sizes = np.array([len(content[int(i)].as_buffer()) for i in rows], np.int64)
-        for e in range(len(rows)):
-            size += int(sizes[e])
-            if size >= shard_bytes or e == len(rows) - 1:
-                part = rows[start : e + 1]
-                shards.append(build_shard(content.take(pa.array(part)).to_pylist(), key[part], place[part], length))
+        for e, i in enumerate(kept):
+            size += len(content[i])
+            if size >= shard_bytes or e == len(kept) - 1:
+                part = kept[start : e + 1]
+                shards.append(build_shard([content[i] for i in part], key[part], place[part], length))
                 start, size = e + 1, 0
         if shards:
             k, p = merge_shards(shards)
             spans.append((k, p, np.full(len(k), length)))
+        return spans
+
+    def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = gathered(frames, arrow).sort_by([("kind", "ascending"), ("route", "ascending")])
+        kind, route, key, place, span = (table.column(c).to_numpy() for c in ("kind", "route", "key", "place", "span"))
+        content = table.column("content")
+        spans = [(key[kind == 0], place[kind == 0], span[kind == 0])]
+        # windows that came by their own bytes: all but the first go
+        windows = np.flatnonzero(kind == 2)
+        windows = windows[np.lexsort((place[windows], key[windows], route[windows]))]
+        first: dict[bytes, int] = {}
+        late = [i for i, w in zip(windows.tolist(), content.take(pa.array(windows)).to_pylist(), strict=True) if first.setdefault(w, i) != i]
+        spans.append((key[late], place[late], np.full(len(late), length)))
+        rows = np.flatnonzero(kind == 1)
+        heads = np.flatnonzero(np.diff(route[rows], prepend=0) != 0) if len(rows) else rows
+        start = 0
+        while start < len(rows):  # chunks end where a route ends
+            at = np.searchsorted(heads, start + CHUNK)
+            stop = int(heads[at]) if at < len(heads) else len(rows)
+            part = rows[start:stop]
+            part = part[np.lexsort((place[part], key[part]))]
+            raw = content.take(pa.array(part)).to_pylist()
+            cut, stay = cut_back(raw, route[part], span[part], length)
+            use = np.flatnonzero(stay)
+            if len(use):
+                trimmed = [raw[i][a : a + n] for i, a, n in zip(use.tolist(), cut[use].tolist(), stay[use].tolist(), strict=True)]
+                spans += shared(trimmed, route[part][use], key[part][use], place[part][use] + cut[use])
+            start = stop
         k, p, s = union(*(np.concatenate(x) for x in zip(*spans, strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (k, p, s)], schema=shape)
 
@@ -477,6 +571,7 @@ def repeated_spans(rows: DataFrame, length: int = 100) -> DataFrame:
     """key, ordinal, spans of the texts (key, ordinal, text) that lose bytes; spans are pieces of [start, end) in any order."""
     texts = rows.select("key", "ordinal", "text")
     found = repeated_contexts(document_anchors(texts, length), length)
+    let_go(rows.sparkSession)
     cut = cut_contexts(texts, found.filter("kind = 1"), length)
     spans = found.filter("kind = 0").select("key", "place", "span").unionByName(repeated_windows(cut, length))
     byte = F.col("place").bitwiseAND(F.lit((1 << _PLACE) - 1))
@@ -499,6 +594,7 @@ def _kept(raw: bytes, spans: list[dict[str, int]] | None) -> tuple[bytes, int]:
 
 def _apply(rows: DataFrame, length: int) -> DataFrame:
     spans = settle(repeated_spans(rows, length)).withColumnRenamed("key", "_key").withColumnRenamed("ordinal", "_ordinal")
+    let_go(rows.sparkSession)
     return rows.join(spans, (rows["key"] == spans["_key"]) & (rows["ordinal"] == spans["_ordinal"]), "left").drop("_key", "_ordinal")
 
 
