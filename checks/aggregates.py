@@ -121,10 +121,12 @@ FROM events WHERE event_type IS NOT NULL GROUP BY 1""")
 
 
 def _rates_sql(columns) -> str:
-    return " UNION ALL ".join(
+    each = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, AVG(f) AS rate, COUNT(*) AS n, "
         f"(SELECT AVG(f) FROM fl) AS overall_rate FROM fl WHERE {c} IS NOT NULL GROUP BY 2" for c in columns
     )
+    place = "CAST(ROW_NUMBER() OVER (PARTITION BY feature ORDER BY rate DESC, level) AS INT)"
+    return f"SELECT *, {place} AS position FROM ({each})"
 
 
 _FL = "fl AS (SELECT *, CASE WHEN Attrition = 'Yes' THEN 1 ELSE 0 END AS f FROM people)"
@@ -162,13 +164,14 @@ FROM (SELECT quantile_cont(MonthlyIncome, 0.5) AS m, AVG(MonthlyIncome) AS a FRO
 
 
 def _describe_sql(source: str, columns) -> str:
-    return " UNION ALL ".join(
+    each = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, COUNT({c}) AS n, ROUND(AVG(CAST({c} AS DOUBLE)), 8) AS mean, "
         f"ROUND(STDDEV_SAMP({c}), 8) AS std, "
         f"MIN(CAST({c} AS DOUBLE)) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, "
         f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, "
         f"MAX(CAST({c} AS DOUBLE)) AS max FROM {source}" for c in columns
     )
+    return f"SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY mean DESC, feature) AS INT) AS position FROM ({each})"
 
 
 add("describe", over(lambda df: rounded(aggregate.describe(df, NUMERIC), "mean", "std", places=8), raw),
@@ -181,7 +184,7 @@ def _round_quartiles(text: str) -> str:
     for q in ("q25", "q50", "q75"):
         text = text.replace(f") AS {q},", f") AS raw_{q},")
     inner = ", ".join(f"ROUND(raw_{q}, 6) AS {q}" for q in ("q25", "q50", "q75"))
-    return f"SELECT feature, n, mean, std, min, max, {inner} FROM ({text})"
+    return f"SELECT feature, n, mean, std, min, max, position, {inner} FROM ({text})"
 
 
 def describe_lineitem(spark, sf_dir):

@@ -44,6 +44,22 @@ def scan_csv(spark, sf_dir):
     return readers.scan_csv(spark, _csv(spark, sf_dir), specs.RAW_SCHEMA)
 
 
+def scan_csv_reordered(spark, sf_dir):
+    """Columns are found by the header, whatever their order in the file."""
+    path = scratch_path(spark, "people-csv")
+    raw(spark, sf_dir).select(*reversed(specs.RAW_COLUMNS)).write.option("header", True).csv(path)
+    return readers.scan_csv(spark, path, specs.RAW_SCHEMA)
+
+
+def scan_csv_rejects(spark, sf_dir):
+    """Cells that don't fit their column's type, per column."""
+    path = scratch_path(spark, "people-csv")
+    people = raw(spark, sf_dir)
+    spoilt = F.when(F.col("EmployeeNumber") % 100 == 0, "oops").otherwise(F.col("Age").cast("string"))
+    people.withColumn("Age", spoilt).write.option("header", True).csv(path)
+    return readers.rejects(spark, path, specs.RAW_SCHEMA)
+
+
 def scan_csv_inferred(spark, sf_dir):
     """Types found by the extra pass; the key is narrowed to int, as its values fit."""
     found = readers.scan_csv(spark, _csv(spark, sf_dir))
@@ -127,6 +143,10 @@ def layer_routing(spark, sf_dir):
 
 
 add("scan_csv", scan_csv, sql("people", f"SELECT {RAW_LIST} FROM people"))
+add("scan_csv_reordered", scan_csv_reordered, sql("people", f"SELECT {RAW_LIST} FROM people"))
+add("scan_csv_rejects", scan_csv_rejects, sql("people", f"""
+SELECT column_name, CASE WHEN column_name = 'Age' THEN (SELECT COUNT(*) FROM people WHERE EmployeeNumber % 100 = 0) ELSE 0 END AS n_rejected
+FROM (SELECT UNNEST([{', '.join(literal(c) for c in specs.RAW_COLUMNS)}]) AS column_name)"""))
 add("scan_csv_inferred", scan_csv_inferred, sql("people", f"SELECT {RAW_LIST} FROM people"))
 add("scan_first_available", scan_first_available, sql("people", f"SELECT {RAW_LIST} FROM people"))
 add("ingest_config", ingest_config, sql("people", """

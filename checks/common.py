@@ -381,8 +381,14 @@ def sql_student_p(t: str, dof: str) -> str:
 
 
 def sql_chi2_p(x: str, dof: str) -> str:
-    inside = _simpson(f"2 * POW(<u>, {dof} - 1) * EXP(-<u> * <u> / 2)", f"SQRT({x})")
-    return f"1 - {inside} / (POW(2, {dof} / 2.0) * GAMMA({dof} / 2.0))"
+    # in logarithms, and no farther than the density reaches: neither many degrees of
+    # freedom nor a strong association leaves the range of a double
+    scale = f"LGAMMA({dof} / 2.0) + ({dof} / 2.0 - 1) * LN(2)"
+    density = (
+        f"CASE WHEN <u> = 0 THEN CASE WHEN {dof} = 1 THEN EXP(-({scale})) ELSE 0 END "
+        f"ELSE EXP(({dof} - 1) * LN(<u>) - <u> * <u> / 2 - ({scale})) END"
+    )
+    return f"GREATEST(0, 1 - {_simpson(density, f'LEAST(SQRT({x}), SQRT({dof}) + 12)')})"
 
 
 def sql_normal_p(z: str) -> str:

@@ -59,8 +59,10 @@ add("hash_split", over(lambda df: training.split_by_hash(df, KEY, _SHARE).select
     sql("features", f"""SELECT {KEY}, CASE WHEN {_HASH} < {int(_SHARE * training.HASH_MODULUS)}
     THEN 'test' ELSE 'train' END AS split FROM features"""))
 add("folds", over(lambda df: training.with_folds(df, KEY).groupBy("attrition", "fold").agg(F.count(F.lit(1)).alias("n")), feature_rows),
-    sql("features", f"""SELECT attrition, CAST(({KEY} * {KEY} * 5417 + {KEY} * 31013 + 42) % {training.HASH_MODULUS} % 5 AS INT) AS fold,
-    COUNT(*) AS n FROM features GROUP BY 1, 2"""))
+    sql("features", f"""SELECT attrition, fold, COUNT(*) AS n FROM (
+  SELECT attrition, CAST((ROW_NUMBER() OVER (PARTITION BY attrition
+    ORDER BY ({KEY} * {KEY} * 5417 + {KEY} * 31013 + 42) % 1000003, {KEY}) - 1) % 5 AS INT) AS fold FROM features)
+GROUP BY 1, 2"""))
 _SCALED = ["age", "monthly_income", "promo_stagnation", "overtime"]
 
 
@@ -187,10 +189,12 @@ def card_metrics(spark, sf_dir):
 
 add("binary_metrics", card_metrics, sql("cards", "SELECT * FROM metrics", *_EVAL))
 add("roc_curve", over(lambda df: ranking.roc_curve(df, "score", "attrition", by=["model"]), all_cards),
-    sql("cards", """SELECT model, score AS threshold, fp::DOUBLE / n_neg AS fpr, tp::DOUBLE / n_pos AS tpr FROM steps""", _STEPS))
+    sql("cards", """SELECT model, score AS threshold, fp::DOUBLE / n_neg AS fpr, tp::DOUBLE / n_pos AS tpr FROM steps
+    UNION ALL SELECT DISTINCT model, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM cards""", _STEPS))
 add("pr_curve", over(lambda df: ranking.pr_curve(df, "score", "attrition", by=["model"]), all_cards),
     sql("cards", """SELECT model, score AS threshold, tp::DOUBLE / (tp + fp) AS precision, tp::DOUBLE / n_pos AS recall,
-    n_pos::DOUBLE / (n_pos + n_neg) AS base_rate FROM steps""", _STEPS))
+    n_pos::DOUBLE / (n_pos + n_neg) AS base_rate FROM steps
+    UNION ALL SELECT model, 'inf'::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, SUM(attrition)::DOUBLE / COUNT(*) FROM cards GROUP BY model""", _STEPS))
 _one = over(lambda df: df.filter("model = 'Full Card'"), all_cards)
 add("confusion_matrix", over(lambda df: ranking.confusion_matrix(df, "attrition", "prediction"), _one),
     sql("cards", """SELECT CAST(a AS INT) AS actual, CAST(p AS INT) AS predicted, COUNT(c.attrition) AS n

@@ -29,10 +29,12 @@ _FL = "fl AS (SELECT *, CASE WHEN Attrition = 'Yes' THEN 1 ELSE 0 END AS f FROM
 
 def _biserial_sql(source: str, columns, flag: str) -> str:
     each = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, CORR(CAST({c} AS DOUBLE), CAST({flag} AS DOUBLE)) AS r, COUNT(*) AS n "
+        f"SELECT '{c}' AS feature, CASE WHEN MIN({c}) < MAX({c}) AND MIN({flag}) < MAX({flag}) "
+        f"THEN CORR(CAST({c} AS DOUBLE), CAST({flag} AS DOUBLE)) END AS r, COUNT(*) AS n "
         f"FROM {source} WHERE {c} IS NOT NULL AND {flag} IS NOT NULL" for c in columns)
     return f"""pb AS (
-SELECT feature, ROUND(r, 6) AS correlation, ROUND(ABS(r), 6) AS abs_corr, n, ROUND(p, 6) AS p_value, p < {ALPHA} AS significant
+SELECT feature, ROUND(r, 6) AS correlation, ROUND(ABS(r), 6) AS abs_corr, n, ROUND(p, 6) AS p_value, COALESCE(p < {ALPHA}, FALSE) AS significant,
+  CAST(ROW_NUMBER() OVER (ORDER BY ABS(r) DESC NULLS LAST, feature) AS INT) AS position
 FROM (SELECT *, {sql_student_p('t', '(n - 2)')} AS p FROM (
   SELECT *, r * SQRT((n - 2) / (1 - r * r)) AS t FROM ({each}))))"""
 
@@ -58,12 +60,29 @@ _RATIOS = ["income_per_experience_year", "company_loyalty_ratio"]
 add("point_biserial_with_nulls", over(lambda df: _biserial(df, _RATIOS, "attrition"), labelled),
     sql("labelled", "SELECT * FROM pb", _biserial_sql("labelled", _RATIOS, "attrition")))
 
+# columns that don't vary, and values that are not numbers
+_FLAT = ["EmployeeCount", "StandardHours", "Age"]
+add("point_biserial_constant", over(lambda df: _biserial(df, _FLAT, "Attrition_Flag"), flagged),
+    sql("people", "SELECT * FROM pb", _FL, _biserial_sql("fl", _FLAT, "f")))
+
+
+def with_nan(spark, sf_dir):
+    hole = F.when(F.col("EmployeeNumber") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("MonthlyIncome"))
+    return flagged(spark, sf_dir).withColumn("holed", hole)
+
+
+_HOLED = "holed AS (SELECT *, CASE WHEN EmployeeNumber % 7 <> 0 THEN MonthlyIncome END AS holed FROM fl)"
+add("point_biserial_nan", over(lambda df: _biserial(df, ["holed", "Age"], "Attrition_Flag"), with_nan),
+    sql("people", "SELECT * FROM pb", _FL, _HOLED, _biserial_sql("holed", ["holed", "Age"], "f")))
+
 # --- correlation matrix ----------------------------------------------------------------
 
 
 def _matrix_sql(source: str, columns) -> str:
     return "m AS (" + " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, ROUND(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r FROM {source}"
+        f"SELECT '{a}' AS a, '{b}' AS b, CASE WHEN MIN({a}) < MAX({a}) AND MIN({b}) < MAX({b}) "
+        f"THEN ROUND(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) END AS r FROM {source} "
+        f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
         for a in columns for b in columns) + ")"
 
 
@@ -77,11 +96,19 @@ add("pearson_matrix_with_nulls", over(lambda df: rounded(stats.pearson_matrix(df
     sql("labelled", "SELECT * FROM m", _matrix_sql("labelled", _HOLES)))
 
 
+_FLAT_AND_HOLED = ["StandardHours", "holed", "Age", "DailyRate"]
+add("pearson_constant_with_nulls", over(lambda df: rounded(stats.pearson_matrix(df, _FLAT_AND_HOLED), "r"), with_nan),
+    sql("people", "SELECT * FROM m", _FL, _HOLED, _matrix_sql("holed", _FLAT_AND_HOLED)))
+add("pearson_single", over(lambda df: rounded(stats.pearson_matrix(df, ["Age"]), "r"), raw),
+    sql("people", "SELECT * FROM m", _matrix_sql("people", ["Age"])))
+
+
 def _high_sql(columns, above: float) -> str:
     place = {c: i for i, c in enumerate(columns)}
     order = " ".join(f"WHEN '{c}' THEN {i}" for c, i in place.items())
     return (
-        f"SELECT a, b, r, CASE WHEN ABS(r) > {specs.DROP_CORRELATION} THEN 'drop one' ELSE 'monitor' END AS action "
+        f"SELECT a, b, r, CASE WHEN ABS(r) > {specs.DROP_CORRELATION} THEN 'drop one' ELSE 'monitor' END AS action, "
+        f"CAST(ROW_NUMBER() OVER (ORDER BY ABS(r) DESC, a, b) AS INT) AS position "
         f"FROM m WHERE (CASE a {order} END) < (CASE b {order} END) AND ABS(r) > {above}")
 
 
@@ -192,7 +219,8 @@ def _chi2_sql(source: str, columns, label: str) -> list[str]:
   SUM(CASE WHEN dof = 1 THEN POW(GREATEST(ABS(o - e) - 0.5, 0), 2) / e ELSE POW(o - e, 2) / e END) AS chi2
   FROM grid GROUP BY feature)""",
         f"""tests AS (SELECT feature, n, dof, ROUND(chi2, 6) AS chi2, ROUND(p, 6) AS p_value,
-  ROUND(SQRT(chi2 / (n * side)), 6) AS cramers_v, p < {ALPHA} AS significant
+  ROUND(SQRT(chi2 / (n * side)), 6) AS cramers_v, p < {ALPHA} AS significant,
+  CAST(ROW_NUMBER() OVER (ORDER BY SQRT(chi2 / (n * side)) DESC, feature) AS INT) AS position
   FROM (SELECT *, {sql_chi2_p('chi2', 'dof')} AS p FROM chi))""",
     ]
 
@@ -207,6 +235,22 @@ add("chi_squared_lineitem", lambda spark, sf_dir: _chi2(
         table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linenumber"], "l_linestatus"),
     "WITH " + ", ".join(_chi2_sql("lineitem", ["l_returnflag", "l_linenumber"], "l_linestatus")) + " SELECT * FROM tests")
 
+# thousands of levels: one column that has nothing to do with the label, one that fixes it
+
+
+def many_levels(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").withColumn("kind", F.col("l_partkey") % 5)
+
+
+def _many(name: str, label: str) -> None:
+    add(name, over(lambda df: _chi2(df, ["l_partkey"], label), many_levels),
+        "WITH " + ", ".join(["li AS (SELECT *, l_partkey % 5 AS kind FROM lineitem)", *_chi2_sql("li", ["l_partkey"], label)])
+        + " SELECT * FROM tests")
+
+
+_many("chi_squared_many_levels", "l_returnflag")
+_many("chi_squared_many_levels_strong", "kind")
+
 # --- rank sums -----------------------------------------------------------------------------
 
 

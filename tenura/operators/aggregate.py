@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.arithmetic import percent
 from tenura.operators.columns import long_form, numeric_columns
-from tenura.operators.joins import bounded
 from tenura.operators.ordering import exact_quantiles, quantiles_of_counts, value_table
 from tenura.session import settle
 
@@ -106,30 +105,30 @@ def distinct_tuples(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> DataFra
 
 
 def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
-    """Count and percent by value."""
+    """Count and percent by value, the most frequent first; the rows are read once."""
     present = df.filter(F.col(column).isNotNull()) if dropna else df
-    total = present.agg(F.count(F.lit(1))).scalar()
-    return (
-        present.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("pct", percent(F.col("n"), total))
-    )
+    counts = settle(present.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", percent(F.col("n"), total)).orderBy(F.col("n").desc(), column)
 
 
 def rates(df: DataFrame, columns: Sequence[str], flag: str, dropna: bool = True) -> DataFrame:
     """Mean of a 0/1 flag and row count by (feature, level), with the overall mean.
 
-    All columns share one scan and one aggregate.
+    All columns share one scan and one aggregate; the overall mean comes from the
+    counts of one of them. ``position`` gives the report's order within a feature: the
+    highest rate first.
     """
     long = long_form(df, columns, keep=[flag], dtype="string", value="level")
-    if dropna:
-        long = long.filter(F.col("level").isNotNull())
-    overall = df.agg(F.avg(flag)).scalar()
-    return (
-        long.groupBy("feature", "level")
-        .agg(F.avg(flag).alias("rate"), F.count(flag).alias("n"))
-        .withColumn("overall_rate", overall)
+    counts = settle(
+        long.groupBy("feature", "level").agg(F.sum(flag).alias("_hits"), F.count(flag).alias("n"))
     )
+    whole = counts.filter(F.col("feature") == list(columns)[0])
+    overall = whole.agg(F.sum("_hits") / F.nullif(F.sum("n"), F.lit(0))).scalar()
+    table = counts.filter(F.col("level").isNotNull()) if dropna else counts
+    rate = F.col("_hits") / F.nullif(F.col("n"), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("feature").orderBy(F.desc_nulls_last("rate"), "level"))
+    return table.select("feature", "level", rate.alias("rate"), "n", overall.alias("overall_rate")).withColumn("position", place)
 
 
 def worst_levels(rate_table: DataFrame) -> DataFrame:
@@ -191,11 +190,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per column.
 
     The rows are read once, into counts per distinct value; all the rest comes
-    from those.
+    from those. A column without values has n = 0 and nulls. ``position`` gives the
+    report's order: the largest mean first.
     """
     counts = settle(value_table(long_form(df, columns), "value", ["feature"]))
     v, n = F.col("value"), F.col("n")
-    first = bounded(
+    first = settle(
         counts.groupBy("feature").agg(
             F.sum("n").alias("rows"), (F.sum(v * n) / F.sum("n")).alias("mean"),
             F.min("value").alias("min"), F.max("value").alias("max"),
@@ -207,9 +207,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     quartiles = quantiles_of_counts(
         counts, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=["feature"], settled=True
     )
-    return moments.join(quartiles, "feature").select(
-        "feature", F.col("rows").alias("n"), "mean", "std", "min", "q25", "q50", "q75", "max"
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    told = names.join(moments.join(quartiles, "feature"), "feature", "left").select(
+        "feature", F.coalesce("rows", F.lit(0)).cast("long").alias("n"), "mean", "std", "min", "q25", "q50", "q75", "max"
     )
+    # one row per column
+    return told.withColumn("position", F.row_number().over(Window.orderBy(F.desc_nulls_last("mean"), "feature")))
 
 
 def describe_approx(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
@@ -229,20 +232,22 @@ def describe_approx(df: DataFrame, columns: Sequence[str], accuracy: int = 10_00
 def histogram(df: DataFrame, columns: Sequence[str], by: str, bins: int) -> DataFrame:
     """Equal-width bins per (feature, class) over that class's own range.
 
-    The last bin is closed; a single-valued range is widened by half on each
-    side; empty bins are kept. ``density`` is count / (rows x width).
+    The last bin is closed; a single-valued range is widened by half on each side, or
+    by as much as a large value needs to differ; empty bins are kept, and without any
+    value they have no edges. ``density`` is count / (rows x width).
     """
-    long = long_form(df, columns, keep=[by]).filter(F.col("value").isNotNull() & F.col(by).isNotNull())
+    long = long_form(df, columns, keep=[by]).filter(F.col(by).isNotNull())
     spans = long.groupBy("feature", by).agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").alias("rows")
     )
     flat = F.col("lo") == F.col("hi")
+    half = F.greatest(F.lit(0.5), F.abs("lo") * 2.0**-32)
     spans = spans.select(
         "feature", by, "rows",
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        F.when(flat, F.col("lo") - half).otherwise(F.col("lo")).alias("lo"),
+        F.when(flat, F.col("hi") + half).otherwise(F.col("hi")).alias("hi"),
     ).withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
-    spans = bounded(spans)
+    spans = settle(spans)
 
     guess = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
     edge = F.col("lo") + F.col("guess") * F.col("width")
@@ -254,7 +259,7 @@ def histogram(df: DataFrame, columns: Sequence[str], by: str, bins: int) -> Data
         .otherwise(F.col("guess"))
     )
     counted = (
-        long.join(spans, ["feature", by])
+        long.filter(F.col("value").isNotNull()).join(spans, ["feature", by])
         .withColumn("guess", guess)
         .groupBy("feature", by, exact.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -266,7 +271,7 @@ def histogram(df: DataFrame, columns: Sequence[str], by: str, bins: int) -> Data
         F.when(F.col("bin") == bins - 1, F.col("hi"))
         .otherwise(F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n"),
-        (F.coalesce("n", F.lit(0)) / (F.col("rows") * F.col("width"))).alias("density"),
+        F.try_divide(F.coalesce("n", F.lit(0)), F.col("rows") * F.col("width")).alias("density"),
     )
 
 
@@ -279,7 +284,7 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(bounded(quartiles), by)
+        counts.join(settle(quartiles), by)
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.min(value).alias("min"),
@@ -345,8 +350,14 @@ def union_cuts(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """Rows equal to an earlier row on ``keys`` (default: all columns); nulls are equal."""
-    counted = df.groupBy(*(keys or df.columns)).agg(F.count(F.lit(1)).alias("n"))
+    """Rows equal to an earlier row on ``keys`` (default: all columns); nulls are equal.
+
+    Whole rows are compared by a 256-bit digest of their text, in which nulls are
+    marked, so their columns don't cross the shuffle.
+    """
+    row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    grouped = df.groupBy(*keys) if keys else df.groupBy(F.unhex(row).alias("row"))
+    counted = grouped.agg(F.count(F.lit(1)).alias("n"))
     return counted.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 

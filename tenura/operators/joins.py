@@ -1,4 +1,4 @@
-"""Lookup joins whose broadcast side is checked, and orphan detection."""
+"""Lookup joins to unique keys, and orphan detection."""
 
 from __future__ import annotations
 
@@ -9,45 +9,41 @@ from pyspark.sql import functions as F
 
 from tenura.session import settle
 
-# Most rows a table may have to be broadcast; checked against a real count.
+# Most rows of a lookup that is handled in one task; checked against a real count.
 BROADCAST_ROWS = 100_000
 
 
 def counted(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Compute a lookup once; also tells whether it is small enough to broadcast."""
+    """Compute a lookup once; also tells whether it is small enough for one task."""
     table = settle(df)
     return table, table.count() <= max_rows
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a lookup once and mark it for broadcast if it is small.
-
-    A larger one comes back unmarked: Spark then joins by shuffle and splits hot
-    keys at run time.
-    """
-    table, small = counted(df, max_rows)
-    return F.broadcast(table) if small else table
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: Mapping[str, str] | Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
-    known_small: bool = False,
+    known_unique: bool = False,
 ) -> DataFrame:
     """LEFT equi-join to a unique-keyed lookup; single or composite key.
 
     ``on`` maps row columns to lookup columns; the lookup's key columns are
-    dropped from the result. Null keys match nothing. ``known_small`` says that the
-    caller has already counted the lookup and found it within the bound.
+    dropped from the result. Null keys match nothing. The lookup is written once, so
+    Spark broadcasts it or not by its real bytes, and splits hot keys of a shuffle.
+    A key that the lookup has twice raises; ``known_unique`` says that the caller has
+    grouped by it.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     side = lookup.select(
         *[F.col(there).alias(f"_on_{here}") for here, there in pairs.items()],
         *[c for c in lookup.columns if c not in pairs.values()],
     )
-    side = F.broadcast(side) if known_small else bounded(side, max_rows)
+    if not known_unique:
+        side = settle(side)
+        keys = [f"_on_{here}" for here in pairs]
+        twice = side.na.drop(subset=keys).groupBy(*keys).count().filter("count > 1").first()
+        if twice:
+            raise ValueError(f"the lookup has a key twice: {twice.asDict()}")
     condition = None
     for here in pairs:
         equal = rows[here] == side[f"_on_{here}"]
@@ -55,10 +51,8 @@ def lookup_join(
     return rows.join(side, condition, "left").drop(*[f"_on_{here}" for here in pairs])
 
 
-def orphans(
-    child: DataFrame, foreign_key: str, parent: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose non-null foreign key is missing in the parent."""
-    keys = bounded(parent.select(F.col(key).alias("_parent")).distinct(), max_rows)
+    keys = settle(parent.select(F.col(key).alias("_parent")).distinct())
     present = child.filter(F.col(foreign_key).isNotNull())
     return present.join(keys, present[foreign_key] == keys["_parent"], "left_anti")

@@ -2,8 +2,8 @@
 
 A window over a whole table, or over one hot group, would pull all of it into a
 single task. Here the table is range-partitioned on its sort key, each block
-works alone, and only the per-block totals (one row per block) are combined.
-Tables whose counted size is small take the plain window.
+works alone, and only the per-block totals (one row per block) are combined. The plain
+window is for callers that have counted their table already.
 """
 
 from __future__ import annotations
@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from tenura.session import settle
 
-# Most rows a single window task may be handed; checked against a real count.
-WINDOW_ROWS = 200_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its low bits
 
 
@@ -64,15 +61,11 @@ def dense_key(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFr
 def number_rows(
     df: DataFrame, order: Sequence[str | Column], name: str, known_small: bool = False
 ) -> DataFrame:
-    """Row numbers for a table that is usually tiny (a dimension) but may not be.
-
-    ``known_small`` says that the caller has already counted it.
-    """
-    table = df if known_small else settle(df)
-    if not known_small and table.count() > WINDOW_ROWS:
-        return dense_key(table, order, name)
+    """Row numbers 1..n in ``order``; by a plain window where the caller has counted the rows to be few."""
+    if not known_small:
+        return dense_key(df, order, name)
     number = F.row_number().over(Window.orderBy(*_order(order)))
-    return table.withColumn(name, number.cast("bigint"))
+    return df.withColumn(name, number.cast("bigint"))
 
 
 def running_totals(
@@ -80,19 +73,20 @@ def running_totals(
     sums: Sequence[str],
     order: Sequence[str | Column],
     within: Sequence[str] = (),
-    window_rows: int = WINDOW_ROWS,
+    known_small: bool = False,
     settled: bool = False,
 ) -> DataFrame:
     """Adds ``<sum>_before`` (over earlier rows of the group) and ``<sum>_total``.
 
     ``order`` must be unique within a group, as after a ``groupBy`` on it. A group
     may be of any size: it is cut into blocks, and only block totals are combined.
-    ``settled`` says that ``df`` is a written table already.
+    ``settled`` says that ``df`` is a written table already; ``known_small`` that its
+    largest group was counted and fits one task.
     """
     table = df if settled else settle(df)
     keys = _order(order)
     groups = list(within)
-    if table.count() <= window_rows:
+    if known_small:
         whole = Window.partitionBy(*groups)
         earlier = whole.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
         return table.select(
@@ -145,12 +139,12 @@ def quantiles_of_counts(
     value: str,
     probs: dict[str, float],
     by: Sequence[str] = (),
-    window_rows: int = WINDOW_ROWS,
+    known_small: bool = False,
     settled: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles from ``(by, value, n)``, one row per group."""
     ranked = running_totals(
-        counts, ["n"], [value], within=by, window_rows=window_rows, settled=settled
+        counts, ["n"], [value], within=by, known_small=known_small, settled=settled
     )
     last = F.col("n_before") + F.col("n")
     aggregates = []
@@ -171,7 +165,7 @@ def quantiles_of_counts(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), **options: int
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), **options: bool
 ) -> DataFrame:
     """Exact quantiles of the non-null values per group."""
     return quantiles_of_counts(value_table(df, value, by), value, probs, by, **options)

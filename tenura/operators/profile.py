@@ -28,7 +28,8 @@ def _present(then: Column | str) -> Column:
 def schema_profile(df: DataFrame, order: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: type, non-null and null counts, exact distinct count, first value.
 
-    ``order`` is the column that decides which row counts as the first one.
+    ``order`` is the column that decides which row counts as the first one; of several
+    first rows the smallest by all columns.
     """
     columns = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in columns}
@@ -38,7 +39,8 @@ def schema_profile(df: DataFrame, order: str, columns: Sequence[str] | None = No
         F.count("value").alias("n_unique"),
     )
     # the first row alone, found by its key: a filter that the scan can prune on
-    first_row = df.filter(F.col(order) == df.agg(F.min(order)).scalar()).limit(1)
+    first_row = df.filter(F.col(order) == df.agg(F.min(order)).scalar())
+    first_row = first_row.orderBy(F.to_json(F.struct(*df.columns))).limit(1)
     first = long_form(first_row, columns, dtype="string").select("feature", F.col("value").alias("sample_value"))
     nulls = F.col("n_rows") - F.col("non_null")
     return per_column.join(F.broadcast(first), "feature", "left").select(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.operators.ordering import WINDOW_ROWS, running_totals
+from tenura.operators.ordering import running_totals
 from tenura.session import settle
 
 
@@ -22,9 +22,9 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
     return present.groupBy(*by, score).agg(F.sum(flag).alias("pos"), F.sum(1 - flag).alias("neg"))
 
 
-def _thresholds(counts: DataFrame, score: str, by: Sequence[str], window_rows: int = WINDOW_ROWS) -> DataFrame:
+def _thresholds(counts: DataFrame, score: str, by: Sequence[str], known_small: bool = False) -> DataFrame:
     ranked = running_totals(
-        counts, ["pos", "neg"], [F.col(score).desc()], within=by, window_rows=window_rows
+        counts, ["pos", "neg"], [F.col(score).desc()], within=by, known_small=known_small
     )
     return ranked.select(
         *by,
@@ -38,9 +38,9 @@ def _thresholds(counts: DataFrame, score: str, by: Sequence[str], window_rows: i
 
 
 def threshold_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
-                    window_rows: int = WINDOW_ROWS) -> DataFrame:
+                    known_small: bool = False) -> DataFrame:
     """Per distinct score, highest first: rows at and above it, by true class."""
-    return _thresholds(score_counts(df, score, label, by), score, by, window_rows)
+    return _thresholds(score_counts(df, score, label, by), score, by, known_small)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -49,24 +49,36 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """False and true positive rate per distinct threshold, none dropped."""
+    """False and true positive rate per distinct threshold, none dropped, from (0, 0) on.
+
+    The start point has the threshold infinity: nobody is said to be positive.
+    """
     table = threshold_table(df, score, label, by)
+    start = table.select(*by).distinct() if by else table.select(F.lit(1).alias("_")).limit(1)
+    zero = F.lit(0.0)
     return table.select(
-        *by, "threshold",
+        *by, F.col("threshold").cast("double").alias("threshold"),
         _share(F.col("fp"), F.col("n_neg")).alias("fpr"),
         _share(F.col("tp"), F.col("n_pos")).alias("tpr"),
-    )
+    ).unionByName(start.select(*by, F.lit(float("inf")).alias("threshold"), zero.alias("fpr"), zero.alias("tpr")))
 
 
 def pr_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Precision and recall per distinct threshold, with the base rate."""
+    """Precision and recall per distinct threshold, with the base rate, down to (recall 0, precision 1).
+
+    The end point has the threshold infinity.
+    """
     table = threshold_table(df, score, label, by)
+    base = _share(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("base_rate")
+    end = table.select(*by, base).distinct().select(
+        *by, F.lit(float("inf")).alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), "base_rate"
+    )
     return table.select(
-        *by, "threshold",
+        *by, F.col("threshold").cast("double").alias("threshold"),
         _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _share(F.col("tp"), F.col("n_pos")).alias("recall"),
-        _share(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")).alias("base_rate"),
-    )
+        base,
+    ).unionByName(end)
 
 
 def _areas(table: DataFrame, by: Sequence[str]) -> DataFrame:

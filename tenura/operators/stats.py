@@ -6,68 +6,85 @@ taken from the finished one-row-per-feature statistics.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenura.functions.products import PAIR_SUMS, pair_sums
 from tenura.functions.pvalues import chi2_p, normal_p, student_p
 from tenura.operators.columns import long_form
-from tenura.operators.ordering import WINDOW_ROWS, running_totals
+from tenura.operators.ordering import running_totals
 from tenura.session import settle
 
 
+def without_nan(column: Column) -> Column:
+    """NaN counts as missing, as null does."""
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's r over rows with both values; null where one of them doesn't vary."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    r = F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0)))
+    # rounding may step over the ends
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+
+
 def point_biserial(df: DataFrame, columns: Sequence[str], flag: str, alpha: float) -> DataFrame:
-    """Correlation of each numeric column with a 0/1 flag; nulls are dropped pairwise."""
-    y = F.col("_y")
+    """Correlation of each numeric column with a 0/1 flag; nulls and NaN are dropped pairwise.
+
+    A column that doesn't vary, or has fewer than three pairs, gets a null p-value and
+    is not significant. ``position`` gives the order of the report: by |r|, largest
+    first, null last.
+    """
+    x, y = without_nan(F.col("value")), without_nan(F.col("_y"))
     long = long_form(df.withColumn("_y", F.col(flag).cast("double")), columns, keep=["_y"])
     one = long.groupBy("feature").agg(
-        F.corr("value", y).alias("correlation"),
-        F.count_if(F.col("value").isNotNull() & y.isNotNull()).alias("n"),
+        correlation(x, y).alias("correlation"),
+        F.count_if(x.isNotNull() & y.isNotNull()).alias("n"),
     )
     r, dof = F.col("correlation"), F.col("n") - 2
-    t = r * F.sqrt(dof / F.nullif(1 - r * r, F.lit(0.0)))
-    t = F.when(F.abs(r) >= 1, F.lit(float("inf"))).otherwise(t)
-    return (
+    t = r * F.sqrt(F.try_divide(dof.cast("double"), F.nullif(1 - r * r, F.lit(0.0))))
+    t = F.when(dof < 1, F.lit(None)).when(F.abs(r) >= 1, F.lit(float("inf"))).otherwise(t)
+    told = (
         one.withColumn("abs_corr", F.abs("correlation"))
-        .withColumn("p_value", student_p(t, dof))
-        .withColumn("significant", F.col("p_value") < alpha)
+        .withColumn("p_value", F.nanvl(student_p(t, dof), F.lit(None).cast("double")))
+        .withColumn("significant", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
     )
+    return told.withColumn("position", report_place(F.col("abs_corr").desc_nulls_last(), "feature"))
+
+
+def report_place(*order: str | Column) -> Column:
+    """The place of each row in a report of one row per column or pair."""
+    return F.row_number().over(Window.orderBy(*order))
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairwise correlations in long form (both triangles and the diagonal).
 
-    Without nulls, Spark ML sums the cross products; with nulls, which have to be
-    dropped pair by pair, each pair is its own group of one aggregate.
+    One algorithm with and without holes: nulls and NaN are dropped pair by pair. Each
+    task sums cross products of its batches, so columns x columns numbers leave it. A
+    column that doesn't vary has null correlations, with itself, too.
     """
     columns = list(columns)
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    missing = numbers.agg(F.count_if(F.greatest(*[F.col(c).isNull() for c in columns]))).first()[0]
-    if missing:
-        return _pairwise_matrix(numbers, columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(numbers).select("v")
-    cells = Correlation.corr(vectors, "v").first()[0].toArray()  # columns x columns numbers
-    rows = [
-        (a, b, None if math.isnan(cells[i][j]) else float(cells[i][j]))
-        for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
-
-
-def _pairwise_matrix(numbers: DataFrame, columns: list[str]) -> DataFrame:
-    pairs = list(combinations_with_replacement(columns, 2))
-    cells = [x for a, b in pairs for x in (F.lit(a), F.lit(b), F.col(a), F.col(b))]
-    long = numbers.select(F.stack(F.lit(len(pairs)), *cells).alias("a", "b", "x", "y"))
-    upper = long.groupBy("a", "b").agg(F.corr("x", "y").alias("r"))
-    lower = upper.filter(F.col("a") != F.col("b")).select(
-        F.col("b").alias("a"), F.col("a").alias("b"), "r"
-    )
-    return upper.unionByName(lower)
+    numbers = df.select(*[without_nan(F.col(c)).alias(c) for c in columns])
+    means = numbers.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    shifts = [0.0 if m is None else float(m) for m in means]
+    sums = numbers.mapInPandas(pair_sums(len(columns), shifts), PAIR_SUMS)
+    names = ("n", "x", "y", "xx", "yy", "xy")
+    whole = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
+    n, x, y, xx, yy, xy = (F.col(c) for c in names)
+    dx, dy = n * xx - x * x, n * yy - y * y
+    # what rounding leaves of a column that doesn't vary
+    still = (dx <= 1e-14 * n * xx) | (dy <= 1e-14 * n * yy)
+    r = F.when(~still, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(n * xy - x * y, F.sqrt(dx) * F.sqrt(dy)))))
+    upper = whole.select("i", "j", F.when((F.col("i") == F.col("j")) & ~still, F.lit(1.0)).otherwise(r).alias("r"))
+    both = upper.unionByName(upper.filter("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    name = F.array(*[F.lit(c) for c in columns])
+    return both.select(F.element_at(name, F.col("i") + 1).alias("a"), F.element_at(name, F.col("j") + 1).alias("b"), "r")
 
 
 def high_correlations(df: DataFrame, columns: Sequence[str], above: float, drop_above: float) -> DataFrame:
@@ -77,6 +94,7 @@ def high_correlations(df: DataFrame, columns: Sequence[str], above: float, drop_
     return (
         matrix.filter((place[F.col("a")] < place[F.col("b")]) & (F.abs("r") > above))
         .withColumn("action", F.when(F.abs("r") > drop_above, "drop one").otherwise("monitor"))
+        .withColumn("position", report_place(F.abs("r").desc(), "a", "b"))
     )
 
 
@@ -126,8 +144,9 @@ def chi_squared(df: DataFrame, columns: Sequence[str], label: str, alpha: float)
         .withColumn("p_value", F.when(F.col("dof") == 0, F.lit(1.0)).otherwise(chi2_p("chi2", "dof")))
         .withColumn("cramers_v",
                     F.when(F.col("side") > 0, F.sqrt(F.col("chi2") / (F.col("n") * F.col("side")))).otherwise(F.lit(0.0)))
-        .withColumn("significant", F.col("p_value") < alpha)
+        .withColumn("significant", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
         .drop("side")
+        .withColumn("position", report_place(F.col("cramers_v").desc_nulls_last(), "feature"))
     )
 
 
@@ -140,14 +159,14 @@ def class_counts_by_value(df: DataFrame, value: str, flag: str) -> DataFrame:
     )
 
 
-def mann_whitney(df: DataFrame, value: str, flag: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def mann_whitney(df: DataFrame, value: str, flag: str, known_small: bool = False) -> DataFrame:
     """Two-sided rank-sum test of a measure between flagged and other rows.
 
     U is that of the flagged rows; ties count half. The p-value is the normal
     approximation with tie and continuity corrections.
     """
     counts = class_counts_by_value(df, value, flag)
-    ranked = running_totals(counts, ["pos", "neg"], [value], window_rows=window_rows)
+    ranked = running_totals(counts, ["pos", "neg"], [value], known_small=known_small)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     ties = pos + neg
     one = ranked.agg(
@@ -171,11 +190,12 @@ def mann_whitney(df: DataFrame, value: str, flag: str, window_rows: int = WINDOW
 
 def weak_features(correlations: DataFrame, below: float, fallback: int = 5) -> DataFrame:
     """Features with |r| below a bound, or the weakest few when there are none."""
-    weak = F.col("abs_corr") < below
-    any_weak = correlations.agg(F.count_if(weak)).scalar()
-    weakest = correlations.orderBy("abs_corr", "feature").limit(fallback).select("feature")
-    few = correlations.join(weakest, "feature", "left_semi").filter(any_weak == 0)
-    return correlations.filter(weak).unionByName(few)
+    weak = F.coalesce(F.col("abs_corr") < below, F.lit(False))
+    # one row per feature, computed once
+    table = settle(correlations)
+    if table.filter(weak).head(1):
+        return table.filter(weak)
+    return table.filter("abs_corr is not null").orderBy("abs_corr", "feature").limit(fallback)
 
 
 def strong_features(correlations: DataFrame, tests: DataFrame, above: float, alpha: float) -> DataFrame:

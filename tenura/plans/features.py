@@ -9,7 +9,8 @@ from tenura import specs
 from tenura.functions.arithmetic import mean_of, ratio
 from tenura.functions.encode import one_hot, product, threshold_flag
 from tenura.operators.aggregate import means_from_rollup, rollup_means
-from tenura.operators.joins import counted, lookup_join
+from tenura.operators.joins import lookup_join
+from tenura.session import settle
 
 
 def ratio_columns() -> list:
@@ -36,24 +37,24 @@ def relative_columns() -> list:
     return [ratio(*parts).alias(name) for name, parts in specs.RELATIVES.items()]
 
 
-def group_context(silver: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+def group_context(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Department and role aggregates from one scan of the clean table.
 
     Sums per (department, role) are computed once; both levels are rolled up from
-    them. The flag says whether both were counted to be small.
+    them, so the keys of both are unique.
     """
     measures = list(dict.fromkeys([*specs.DEPARTMENT_CONTEXT.values(), *specs.ROLE_CONTEXT.values()]))
-    fine, small = counted(rollup_means(silver, ["department", "job_role"], measures))
+    fine = settle(rollup_means(silver, ["department", "job_role"], measures))
     by_department = means_from_rollup(fine, "department", specs.DEPARTMENT_CONTEXT, specs.DEPARTMENT_HEADCOUNT)
     by_role = means_from_rollup(fine, "job_role", specs.ROLE_CONTEXT, specs.ROLE_HEADCOUNT)
-    return by_department, by_role, small
+    return by_department, by_role
 
 
 def with_group_context(silver: DataFrame) -> DataFrame:
     """Clean rows with their department's and role's aggregates."""
-    by_department, by_role, small = group_context(silver)
-    joined = lookup_join(silver, by_department, ["department"], known_small=small)
-    return lookup_join(joined, by_role, ["job_role"], known_small=small)
+    by_department, by_role = group_context(silver)
+    joined = lookup_join(silver, by_department, ["department"], known_unique=True)
+    return lookup_join(joined, by_role, ["job_role"], known_unique=True)
 
 
 def ml_features(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -6,12 +6,13 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura import specs
-from tenura.operators.quality import min_rows, require, run_checks
+from tenura.operators.quality import Check, require, run_checks, same_rows
 from tenura.plans import data_tests as names
 from tenura.plans import registry, scoring, training
 from tenura.session import scratch_scope
@@ -33,7 +34,7 @@ class Run:
         try:
             details = work()
         except Exception as error:
-            self._log(position, name, "FAIL", start, str(error)[:500])
+            self._log(position, name, "FAIL", start, str(error))
             raise
         self._log(position, name, "PASS", start, details)
         return details
@@ -48,9 +49,26 @@ class Run:
         return self.lake.read(RUN_TABLE).filter(F.col("run_id") == self.run_id)
 
 
+# the declared tests of each task's tables, and the row counts that must be kept
+CHECKS: dict[str, list[Check]] = {
+    names.RAW: names.RAW_CHECKS,
+    names.CLEAN: [*names.CLEAN_CHECKS, same_rows(names.CLEAN, names.RAW)],
+    names.FEATURES: [*names.FEATURE_CHECKS, same_rows(names.FEATURES, names.RAW)],
+    names.FACT: [*names.DIMENSION_CHECKS, *names.FACT_CHECKS, same_rows(names.FACT, names.RAW)],
+    names.ANALYTICS: names.ANALYTICS_CHECKS,
+    names.PREDICTIONS: [same_rows(names.PREDICTIONS, names.RAW)],
+}
+
+
 def _validated(lake: Lake, table: str, expected: int) -> str:
-    require(run_checks({table: lake.read(table)}, [min_rows(table, expected)]))
-    return f"{lake.read(table).count():,} rows"
+    """Counts the table once and runs its declared tests in one call; a failure stops the build."""
+    rows = lake.read(table).count()
+    if rows < expected:
+        raise AssertionError(f"data tests failed:\n{table}.* min_rows: {expected - rows}")
+    checks = CHECKS[table]
+    used = {c.table for c in checks} | {c.arg[0] for c in checks if c.test in ("relationships", "row_preservation")}
+    require(run_checks({name: lake.read(name) for name in used}, checks))
+    return f"{rows:,} rows, {len(checks)} tests"
 
 
 def load_raw(lake: Lake, paths: Sequence[str] | DataFrame, expected: int, if_exists: str = "skip") -> str:
@@ -75,13 +93,15 @@ def summary(log: DataFrame) -> DataFrame:
     )
 
 
-def run(lake: Lake, paths: Sequence[str] | DataFrame, expected: int = 1,
+def run(lake: Lake, paths: Sequence[str] | DataFrame, expected: int,
         models: Sequence[training.ModelSpec] = training.MODELS, folds: int = 0,
         if_exists: str = "skip", model_root: str = "") -> DataFrame:
     """Raw -> clean -> {features, star, analytics} -> training -> scoring.
 
     Features and star schema run side by side. Training hands its best run's id
-    to scoring. Every task checks its table; the log is saved even on failure.
+    to scoring. Every task runs the declared tests of its tables; the log is saved even
+    on failure. ``expected`` is the least number of people; a raw table that holds as
+    many counts as loaded.
     """
     log = Run(lake)
 
@@ -104,8 +124,8 @@ def run(lake: Lake, paths: Sequence[str] | DataFrame, expected: int = 1,
             log.task(2, "clean", lambda: transform(names.CLEAN, ["silver"]))
             with ThreadPoolExecutor(2) as pool:
                 side_by_side = [
-                    pool.submit(log.task, 3, "features", lambda: transform(names.FEATURES, ["features"])),
-                    pool.submit(log.task, 4, "star schema", lambda: transform(names.FACT, ["star_schema"])),
+                    pool.submit(copy_context().run, log.task, 3, "features", lambda: transform(names.FEATURES, ["features"])),
+                    pool.submit(copy_context().run, log.task, 4, "star schema", lambda: transform(names.FACT, ["star_schema"])),
                 ]
                 for done in side_by_side:
                     done.result()

@@ -43,10 +43,10 @@ _JOIN_COLUMNS = {"dim_business_travel": ["business_travel"]}
 
 @dataclass(frozen=True)
 class Dimensions:
-    """The dimension tables, and whether they were counted to be small."""
+    """The dimension tables, and whether their keys were grouped here and so are unique."""
 
     tables: Mapping[str, DataFrame]
-    small: bool = False
+    unique: bool = False
 
 
 def _numbered(values: DataFrame, name: str, known_small: bool = False) -> DataFrame:
@@ -71,7 +71,7 @@ def dimensions(silver: DataFrame) -> Dimensions:
             *[F.col(f"v{i}").cast(types[old]).alias(new) for i, (old, new) in enumerate(columns.items(), 1)]
         )
         built[name] = _numbered(values, name, small)
-    return Dimensions(built, small)
+    return Dimensions(built, unique=True)
 
 
 def label_columns() -> dict:
@@ -101,7 +101,7 @@ def with_dimension_keys(silver: DataFrame, dims: Dimensions) -> DataFrame:
     for name, (key, columns, _) in DIMENSIONS.items():
         on = {old: columns[old] for old in _JOIN_COLUMNS.get(name, columns)}
         lookup = dims.tables[name].select(key, *on.values())
-        rows = lookup_join(rows, lookup, on, known_small=dims.small)
+        rows = lookup_join(rows, lookup, on, known_unique=dims.unique)
     return rows
 
 

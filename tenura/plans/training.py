@@ -6,6 +6,7 @@ import math
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -14,7 +15,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura import specs
@@ -22,7 +23,7 @@ from tenura.operators.columns import fill_nulls, numeric_columns
 from tenura.operators.ordering import running_totals
 from tenura.operators.ranking import binary_metrics, ranking_metrics
 from tenura.operators.topk import top_k
-from tenura.session import shared_dir
+from tenura.session import settle, shared_dir
 
 SEED = 42
 HASH_MODULUS = 1_000_003
@@ -57,12 +58,9 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float, see
     """
     hashed = df.select(label, key, key_hash(key, seed).alias("_h"))
     per_hash = hashed.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_n"))
-    by_class = Window.partitionBy(label)
-    before = by_class.orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    placed = per_hash.select(
-        label, "_h", "_n",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.round(F.lit(test_share) * F.sum("_n").over(by_class)).cast("bigint").alias("_want"),
+    placed = running_totals(per_hash, ["_n"], ["_h"], within=[label]).select(
+        label, "_h", "_n", F.col("_n_before").alias("_before"),
+        F.round(F.lit(test_share) * F.col("_n_total")).cast("bigint").alias("_want"),
     )
     # one row per class: the hash value in which the last test row falls
     edge = placed.filter(
@@ -92,13 +90,25 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float, see
     )
 
 
-def with_folds(df: DataFrame, key: str, folds: int = 5, seed: int = SEED) -> DataFrame:
-    """Shuffled fold number by key hash; every class is spread over all folds."""
-    return df.withColumn(FOLD, F.pmod(key_hash(key, seed, salt=5417), F.lit(folds)).cast("int"))
+def with_folds(df: DataFrame, key: str, folds: int = 5, seed: int = SEED, label: str = LABEL) -> DataFrame:
+    """Stratified folds: a class's rows in the order of (hash, key) are dealt out in turn.
+
+    With unique keys the folds of a class differ by one row at most; rows that share a
+    key share a fold. Ranks come from block totals, so no class is one task's work.
+    """
+    counts = df.groupBy(F.col(label).alias("_label"), F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_h", key_hash("_key", seed, salt=5417))
+    ranked = running_totals(counts, ["_n"], ["_h", "_key"], within=["_label"])
+    dealt = ranked.select("_label", "_key", F.pmod(F.col("_n_before"), F.lit(folds)).cast("int").alias(FOLD))
+    mine = df[key].eqNullSafe(dealt["_key"]) & df[label].eqNullSafe(dealt["_label"])
+    return df.join(dealt, mine, "left").drop("_label", "_key")
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
-    """Rows per class; there are as many as there are classes."""
+    """Rows per class of a 0/1 label; anything else raises before it is collected."""
+    other = df.filter(~F.coalesce(F.col(label).isin(0, 1), F.lit(False))).select(label).head(1)
+    if other:
+        raise ValueError(f"{label} must be 0 or 1, not {other[0][0]}")
     return {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
 
 
@@ -167,26 +177,29 @@ def _classifier(spec: ModelSpec, features: str, weight_total: float):
     raise ValueError(f"unknown model kind {spec.kind!r}")
 
 
-# Feature bytes per task. The iterative fits run one short job per step, so tasks on
-# a few rows would spend their time being scheduled; forests do far more work per byte.
-_TASK_BYTES = {"logistic": 32 << 20, "boosted": 32 << 20, "forest": 1 << 20}
+def laid_out(df: DataFrame, key: str, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """The layout of a fit: rows by key in ``tasks`` sorted partitions, wherever they came from.
 
-
-def _sized(df: DataFrame, rows: int, columns: int, kind: str) -> DataFrame:
-    """Merge partitions (without a shuffle) down to the tasks the data is worth."""
-    tasks = max(1, math.ceil(rows * columns * 8 / _TASK_BYTES[kind]))
-    return df.coalesce(tasks) if tasks < df.rdd.getNumPartitions() else df
+    Forests and boosting draw their samples per partition, so this makes a fit depend on
+    the rows alone. ``tasks`` is the session's number of shuffle partitions unless given;
+    it doesn't follow the data. Without the key column the features take its place.
+    """
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [key] if key in df.columns else [*columns, LABEL]
+    return df.repartition(tasks, *order).sortWithinPartitions(*order)
 
 
-def fit_model(train: DataFrame, spec: ModelSpec, columns: Sequence[str]) -> PipelineModel:
+def fit_model(train: DataFrame, spec: ModelSpec, columns: Sequence[str], key: str = specs.KEY,
+              tasks: int | None = None) -> PipelineModel:
     """Fit one model; the result carries its own assembling and scaling.
 
-    ``train`` needs the label and the feature columns, and is best cached.
+    ``train`` needs the label and the feature columns, and is best cached. ``key`` and
+    ``tasks`` fix the layout, see :func:`laid_out`.
     """
     counts = class_counts(train)
     rows = sum(counts.values())
     weighted = with_class_weights(train, counts=counts) if spec.balanced else train
-    weighted = _sized(fill_nulls(weighted, columns), rows, len(columns), spec.kind)
+    weighted = laid_out(fill_nulls(weighted, columns), key, columns, tasks)
     stages = [VectorAssembler(inputCols=list(columns), outputCol="assembled", handleInvalid="error")]
     features = "assembled"
     if spec.scaled:
@@ -219,7 +232,7 @@ def evaluate(scored: DataFrame) -> dict[str, float]:
 def cross_validate(train: DataFrame, spec: ModelSpec, columns: Sequence[str], key: str,
                    folds: int = 5, parallelism: int = 2) -> DataFrame:
     """Exact ROC area per fold, each scored by a model fitted on the other folds."""
-    folded = with_folds(train, key, folds)
+    folded = settle(with_folds(train, key, folds))
 
     def one(fold: int) -> tuple[str, int, float]:
         model = fit_model(folded.filter(F.col(FOLD) != fold), spec, columns)
@@ -227,8 +240,8 @@ def cross_validate(train: DataFrame, spec: ModelSpec, columns: Sequence[str], ke
         area = ranking_metrics(held, "probability", LABEL).first()
         return spec.name, fold, area["auc_roc"]
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(one, range(folds)))
+    with ThreadPoolExecutor(parallelism) as pool:  # each thread works in the caller's scratch scope
+        rows = [done.result() for done in [pool.submit(copy_context().run, one, fold) for fold in range(folds)]]
     return train.sparkSession.createDataFrame(rows, "model string, fold int, auc_roc double")
 
 
@@ -355,7 +368,8 @@ def train_all(lake, features: DataFrame, key: str, models: Sequence[ModelSpec] =
             }
             log_run(lake, spec.name, params, metrics, features=columns)
             results[spec.name] = (model, metrics)
-        best = max(results, key=lambda name: results[name][1]["auc_roc"])
+        # a test split of one class has no area
+        best = max(results, key=lambda name: -1.0 if results[name][1]["auc_roc"] is None else results[name][1]["auc_roc"])
         model, metrics = results[best]
         root = model_root or f"{shared_dir(features.sparkSession)}/models"
         path = f"{root}/{best.replace(' ', '_')}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,22 +57,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_scopes: dict[str, list[str]] = {}
+_scope: ContextVar[str | None] = ContextVar("scratch scope", default=None)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove what :func:`settle` writes inside the block once the block is left.
 
-    For jobs whose results are tables: nothing settled may be read afterwards.
+    For jobs whose results are tables: nothing settled may be read afterwards. The
+    scope belongs to the calling context: other builds of the application don't see it,
+    and threads that work for this one must be started in a copy of its context.
     """
     path = scratch_path(spark, "scope")
-    stack = _scopes.setdefault(spark.sparkContext.applicationId, [])
-    stack.append(path)
+    token = _scope.set(path)
     try:
         yield
     finally:
-        stack.remove(path)
+        _scope.reset(token)
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -83,7 +85,7 @@ def settle(df: DataFrame) -> DataFrame:
     sizes, so Spark picks its join strategy from what is there.
     """
     spark = df.sparkSession
-    stack = _scopes.get(spark.sparkContext.applicationId)
-    path = f"{stack[-1]}/{uuid.uuid4().hex}" if stack else scratch_path(spark, "settled")
+    scope = _scope.get()
+    path = f"{scope}/{uuid.uuid4().hex}" if scope else scratch_path(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -44,9 +44,9 @@ def test_dense_key_breaks_ties_by_the_last_column_and_puts_nulls_first(spark):
     assert [r.id for r in out.collect()] == [2, 1, 3]
 
 
-def test_number_rows_takes_the_block_form_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "WINDOW_ROWS", 10)
-    out = ordering.number_rows(spark.range(100), ["id"], "k")
+@pytest.mark.parametrize("small", [True, False])
+def test_number_rows_in_either_form(spark, small):
+    out = ordering.number_rows(spark.range(100), ["id"], "k", known_small=small)
     assert out.filter("k <> id + 1").count() == 0 and out.count() == 100
 
 
@@ -54,18 +54,18 @@ def test_number_rows_takes_the_block_form_beyond_the_bound(spark, monkeypatch):
 def test_running_totals_in_blocks_equal_the_window(spark, within):
     counts = skewed(spark).groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"), F.sum("f").alias("p"))
     order = ["v"] if within else ["g", "v"]
-    small = ordering.running_totals(counts, ["n", "p"], order, within)
-    blocks = ordering.running_totals(counts, ["n", "p"], order, within, window_rows=0)
+    small = ordering.running_totals(counts, ["n", "p"], order, within, known_small=True)
+    blocks = ordering.running_totals(counts, ["n", "p"], order, within)
     assert sorted(small.columns) == sorted(blocks.columns)
     names = small.columns
     assert sorted(map(str, small.collect())) == sorted(map(str, blocks.select(*names).collect()))
 
 
-@pytest.mark.parametrize("window_rows", [ordering.WINDOW_ROWS, 0])
-def test_quantiles_equal_another_engine(spark, window_rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_quantiles_equal_another_engine(spark, small):
     df = skewed(spark).cache()
     probs = {"q10": 0.1, "q25": 0.25, "q50": 0.5, "q99": 0.99}
-    mine = ordering.exact_quantiles(df.filter("g is not null"), "v", probs, by=["g"], window_rows=window_rows)
+    mine = ordering.exact_quantiles(df.filter("g is not null"), "v", probs, by=["g"], known_small=small)
     con = duckdb.connect()
     con.register("t", df.toPandas())
     theirs = con.execute(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tenura import specs
 from tenura.operators import joins, quality
 from tenura.plans import analytics, data_tests, flow, registry, scoring, star, training
-from tenura.session import scratch_path, settle, shared_dir
+from tenura.session import scratch_path, scratch_scope, settle, shared_dir
 from tenura.sources import readers
 from tenura.sources.people import people
 from tenura.sources.tables import Lake
@@ -37,17 +37,20 @@ def test_cuts_keep_null_groups(spark, clean):
     assert cut.first().total_employees == 10
 
 
-def test_lookup_join_beyond_the_broadcast_bound(clean):
+def test_lookup_join_keeps_rows_and_refuses_repeated_keys(clean):
     dims = star.dimensions(clean)
     on = {"job_role": "job_role_name", "department": "department_name"}
     small = joins.lookup_join(clean.select("employee_number", "job_role", "department"), dims.tables["dim_job_role"], on)
-    large = joins.lookup_join(clean.select("employee_number", "job_role", "department"), dims.tables["dim_job_role"], on, max_rows=0)
+    large = joins.lookup_join(clean.select("employee_number", "job_role", "department"), dims.tables["dim_job_role"], on, known_unique=True)
     assert rows(small) == rows(large) and small.count() == clean.count()
+    twice = dims.tables["dim_job_role"].unionByName(dims.tables["dim_job_role"])
+    with pytest.raises(ValueError, match="twice"):
+        joins.lookup_join(clean, twice, on)
 
 
 def test_dimensions_at_once_equal_one_by_one(clean):
     together = star.dimensions(clean)
-    assert together.small
+    assert together.unique
     for name in star.DIMENSIONS:
         assert rows(together.tables[name]) == rows(star.dimension(clean, name))
 
@@ -81,6 +84,51 @@ def test_split_survives_many_keys_on_one_hash(spark):
     assert counts == {(0, "test"): 5, (0, "train"): 15, (1, "test"): 5, (1, "train"): 15}
 
 
+def test_folds_are_stratified(clean):
+    folds = training.with_folds(clean, specs.KEY)
+    assert folds.count() == clean.count()
+    sizes = {}
+    for r in folds.groupBy("attrition", "fold").count().collect():
+        sizes.setdefault(r.attrition, []).append(r["count"])
+    assert all(len(s) == 5 and max(s) - min(s) <= 1 for s in sizes.values())
+
+
+def test_fits_depend_on_the_rows_alone(clean):
+    rows = clean.select(specs.KEY, "attrition", *FEATURES).filter(f"{specs.KEY} < 400")
+    for spec in (small("forest", numTrees=4, maxDepth=4), small("boosted", maxIter=3, maxDepth=3, subsamplingRate=0.7)):
+        one, three = (training.fit_model(rows.repartition(n), spec, FEATURES) for n in (1, 3))
+        assert one.stages[-1].featureImportances == three.stages[-1].featureImportances
+
+
+def test_class_counts_refuse_other_labels(spark):
+    with pytest.raises(ValueError, match="0 or 1"):
+        training.class_counts(spark.createDataFrame([(0,), (2,)], "attrition int"))
+
+
+def test_scopes_of_two_builds_overlap(spark):
+    import contextvars
+
+    first, second = contextvars.copy_context(), contextvars.copy_context()
+    outer, inner = scratch_scope(spark), scratch_scope(spark)
+    first.run(outer.__enter__)
+    kept = first.run(settle, spark.range(7))
+    second.run(inner.__enter__)
+    gone = second.run(settle, spark.range(3))
+    second.run(inner.__exit__, None, None, None)
+    assert kept.count() == 7
+    with pytest.raises(Exception, match="exist|FILE|PATH"):
+        gone.collect()
+    first.run(outer.__exit__, None, None, None)
+
+
+def test_a_failing_declared_test_stops_the_build(lake, raw):
+    spoilt = raw.withColumn("Gender", F.when(F.col("EmployeeNumber") == 3, "?").otherwise(F.col("Gender")))
+    with pytest.raises(AssertionError, match="Gender accepted"):
+        flow.run(lake, spoilt, expected=1470, models=[small("logistic", maxIter=1)])
+    log = lake.read(flow.RUN_TABLE).collect()
+    assert [(r.task, r.status) for r in log] == [("raw load", "FAIL")] and "Gender" in log[0].details
+
+
 def test_folds_partition_and_weights_balance(clean):
     folds = training.with_folds(clean, specs.KEY)
     sizes = {r[0]: r[1] for r in folds.groupBy("fold").count().collect()}

@@ -52,8 +52,8 @@ def test_chi_squared_with_an_empty_cell_and_a_constant_column(spark):
 def test_mann_whitney(spark):
     rows = [(v, 1) for v in (3, 5, 5, 8)] + [(v, 0) for v in (1, 2, 4, 5, 6, 7, 9, 9, 10)]
     df = spark.createDataFrame(rows + [(None, 1)], "v int, f int")
-    for bound in (1000, 0):
-        row = stats.mann_whitney(df, "v", "f", window_rows=bound).first()
+    for small in (True, False):
+        row = stats.mann_whitney(df, "v", "f", known_small=small).first()
         assert (row.u, row.n_pos, row.n_neg) == (15.0, 4, 9)
         assert row.z == pytest.approx(0.388435, abs=1e-6)
         assert row.p_value == pytest.approx(0.697694, abs=1e-6)
@@ -71,7 +71,10 @@ def test_binary_metrics(spark):
     matrix = {(r.actual, r.predicted): r.n for r in ranking.confusion_matrix(df, "y", "p").collect()}
     assert matrix == {(0, 0): 2, (0, 1): 1, (1, 0): 1, (1, 1): 2}
     roc = ranking.roc_curve(df, "s", "y").orderBy(F.col("threshold").desc()).collect()
-    assert [(r.fpr, r.tpr) for r in roc][-1] == (1.0, 1.0) and len(roc) == 5
+    assert [(r.fpr, r.tpr) for r in roc][-1] == (1.0, 1.0) and len(roc) == 6
+    assert (roc[0].threshold, roc[0].fpr, roc[0].tpr) == (float("inf"), 0.0, 0.0)
+    pr = ranking.pr_curve(df, "s", "y").orderBy(F.col("threshold").desc()).first()
+    assert (pr.precision, pr.recall, pr.base_rate) == (1.0, 0.0, 0.5)
 
 
 def test_metrics_of_one_class_and_of_nothing(spark):
@@ -103,6 +106,49 @@ def test_weak_features_fall_back_to_the_weakest(spark):
     assert {r.feature for r in stats.weak_features(df, 0.01).collect()} == {f"f{i}" for i in range(5)}
 
 
+def test_associations_off_the_happy_path(spark):
+    nan = float("nan")
+    rows = [(1.0, 7.0, nan, None, i % 2, float(i)) for i in range(20)] + [(1.0, 7.0, 2.0, None, 1, 3.0), (1.0, 7.0, 2.0, None, 0, 3.0)]
+    df = spark.createDataFrame(rows, "one double, flat double, holed double, empty double, f int, v double")
+    columns = ["one", "flat", "holed", "empty", "v"]
+    found = {r.feature: r for r in stats.point_biserial(df, columns, "f", 0.05).collect()}
+    assert found["v"].position == 1 and found["v"].p_value is not None
+    for name in columns[:4]:
+        assert found[name].correlation is None and found[name].p_value is None and found[name].significant is False
+    assert found["holed"].n == 2 and found["empty"].n == 0
+    matrix = {(r.a, r.b): r.r for r in stats.pearson_matrix(df, columns).collect()}
+    assert len(matrix) == 25 and matrix["v", "v"] == 1.0
+    assert all(r is None for pair, r in matrix.items() if pair != ("v", "v"))
+    large = df.select((F.col("v") + 1e9).alias("a"), (F.col("v") * -2 + 1e9).alias("b"))
+    assert {(r.a, r.b): round(r.r, 9) for r in stats.pearson_matrix(large, ["a", "b"]).collect()}["a", "b"] == -1.0
+
+
+def test_tails_of_large_tables():
+    from tenura.functions.pvalues import chi2_tail, student_tail
+
+    assert chi2_tail(2000, 999) == pytest.approx(2.924923e-69, rel=1e-5)
+    assert chi2_tail(2000, 2000) == pytest.approx(0.4957947558, abs=1e-9)
+    assert chi2_tail(1e6, 1e6) == pytest.approx(0.4998119368, abs=1e-9)
+    assert chi2_tail(float("inf"), 5) == 0.0 and chi2_tail(0, 5) == 1.0
+    for dof in (1e7, 1e8, 1e10):
+        assert student_tail(1.959963984540054, dof) == pytest.approx(0.05, abs=2e-7)
+    for k in (1, 2, 3, 10, 101):  # both sides of the switch of fractions agree
+        for t in (0.3, 1.0, 1.7, 1.8, 4.0):
+            steps = 40_000
+            width, scale = t / steps, math.exp(math.lgamma((k + 1) / 2) - math.lgamma(k / 2)) / math.sqrt(k * math.pi)
+            area = sum((1 + ((i + 0.5) * width) ** 2 / k) ** (-(k + 1) / 2) for i in range(steps)) * width * scale
+            assert student_tail(t, k) == pytest.approx(1 - 2 * area, abs=1e-8)
+
+
+def test_reports_keep_empty_columns_and_large_flat_values(spark):
+    df = spark.createDataFrame([("a", 1e17, None), ("a", 1e17, None), ("b", 1.0, None)], "k string, big double, none double")
+    told = {r.feature: r for r in aggregate.describe(df, ["big", "none"]).collect()}
+    assert told["none"].n == 0 and told["none"]["mean"] is None and told["none"].position == 2
+    bins = aggregate.histogram(df, ["big", "none"], "k", 4).collect()
+    assert sum(r.n for r in bins if r.feature == "big" and r.k == "a") == 2
+    assert [r.bin_start for r in bins if r.feature == "none"] == [None] * 8
+
+
 def test_duplicates_count_nulls_as_equal(spark):
     df = spark.createDataFrame([("A",), ("A",), ("A",), ("B",), (None,), (None,)], "x string")
     assert aggregate.duplicate_rows(df).first()[0] == 3
