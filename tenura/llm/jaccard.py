@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.common import arrow_schema, same, text_batches
+from tenura.llm.common import arrow_schema, let_go, same, text_batches
 from tenura.llm.components import Forest, components
 from tenura.llm.shingles import mix, shingle_sets
 from tenura.session import settle
@@ -402,7 +402,8 @@ def member_sets(docs: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
             ], schema=shape)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.join(clusters, "doc_id").select("region", "doc_id", "text")
+    # clustered ids grow with the corpus: the same shuffle join at every size
+    rows = texts.join(clusters.hint("merge"), "doc_id").select("region", "doc_id", "text")
     return rows.mapInArrow(task, columns)
 
 
@@ -427,7 +428,9 @@ def linked_documents(docs: DataFrame, rule: Rule | None = None, task_shingles: i
     a, b = of.select(F.col("doc_id").alias("a"), F.col("first").alias("fa")), of.select(F.col("doc_id").alias("b"), F.col("first").alias("fb"))
     edges = settle(met.distinct().join(a, "a", "left").join(b, "b", "left").select(F.coalesce("fa", "a").alias("a"), F.coalesce("fb", "b").alias("b")).filter("a <> b"))
     clusters = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("region"))
+    let_go(docs.sparkSession)
     members = settle(member_sets(docs, clusters, rule))
+    let_go(docs.sparkSession)
     small, stuck, links = split_large(members, rule, task_shingles)
     found = joined(small, rule).unionByName(blockwise(stuck, rule))
     for more in links:
