@@ -117,4 +117,38 @@ QUERIES: dict[str, Query] = {
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+_BASE32 = """
+array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+  ((16 * (strpos('0123456789abcdef', substr(hex, 1 + (5 * i) // 4, 1)) - 1)
+    + strpos('0123456789abcdef', substr(hex, 2 + (5 * i) // 4, 1)) - 1) >> (3 - i % 4)) & 31 AS BIGINT), 1)
+  for i in range(32)], '')"""
+
+ORACLE: dict[str, str] = {
+    "op2_warc_transactions": f"""
+WITH p AS (SELECT page_id, url, COALESCE(html, '') AS body, sha1(COALESCE(html, '')) AS hex FROM pages),
+held AS (SELECT body, MAX(page_id) AS holder FROM p GROUP BY body)
+SELECT page_id, strlen(p.body) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> holder THEN holder END AS refers_to,
+  regexp_replace(trim(url), '\\s+', ' ', 'g') AS target_uri, TRUE AS has_request
+FROM p JOIN held ON held.body = p.body""",
+    "op8_jaccard_join": """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+each AS (SELECT doc_id, len(s) AS n, UNNEST(s) AS s FROM sets),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.s = b.s AND a.doc_id <> b.doc_id
+    AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * COUNT(*) >= 90 * (a.n + b.n - COUNT(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets s JOIN (SELECT doc_id, MIN(other) AS component_id FROM reach GROUP BY 1) c USING (doc_id)""",
+    "op9_impact_ordered": """
+WITH v AS (SELECT vec_id, [FLOOR(1024 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10""",
+}
