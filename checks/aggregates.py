@@ -271,7 +271,7 @@ add("conditional_counts", over(lambda df: aggregate.conditional_counts(df, {
     sql("silver", """SELECT department, COUNT(*) FILTER (WHERE attrition = 1 AND overtime = 1) AS left_with_overtime,
     COUNT(*) FILTER (WHERE attrition = 1 AND overtime = 0) AS left_without_overtime,
     COUNT(*) FILTER (WHERE job_level >= 4) AS senior FROM silver GROUP BY 1"""))
-_MODES = ["Department", "JobRole", "Age", "MonthlyIncome", "EmployeeNumber", "StandardHours"]
+_MODES = specs.RAW_COLUMNS
 add("column_mode", over(lambda df: aggregate.column_modes(df, _MODES), raw), sql("people", " UNION ALL ".join(
     f"(SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS mode, COUNT(*) AS n FROM people GROUP BY {c} "
     f"ORDER BY COUNT(*) DESC, {c} LIMIT 1)" for c in _MODES)))

@@ -63,7 +63,7 @@ add("folds", over(lambda df: training.with_folds(df, KEY).groupBy("attrition", "
   SELECT attrition, CAST((ROW_NUMBER() OVER (PARTITION BY attrition
     ORDER BY ({KEY} * {KEY} * 5417 + {KEY} * 31013 + 42) % 1000003, {KEY}) - 1) % 5 AS INT) AS fold FROM features)
 GROUP BY 1, 2"""))
-_SCALED = ["age", "monthly_income", "promo_stagnation", "overtime"]
+_SCALED = [c for c in specs.FEATURE_COLUMNS if c != "attrition"]
 
 
 def standard_scale(spark, sf_dir):

@@ -129,11 +129,14 @@ def _profile_sql(source: str, types: dict, order: str) -> str:
 _RAW_TYPES = {p.split()[0]: p.split()[1].lower() for p in specs.RAW_SCHEMA.split(",")}
 add("schema_profile", over(lambda df: profile.schema_profile(df, "EmployeeNumber"), raw),
     sql("people", _profile_sql("people", _RAW_TYPES, "EmployeeNumber")))
-_EVENT_TYPES = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "props": "string"}
+_EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
 add("schema_profile_events", lambda spark, sf_dir: profile.schema_profile(
-        table(spark, sf_dir, "events"), "event_id", list(_EVENT_TYPES)),
+        table(spark, sf_dir, "events"), "event_id"),
     _profile_sql("events", _EVENT_TYPES, "event_id"))
-_HOLE_COLUMNS = ["age", "department", *_RATIOS]
+_HOLE_COLUMNS = list(dict.fromkeys([
+    *specs.CLEAN_COLUMNS, specs.KEY, "attrition_label", "age_band", "gender_label", "overtime_label", "education_label",
+    "income_quartile", "tenure_band", *_RATIOS, "years_before_current_role",
+]))
 
 
 def _nulls_sql(source: str, columns) -> str:
