@@ -449,9 +449,9 @@ def first_of_groups(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     Texts without words and rows without an id stay. Of rows that repeat an id one stays.
     """
     found = linked_documents(docs, rule)
-    firsts = found.filter("doc_id is not null and component_id = doc_id").select(F.col("doc_id").alias("_first")).distinct()
+    firsts = found.filter("doc_id is not null and component_id = doc_id").select(F.col("doc_id").alias("__first")).distinct()
     known = docs.filter("doc_id is not null")
-    kept = known.join(firsts, known["doc_id"] == F.col("_first"), "left_semi")
+    kept = known.join(firsts, known["doc_id"] == F.col("__first"), "left_semi")
     if known.groupBy("doc_id").count().filter("count > 1").head(1):
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id is null"))

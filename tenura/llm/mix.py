@@ -190,16 +190,20 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     sized = passes.join(
         documents.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "text_key", "size")]),
         same(F.col("doc_id"), F.col("_doc_id")) & same(F.col("source"), F.col("_source")) & (F.col("text_key") == F.col("_text_key")),
-    ).select(F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), "_text_key", "_stretches", (F.col("_taken") == F.col("_size")).alias("_whole"))
-    once = docs.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_key"])
+    ).select(
+        # names that no other column has
+        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("_text_key").alias("__mix_text"),
+        F.col("_stretches").alias("__mix_stretches"), (F.col("_taken") == F.col("_size")).alias("__mix_whole"),
+    )
+    once = docs.withColumn("__mix_key", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__mix_key"])
     met = once.join(
-        sized, same(once["doc_id"], sized["_doc_id"]) & same(once["source"], sized["_source"]) & (F.col("_key") == F.col("_text_key"))
+        sized, same(once["doc_id"], sized["__mix_id"]) & same(once["source"], sized["__mix_source"]) & (F.col("__mix_key") == F.col("__mix_text"))
     )
     words = F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     cut = F.array_join(
-        F.transform("_stretches", lambda s: F.array_join(F.slice(words, s["from_word"].cast("int") + 1, s["words"].cast("int")), "")), ""
+        F.transform("__mix_stretches", lambda s: F.array_join(F.slice(words, s["from_word"].cast("int") + 1, s["words"].cast("int")), "")), ""
     )
-    text = F.when(F.col("_whole"), F.col("text")).otherwise(cut)
+    text = F.when(F.col("__mix_whole"), F.col("text")).otherwise(cut)
     out = met.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -558,18 +558,22 @@ def repeated_windows(found: DataFrame, length: int, shard_bytes: int = SHARD_BYT
 # --- documents ------------------------------------------------------------------------
 
 
+# names of added columns that no other column has
+_KEY, _ORDINAL, _SPANS = "__passage_key", "__passage_ordinal", "__passage_spans"
+
+
 def keyed(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """All columns, key and ordinal: rows that repeat an id and a text are one, other texts under one id are numbered."""
-    rows = docs.withColumn("key", F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63)).cast("long")))
-    if not rows.groupBy("key").count().filter("count > 1").head(1):
-        return rows.withColumn("ordinal", F.lit(0))
-    order = Window.partitionBy("key").orderBy(F.xxhash64("text"), "text")
-    return settle(rows.dropDuplicates(["key", "text"]).withColumn("ordinal", F.row_number().over(order) - 1))
+    """All columns, a key and an ordinal: rows that repeat an id and a text are one, other texts under one id are numbered."""
+    rows = docs.withColumn(_KEY, F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63)).cast("long")))
+    if not rows.groupBy(_KEY).count().filter("count > 1").head(1):
+        return rows.withColumn(_ORDINAL, F.lit(0))
+    order = Window.partitionBy(_KEY).orderBy(F.xxhash64("text"), "text")
+    return settle(rows.dropDuplicates([_KEY, "text"]).withColumn(_ORDINAL, F.row_number().over(order) - 1))
 
 
 def repeated_spans(rows: DataFrame, length: int = 100) -> DataFrame:
-    """key, ordinal, spans of the texts (key, ordinal, text) that lose bytes; spans are pieces of [start, end) in any order."""
-    texts = rows.select("key", "ordinal", "text")
+    """key, ordinal, spans of the keyed texts that lose bytes; spans are pieces of [start, end) in any order."""
+    texts = rows.select(F.col(_KEY).alias("key"), F.col(_ORDINAL).alias("ordinal"), "text")
     found = repeated_contexts(document_anchors(texts, length), length)
     let_go(rows.sparkSession)
     cut = cut_contexts(texts, found.filter("kind = 1"), length)
@@ -593,9 +597,10 @@ def _kept(raw: bytes, spans: list[dict[str, int]] | None) -> tuple[bytes, int]:
 
 
 def _apply(rows: DataFrame, length: int) -> DataFrame:
-    spans = settle(repeated_spans(rows, length)).withColumnRenamed("key", "_key").withColumnRenamed("ordinal", "_ordinal")
+    spans = settle(repeated_spans(rows, length))
     let_go(rows.sparkSession)
-    return rows.join(spans, (rows["key"] == spans["_key"]) & (rows["ordinal"] == spans["_ordinal"]), "left").drop("_key", "_ordinal")
+    spans = spans.select(F.col("key").alias("__k"), F.col("ordinal").alias("__o"), F.col("spans").alias(_SPANS))
+    return rows.join(spans, (rows[_KEY] == spans["__k"]) & (rows[_ORDINAL] == spans["__o"]), "left").drop("__k", "__o")
 
 
 def removed_passages(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -612,14 +617,14 @@ def removed_passages(docs: DataFrame, length: int = 100) -> DataFrame:
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in text_batches(frames, "text"):
             out = []
-            for key, text, spans in zip(*[frame.column(c).to_pylist() for c in ("doc_id", "text", "spans")], strict=True):
+            for key, text, spans in zip(*[frame.column(c).to_pylist() for c in ("doc_id", "text", _SPANS)], strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 left, runs = _kept(raw, spans)
                 out.append((key, len(raw), len(raw) - len(left), runs, hashlib.sha256(left).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), shape, strict=True)], schema=shape)
 
     rows = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return _apply(rows, length).select("doc_id", "text", "spans").mapInArrow(task, columns)
+    return _apply(rows, length).select("doc_id", "text", _SPANS).mapInArrow(task, columns)
 
 
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -633,7 +638,7 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
 
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in text_batches(frames, "text"):
-            texts, spans = frame.column("text").to_pylist(), frame.column("spans").to_pylist()
+            texts, spans = frame.column("text").to_pylist(), frame.column(_SPANS).to_pylist()
             new = [t if not s else _kept(t.encode("utf-8", "surrogatepass"), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)]
             arrays = [frame.column(n) for n in names]
             arrays[where["text"]] = pa.array(new, arrays[where["text"]].type)
@@ -643,4 +648,4 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             out = pa.RecordBatch.from_arrays(arrays, names=names)
             yield out.filter(pa.array([bool(n) or not o for n, o in zip(new, texts, strict=True)]))
 
-    return _apply(keyed(docs), length).select(*names, "spans").mapInArrow(task, shape)
+    return _apply(keyed(docs), length).select(*names, _SPANS).mapInArrow(task, shape)

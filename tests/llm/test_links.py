@@ -122,10 +122,10 @@ def test_edges(documents):
     assert got == sorted([(1, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (8, 0, 8), (9, 0, 9), (None, 2, None)], key=str)
 
 
-def test_one_of_each_group_stays(documents):
+def test_one_of_each_group_stays(documents, clashing):
     base = " ".join(f"w{k}" for k in range(100))
     rows = [(5, base, "s"), (3, base + " end", "s"), (9, base, "s"), (1, "other text of its own", "s"), (2, None, "s"), (4, "", "s"), (None, base, "s"), (1, "other text of its own", "s")]
-    kept = jaccard.first_of_groups(documents(rows), jaccard.Rule(5, 80))
+    kept = jaccard.first_of_groups(clashing(documents(rows)), jaccard.Rule(5, 80))
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
         [(3, base + " end"), (1, "other text of its own"), (2, None), (4, ""), (None, base)], key=str
     )

@@ -86,9 +86,9 @@ def test_shards_are_drawn_by_share(documents):
             assert abs(c.get(k, 0) - 100 * share[k]) < 30
 
 
-def test_texts_follow_the_mix(documents):
+def test_texts_follow_the_mix(documents, clashing):
     rows = corpus()
-    docs = documents(rows)
+    docs = clashing(documents(rows))
     taken = {r["doc_id"]: r["taken"] for r in mix.words_taken(docs, block_words=16).collect()}
     out = mix.mixed_documents(docs, block_words=16)
     assert out.columns == docs.columns

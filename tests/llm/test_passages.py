@@ -52,9 +52,9 @@ def test_removal(spark, documents, clashing, monkeypatch, length, many, shard):
     assert got == {i: w[:4] for i, w in want.items()}
 
 
-def test_texts_without_repeats(documents):
+def test_texts_without_repeats(documents, clashing):
     rows = corpus(7)
-    docs = documents([(i, t, "s") for i, t in rows])
+    docs = clashing(documents([(i, t, "s") for i, t in rows]))
     out = suffix.without_repeats(docs)
     assert out.columns == docs.columns
     got = {r["doc_id"]: r for r in out.collect()}

@@ -120,6 +120,40 @@ def test_pipeline_stages(spark, sf_dir):
     assert sorted(map(tuple, packed.select(key).collect())) == sorted(map(tuple, whole.select(key).collect()))
 
 
+def test_pipeline_against_brute_force(spark, sf_dir):
+    from test_links import brute as links
+    from test_mix import WORDS, targets
+    from test_passages import brute as passages
+
+    from tenura.llm.tokens import Encoder, vocabulary_path
+
+    def rows(df):
+        return {r["doc_id"]: r["text"] for r in df.collect()}
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    good = corpus_pipeline.settle(corpus_pipeline.quality(spark, docs, sf_dir))
+    scored = QUERIES["op10_additive_model"](spark, sf_dir).filter("predicted = 1")
+    assert set(rows(good)) == {r["doc_id"] for r in scored.collect()}
+    single = corpus_pipeline.settle(corpus_pipeline.near_duplicates(spark, good, sf_dir))
+    assert set(rows(single)) == {i for i, _, root in links(list(rows(good).items()), 5, 80) if i == root}
+    cut = corpus_pipeline.settle(corpus_pipeline.repeated_passages(spark, single, sf_dir))
+    want = {i: kept.decode("utf-8", "ignore") for i, (*_, kept) in passages(list(rows(single).items()), 100).items()}
+    assert rows(cut) == {i: t for i, t in want.items() if t}
+    mixed = corpus_pipeline.settle(corpus_pipeline.mixing(spark, cut, sf_dir))
+    size, taken = {}, {}
+    for table, sums in ((cut, size), (mixed, taken)):
+        for r in table.collect():
+            sums[r["source"]] = sums.get(r["source"], 0) + len(WORDS.findall(r["text"]))
+    assert all(abs(taken.get(s, 0) - t) <= 0.5 for s, t in targets(size).items())
+    packed = corpus_pipeline.packing(spark, mixed, sf_dir)
+    encode, tokens = Encoder(vocabulary_path()), {}
+    for r in mixed.collect():
+        n = len(encode.tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1
+        tokens[r["doc_id"]] = tokens.get(r["doc_id"], 0) + n
+    found = {r["doc_id"]: r["n"] for r in packed.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert found == tokens
+
+
 def test_pipeline_decides(spark, documents, tmp_path):
     clean = [" ".join(f"the river {k} old house {i * 37 + k}" for k in range(40)) + "." for i in range(12)]
     junk = [" | ".join(f"x{i}{k}$$%" for k in range(60)) for i in range(12)]
