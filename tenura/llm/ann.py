@@ -16,10 +16,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.blocks import INDEX_ROWS, Index, against_all, best, usable_vectors
+from tenura.llm.blocks import Index, against_all, best, usable_vectors
 
 PARTS = ("ids", "vectors", "centre", "bits", "length", "own")
-SPREAD = 4.0
+#: Standard deviations of the estimate's error that are allowed for.
+SPREAD = 1.9
+INDEX_ROWS = 16384
 
 
 @lru_cache(maxsize=4)
@@ -52,7 +54,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def estimates(index: Index, asked: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products and their error bounds."""
+    """Estimated inner products, and each vector's error bound for a query of length one."""
     width = asked.shape[1]
     length, own = np.frombuffer(index["length"]), np.frombuffer(index["own"])
     packed = np.frombuffer(index["bits"], np.uint8).reshape(len(length), -1)
@@ -62,10 +64,9 @@ def estimates(index: Index, asked: np.ndarray, spread: float) -> tuple[np.ndarra
     centre = asked @ np.frombuffer(index["centre"])
     near = (turned.astype(np.float32) @ signs.T) * scale.astype(np.float32) + centre.astype(np.float32)[:, None]
     miss = np.sqrt(np.maximum(1 - own**2, 0)) / np.where(own > 0, own, 1) / np.sqrt(max(width - 1, 1e-9)) * length * spread
-    size = np.sqrt((asked * asked).sum(axis=1))
-    # single precision rounds; its share of the sizes is added
-    rounding = 1e-5 * size[:, None] * (length + np.sqrt((np.frombuffer(index["centre"]) ** 2).sum()))
-    return near, (size[:, None] * miss + rounding).astype(np.float32)
+    # single precision rounds; its share of the lengths is added
+    rounding = 1e-5 * (length + np.sqrt((np.frombuffer(index["centre"]) ** 2).sum()))
+    return near, (miss + rounding).astype(np.float32)
 
 
 def searcher(k: int, spread: float):
@@ -77,19 +78,24 @@ def searcher(k: int, spread: float):
             rows, part = query_ids[a : a + 256], asked[a : a + 256]
             near, miss = estimates(index, part, spread)
             near[rows[:, None] == ids] = -np.inf
-            if len(ids) > 2 * k:  # exact scores of the best estimates set the bar
-                first = np.argpartition(-near, 2 * k, axis=1)[:, : 2 * k]
+            if len(ids) > 4 * k:  # exact scores of the best estimates set the bar
+                first = np.argpartition(-near, 4 * k, axis=1)[:, : 4 * k]
                 exact = np.einsum("qd,qkd->qk", part, vectors[first])
                 exact[np.isneginf(np.take_along_axis(near, first, 1))] = -np.inf
                 bar = -np.partition(-exact, k - 1, axis=1)[:, k - 1]
                 bar -= 1e-9 * (1 + np.abs(bar))
             else:
                 bar = np.full(len(part), -np.inf)
-            q, v = np.nonzero((near + miss >= bar[:, None]) & ~np.isneginf(near))
-            score = np.concatenate([np.einsum("pd,pd->p", part[q[i : i + 65536]], vectors[v[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)])
-            # rounding must not decide at the end of the list: a few more go on
-            some = best(q, ids[v], score, k + 4)
-            q, v = q[some], v[some]
+            size = np.sqrt((part * part).sum(axis=1)).astype(np.float32)
+            possible = (near + size[:, None] * miss >= bar.astype(np.float32)[:, None]) & (rows[:, None] != ids)
+            q, v = [], []
+            for i in range(len(part)):
+                some = np.flatnonzero(possible[i])
+                # the k best all reach the bar, which leaves room for rounding
+                some = some[vectors[some] @ part[i] >= bar[i]]
+                q.append(np.full(len(some), i))
+                v.append(some)
+            q, v = np.concatenate(q), np.concatenate(v)
             exact = products(part[q], vectors[v])
             kept = best(q, ids[v], exact, k)
             out.append((rows[q[kept]], ids[v[kept]], exact[kept]))
