@@ -51,6 +51,15 @@ class Rule:
         """Most shingles that only one of two linked sets has, if neither is larger than ``largest``."""
         return (100 - self.percent) * 2 * largest // (100 + self.percent)
 
+    def slack(self, h: int) -> tuple[int, int]:
+        """Spare buckets and stretches for at most ``h`` differing shingles.
+
+        With a lower similarity buckets are smaller, and more of them are weak.
+        """
+        if h < 4:
+            return 0, 1
+        return (2, 1) if self.percent >= 87 else (4 + h // 5, 1 + 6 * h // 100)
+
     def largest_partner(self, size: np.ndarray) -> np.ndarray:
         return size * 100 // self.percent
 
@@ -69,8 +78,13 @@ def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndar
     """A key per set, size class and bucket, and the set's number.
 
     Sets in a class have m = H + 1 + spare buckets, so two linked sets agree in
-    spare + 1 buckets at least. Buckets of one shingle or none say little; a set that
-    has at most ``spare`` of them leaves them out, and still agrees in one that is kept.
+    spare + 1 buckets at least, and if they agree in a full one (of two shingles or
+    more), its key is with both. Else they agree in weak ones only, of one shingle or
+    none, whose keys would tie texts together that share a common shingle. A set with
+    at most ``spare`` weak buckets can't be in that case. Of others, a set with at most
+    spare - B empty buckets agrees in B + 1 buckets of one shingle, so in two of them in
+    one of B stretches of buckets: keys of two such buckets of a stretch stand for
+    them. Only sets with still more empty buckets give the keys of weak ones, too.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     keys, owners = [], []
@@ -87,7 +101,7 @@ def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndar
             h = rule.differing(int(edges[c + 1]) - 1)
             if not h:
                 continue  # only equal sets are linked here
-            spare = 2 if h >= 4 else 0
+            spare, stretches = rule.slack(h)
             m = h + 1 + spare
             bucket = (spread % np.uint64(m)).astype(np.int64)
             content = np.zeros(m, np.uint64)
@@ -95,9 +109,20 @@ def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndar
                 np.add.at(content, bucket, spread)
                 key = mix(content + np.arange(m, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93), int(c) + 100)
             count = np.bincount(bucket, minlength=m)
-            weak = count <= 1
-            if weak.sum() <= spare:
-                key = key[~weak]
+            full = count > 1
+            given = [key[full]]
+            if m - full.sum() > spare:
+                one = np.flatnonzero(count == 1)
+                stretch = one * stretches // m
+                for gap in range(1, len(one)):
+                    together = stretch[gap:] == stretch[:-gap]
+                    if not together.any():
+                        break
+                    with np.errstate(over="ignore"):
+                        given.append(mix(key[one[:-gap][together]] * np.uint64(0xD1342543DE82EF95) + key[one[gap:][together]], 17))
+                if m - full.sum() - len(one) > spare - stretches:
+                    given.append(key[~full])
+            key = np.concatenate(given)
             keys.append(key)
             owners.append(np.full(len(key), i))
     if not keys:
