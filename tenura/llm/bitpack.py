@@ -28,6 +28,8 @@ from tenura.session import scratch_path, settle
 MAGIC = b"TOKBITS1"
 BLOCK = 4096
 SHARD_IDS = 1 << 22
+#: Bytes of text that are encoded at a time.
+TEXT_BYTES = 6_000_000
 
 
 def bits_for(vocab_size: int) -> int:
@@ -153,7 +155,7 @@ def write_token_shards(
             seq, held, keys, documents = seq + 1, 0, [], []
             return batch_of(shape, [row])
 
-        for frame in text_batches(frames, "text"):
+        for frame in text_batches(frames, "text", TEXT_BYTES):
             for key, found in zip(frame.column("id").to_pylist(), encode.ids(frame.column("text")), strict=True):
                 ids = np.append(found, end).astype(kind)
                 keys.append(key)

@@ -22,9 +22,12 @@ _CUT = re.compile(r" (?=\S)")
 # Chunks of visible ASCII, Latin letters and single line ends between them.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _KNOWN = re.compile(f"[!-~{_LATIN}]+(?:\n[!-~{_LATIN}]+)*")
+_ALL_KNOWN = re.compile(f"[!-~{_LATIN}]+(?:[ \n][!-~{_LATIN}]+)*")
+# An empty chunk, or one that begins with what either library takes for white space.
+_ODD = r"^(?:$|[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
 # The public pattern of the vocabulary, narrowed to those characters.
 _PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\n")
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 500_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -71,10 +74,13 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Adds chunks that follow a space; their pieces go to the vocabulary's merges."""
-        if len(self.pieces) > self.memo_chunks:
+        if len(self.pieces) > self.memo_chunks // 2:
             self.pieces.clear()
-        known = [c for c in chunks if _KNOWN.fullmatch(c)]
-        pieces = _PIECES.findall(" " + " ".join(known)) if known else []
+        known, joined = chunks, " ".join(chunks)
+        if not _ALL_KNOWN.fullmatch(joined):
+            known = [c for c in chunks if _KNOWN.fullmatch(c)]
+            joined = " ".join(known)
+        pieces = _PIECES.findall(" " + joined) if known else []
         new = [p for p in set(pieces) if p not in self.pieces]
         shown = "\0".join(new).encode().decode("latin-1").translate(self.alphabet)
         merge = self.tokenizer.model.tokenize
@@ -120,7 +126,7 @@ class Encoder:
         # the first chunk of a text has no space in front
         follows = np.zeros(len(chunks), bool)
         follows[which[later]] = True
-        odd = np.array([f and (not c or c[0].isspace()) for c, f in zip(chunks, follows.tolist(), strict=True)], bool)
+        odd = pc.match_substring_regex(coded.dictionary, _ODD).to_numpy(zero_copy_only=False) & follows
         rare = np.unique(np.searchsorted(place, np.flatnonzero(odd[which] & later), "right") - 1).tolist()
         used = np.flatnonzero(follows & ~odd)
         front, back = np.unique(which[heads], return_inverse=True)
