@@ -29,7 +29,7 @@ MAGIC = b"TOKBITS1"
 BLOCK = 4096
 SHARD_IDS = 1 << 22
 #: Bytes of text that are encoded at a time.
-TEXT_BYTES = 6_000_000
+TEXT_BYTES = 4_000_000
 
 
 def bits_for(vocab_size: int) -> int:
@@ -40,6 +40,8 @@ def bits_for(vocab_size: int) -> int:
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     """Ids below 2**bits as bit fields; eight ids fill ``bits`` bytes."""
     n = len(ids)
+    if bits in (8, 16, 32):  # whole bytes
+        return ids.astype(f"<u{bits // 8}").tobytes()
     groups = np.zeros((-(-n // 8), 8), np.uint64)
     groups.reshape(-1)[:n] = ids
     out = np.zeros((len(groups), bits + 8), np.uint8)
@@ -53,6 +55,8 @@ def pack_bits(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack_bits(raw: bytes | memoryview, n: int, bits: int) -> np.ndarray:
     """The ``n`` ids of bit fields."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(raw, f"<u{bits // 8}")[:n].astype(np.uint32)
     groups = -(-n // 8)
     filled = np.zeros(groups * bits, np.uint8)
     filled[: len(raw)] = np.frombuffer(raw, np.uint8)

@@ -74,7 +74,7 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Adds chunks that follow a space; their pieces go to the vocabulary's merges."""
-        if len(self.pieces) > self.memo_chunks // 2:
+        if len(self.pieces) > self.memo_chunks // 5:
             self.pieces.clear()
         known, joined = chunks, " ".join(chunks)
         if not _ALL_KNOWN.fullmatch(joined):
