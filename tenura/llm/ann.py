@@ -5,7 +5,8 @@ and kept as one sign bit a dimension. Two correction scalars a vector, its rest'
 length and the rest's product with its own code, turn the product of code and rotated
 query into an unbiased estimate whose error has a known spread. Vectors whose estimate
 plus ``spread`` times that reaches the k-th best exact score found so far are rescored on the
-original values, so the codes only decide what is left out.
+original values, so the codes only decide what is left out. The rows that set this bar are
+always rescored themselves, so a block gives ``k`` rows if it has them.
 """
 
 from __future__ import annotations
@@ -73,21 +74,29 @@ def searcher(k: int, spread: float):
     def search(index: Index, query_ids: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids = np.frombuffer(index["ids"], np.int64)
         vectors = np.frombuffer(index["vectors"]).reshape(len(ids), -1)
+        longest = np.sqrt((vectors * vectors).sum(axis=1).max())
         out = []
         for a in range(0, len(asked), 256):
             rows, part = query_ids[a : a + 256], asked[a : a + 256]
             near, miss = estimates(index, part, spread)
-            near[rows[:, None] == ids] = -np.inf
+            other = rows[:, None] != ids
+            near[~other] = -np.inf
+            size = np.sqrt((part * part).sum(axis=1))
             if len(ids) > 4 * k:  # exact scores of the best estimates set the bar
                 first = np.argpartition(-near, 4 * k, axis=1)[:, : 4 * k]
                 exact = np.einsum("qd,qkd->qk", part, vectors[first])
                 exact[np.isneginf(np.take_along_axis(near, first, 1))] = -np.inf
                 bar = -np.partition(-exact, k - 1, axis=1)[:, k - 1]
-                bar -= 1e-9 * (1 + np.abs(bar))
+                bar -= 1e-9 * (1 + np.abs(bar)) + 1e-12 * size * longest
+                # these rows count whatever their bounds say, and so do all that share the last of their estimates: copies
+                last = np.take_along_axis(near, first, 1).min(axis=1) - 1e-6 * size * longest
+                possible = near >= last[:, None]
+                np.put_along_axis(possible, first, True, axis=1)
+                possible |= near + size.astype(np.float32)[:, None] * miss >= bar.astype(np.float32)[:, None]
             else:
                 bar = np.full(len(part), -np.inf)
-            size = np.sqrt((part * part).sum(axis=1)).astype(np.float32)
-            possible = (near + size[:, None] * miss >= bar.astype(np.float32)[:, None]) & (rows[:, None] != ids)
+                possible = np.ones(near.shape, bool)
+            possible &= other
             q, v = [], []
             for i in range(len(part)):
                 some = np.flatnonzero(possible[i])

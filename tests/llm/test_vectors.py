@@ -92,6 +92,31 @@ def test_codes_leave_most_vectors_out():
     assert (near + size * miss >= bar[:, None]).mean() < 0.3
 
 
+@pytest.mark.parametrize("copies", [20, 100, 1000])
+def test_equal_vectors_fill_every_query(spark, copies):
+    draw = np.random.default_rng(5)
+    for width in (8, 32):
+        data = np.repeat(draw.standard_normal((4000 // copies, width)), copies, axis=0).astype(np.float32)
+        data = data[draw.permutation(len(data))]
+        got = ann.nearest(frame(spark, [(i, v.tolist()) for i, v in enumerate(data)]), ann.every_twentieth())
+        counts = {r["query_id"]: r["count"] for r in got.groupBy("query_id").count().collect()}
+        assert counts == dict.fromkeys(range(0, len(data), 20), 20)
+
+
+def test_no_scored_row_is_dropped():
+    draw = np.random.default_rng(6)
+    data = np.repeat(draw.standard_normal((4, 32)), 1000, axis=0)
+    ids, asked = np.arange(len(data)), draw.standard_normal((1000, 32))
+    index = ann.build_codes(ids, data)
+    for spread in (ann.SPREAD, 0.0):
+        rows, found, scores = ann.searcher(20, spread)(index, ids[:1000] + 10**6, asked)
+        assert np.bincount(rows - 10**6, minlength=1000).tolist() == [20] * 1000
+        near, _ = ann.estimates(index, asked, spread)
+        first = np.argpartition(-near, 80, axis=1)[:, :80]
+        bar = np.sort(np.take_along_axis(asked @ data.T, first, 1), axis=1)[:, -20]
+        assert (scores.reshape(1000, 20).min(axis=1) >= bar - 1e-9).all()
+
+
 def test_few_candidates_and_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
