@@ -73,8 +73,8 @@ def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20 nearest of all vectors for each twentieth vector."""
-    return nearest(table(spark, sf_dir, "embeddings"), every_twentieth())
+    """The 20 nearest of all vectors for each twentieth vector, with bounds of four deviations."""
+    return nearest(table(spark, sf_dir, "embeddings"), every_twentieth(), spread=4.0)
 
 
 def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

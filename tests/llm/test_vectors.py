@@ -3,10 +3,13 @@
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.llm import ann, impacts
+from tenura.llm import ann, impacts, queries
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank int, score double, block long"
 
@@ -117,6 +120,39 @@ def test_no_scored_row_is_dropped():
         assert (scores.reshape(1000, 20).min(axis=1) >= bar - 1e-9).all()
 
 
+def recall(got, ids, data):
+    """The share of the 20 largest products of every twentieth row that are among the (query_id, vec_id) found."""
+    asked = np.flatnonzero(ids % 20 == 0)
+    found, hits = {(r["query_id"], r["vec_id"]) for r in got}, 0
+    for a in range(0, len(asked), 500):
+        part = asked[a : a + 500]
+        scores = data[part] @ data.T
+        scores[np.arange(len(part)), part] = -np.inf
+        top = np.argpartition(-scores, 20, axis=1)[:, :20]
+        hits += sum((q, v) in found for q, row in zip(ids[part].tolist(), ids[top].tolist(), strict=True) for v in row)
+    return hits / (20 * len(asked))
+
+
+@pytest.mark.parametrize("kind", ["clustered", "sf0.01", "sf0.1"])
+def test_recall_at_production_settings(spark, sf_dir, tmp_path, kind):
+    if kind == "clustered":  # two blocks of INDEX_ROWS
+        draw = np.random.default_rng(1)
+        centres = draw.standard_normal((200, 32))
+        data = (centres[draw.integers(0, 200, 20000)] + 0.3 * draw.standard_normal((20000, 32))).astype(np.float32)
+        folder = str(tmp_path)
+        rows = pa.FixedSizeListArray.from_arrays(pa.array(data.ravel()), 32).cast(pa.list_(pa.float32()))
+        pq.write_table(pa.table({"vec_id": np.arange(20000), "embedding": rows}), f"{folder}/embeddings.parquet")
+    else:
+        folder = sf_dir.replace("sf0.001", kind)
+    known = ds.dataset(f"{folder}/embeddings.parquet").to_table(columns=["vec_id", "embedding"])
+    ids, flat = known["vec_id"].to_numpy(), known["embedding"].combine_chunks().flatten()
+    data = flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), -1)
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    assert recall(ann.nearest(vectors, ann.every_twentieth()).collect(), ids, data) >= 0.9
+    # with this bound no block leaves a true neighbour out here
+    assert recall(queries.op6_rotated_codes(spark, folder).collect(), ids, data) >= 0.999
+
+
 def test_few_candidates_and_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
