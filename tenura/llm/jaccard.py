@@ -448,8 +448,10 @@ def linked_documents(docs: DataFrame, rule: Rule | None = None, task_shingles: i
     key = ["s1", "s2", "n_shingles"]
     copies = settle(filled.join(classes.filter("copies > 1").select(*key, "first"), key).select("doc_id", "first").filter("doc_id > first").distinct())
     met = meeting_sets(docs, rule)
-    # a copy that met something stands for its class
-    of = copies.groupBy("doc_id").agg(F.min("first").alias("first"))
+    # a copy that met something stands for its class; an id with several different texts stays, as it is in several classes
+    several = filled.groupBy("doc_id").agg(*[f(x).alias(f"{f.__name__}_{x}") for x in key for f in (F.min, F.max)])
+    several = several.filter(" or ".join(f"min_{x} <> max_{x}" for x in key)).select("doc_id")
+    of = copies.groupBy("doc_id").agg(F.min("first").alias("first")).join(several, "doc_id", "left_anti")
     a, b = of.select(F.col("doc_id").alias("a"), F.col("first").alias("fa")), of.select(F.col("doc_id").alias("b"), F.col("first").alias("fb"))
     edges = settle(met.distinct().join(a, "a", "left").join(b, "b", "left").select(F.coalesce("fa", "a").alias("a"), F.coalesce("fb", "b").alias("b")).filter("a <> b"))
     clusters = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("region"))

@@ -122,6 +122,23 @@ def test_edges(documents):
     assert got == sorted([(1, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (8, 0, 8), (9, 0, 9), (None, 2, None)], key=str)
 
 
+def test_near_copies_under_a_repeated_id(documents):
+    a, b = (" ".join(f"{x}{k}" for k in range(200)) for x in "ab")
+    rows = [(3, a), (5, a), (5, b), (8, b + " end"), (2, "a text of its own"), (2, "another text of its own"), (7, "another text of its own")]
+    got = jaccard.linked_documents(documents([(i, t, "s") for i, t in rows])).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_links_of_repeated_ids(spark, documents, seed):
+    texts = corpus(seed)
+    draw = random.Random(seed)
+    rows = [(draw.randrange(len(texts) // 2), t) for t in texts]
+    got = jaccard.linked_documents(documents([(i, t, "s") for i, t in rows])).collect()
+    want = brute(rows, 3, 90)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["n_shingles"]) == [r for r in want if r[1]]
+
+
 def test_one_of_each_group_stays(documents, clashing):
     base = " ".join(f"w{k}" for k in range(100))
     rows = [(5, base, "s"), (3, base + " end", "s"), (9, base, "s"), (1, "other text of its own", "s"), (2, None, "s"), (4, "", "s"), (None, base, "s"), (1, "other text of its own", "s")]
