@@ -38,6 +38,8 @@ PIVOTS = 8
 TASK_SHINGLES = 4_000_000
 #: Sets in a block where pivots don't help.
 BLOCK_SETS = 1024
+#: Bucket keys that a task chains before they are shuffled.
+CHAINED = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -155,13 +157,48 @@ def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     return settle(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, columns))
 
 
+def chained(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer rows of key and id that tie the same ids together: one per key, and two per link of a chain of ids.
+
+    The ids that agree in keys here hang on the smallest of each key. What hangs together
+    becomes one chain, and a key of its own for each link of it.
+    """
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    start = ids[first][np.cumsum(first) - 1]
+    more = ids != start
+    forest = Forest()
+    for a, b in set(zip(start[more].tolist(), ids[more].tolist(), strict=True)):
+        forest.unite(a, b)
+    members = sorted((forest.root(x), x) for x in {*forest.parent, *forest.parent.values()})
+    links = [(x, y) for (p, x), (q, y) in zip(members, members[1:], strict=False) if p == q]
+    a, b = (np.array([link[i] for link in links], np.int64) for i in (0, 1))
+    with np.errstate(over="ignore"):
+        own = mix(mix(a.astype(np.uint64), 41) + b.astype(np.uint64), 42).astype(np.int64)
+    return np.concatenate([keys[first], own, own]), np.concatenate([ids[first], a, b])
+
+
 def meeting_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """a, b: chains of ids whose sets agree in a bucket."""
+    """a, b: chains of ids whose sets agree in a bucket.
+
+    A key that very many sets share leaves a task once per ``CHAINED`` keys.
+    """
     columns = "key long, doc_id long"
     shape = arrow_schema(columns)
 
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int]] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def reduced() -> pa.RecordBatch:
+            nonlocal held, size
+            rows = chained(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held, size = [], 0
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], schema=shape)
+
         for frame in text_batches(frames, "text", BATCH):
             sets = shingle_sets(frame.column("text"), rule.words)
             digests = list(zip(*_digests(sets), strict=True))
@@ -175,8 +212,12 @@ def meeting_sets(docs: DataFrame, rule: Rule) -> DataFrame:
                 done.clear()
             keys, owners = bucket_keys([sets[i] for i in new], rule)
             if len(keys):
-                ids = frame.column("doc_id").take(pa.array(np.array(new)[owners]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), ids], schema=shape)
+                held.append((keys.astype(np.int64), frame.column("doc_id").to_numpy()[np.array(new)[owners]]))
+                size += len(keys)
+            if size >= CHAINED:
+                yield reduced()
+        if held:
+            yield reduced()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").mapInArrow(task, columns)
     before = F.lag("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))

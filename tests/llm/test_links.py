@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -122,6 +123,23 @@ def test_edges(documents):
     assert got == sorted([(1, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (8, 0, 8), (9, 0, 9), (None, 2, None)], key=str)
 
 
+def test_hot_keys_leave_a_task_once():
+    draw = random.Random(3)
+    rows = [(k, i) for i in range(5000) for k in (draw.randrange(10**9), *(range(20) if i % 3 == 0 else ()))]
+    rows += [(draw.randrange(2000) + 10**10, draw.randrange(-3000, 5000)) for _ in range(2000)]
+    rows += rows[:50]
+    keys, ids = jaccard.chained(*(np.array(x, np.int64) for x in zip(*rows, strict=True)))
+    roots = []
+    for table in (rows, list(zip(keys.tolist(), ids.tolist(), strict=True))):
+        forest, holder = Forest(), {}
+        for k, i in table:
+            forest.unite(holder.setdefault(k, i), i)
+        roots.append({i: forest.root(i) for _, i in rows})
+    assert roots[0] == roots[1]
+    assert {k for k, _ in rows} <= set(keys.tolist())
+    assert max(np.unique(keys, return_counts=True)[1]) <= 2
+
+
 def test_near_copies_under_a_repeated_id(documents):
     a, b = (" ".join(f"{x}{k}" for k in range(200)) for x in "ab")
     rows = [(3, a), (5, a), (5, b), (8, b + " end"), (2, "a text of its own"), (2, "another text of its own"), (7, "another text of its own")]
