@@ -13,7 +13,7 @@ from tenura.session import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model keeps."""
+    """Documents that the quality model keeps; all where the labels don't fit one."""
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

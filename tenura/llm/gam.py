@@ -90,6 +90,7 @@ class Model:
     pairs: list[tuple[int, int]] = field(default_factory=list)
     coarse: list[np.ndarray] = field(default_factory=list)
     pair_tables: list[np.ndarray] = field(default_factory=list)
+    both: bool = True  # rows of both labels were fitted
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """Probability of label 1 of each row of features."""
@@ -151,7 +152,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, bins: int = 32, rounds: int = 80,
     cuts = [_cut_points(rows[:, j], bins) if len(rows) else np.zeros(0) for j in range(width)]
     tables = [np.zeros(len(c) + 1) for c in cuts]
     if len(set(labels.tolist())) < 2:
-        return Model(base, cuts, tables)
+        return Model(base, cuts, tables, both=False)
     at = [np.searchsorted(c, rows[:, j], "right") for j, c in enumerate(cuts)]
     total = np.full(len(rows), base)
     least = max(1.0, 0.0005 * len(rows))
@@ -228,8 +229,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose texts score at least ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose texts score at least ``threshold``, with all their columns.
+
+    Where the fitted rows don't hold both labels, nothing tells good texts from others:
+    all rows stay.
+    """
     model = fit_quality(docs, labels, fit_rows)
+    if not model.both:
+        return docs
 
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in text_batches(frames, "text"):

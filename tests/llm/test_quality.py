@@ -97,6 +97,14 @@ def test_scores_without_labels_or_rows(spark, documents):
     assert gam.quality_scores(documents([]), none).count() == 0
 
 
+@pytest.mark.parametrize("label", [None, 0, 1])
+def test_all_rows_stay_without_both_labels(spark, documents, label):
+    docs = documents(["a clean text of a few words"] * 9 + [None])
+    labels = labelled(spark, [] if label is None else [(i, label, 0) for i in range(9)])
+    kept = gam.keep_good(docs, labels)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(10)) and kept.schema == docs.schema
+
+
 def test_held_out_accuracy(spark, sf_dir):
     scored = QUERIES["op10_additive_model"](spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
