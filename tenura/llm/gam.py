@@ -198,7 +198,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, la
 
     They are the ids with the smallest hashes. Rows with a null id or label don't
     count; of several labels of an id the largest counts; labels without a document
-    are of no use. Features are all that a score sees.
+    are of no use. Of several texts of an id the one with the smallest hash is fitted.
+    Features are all that a score sees.
     """
     known = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -207,7 +208,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, la
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).withColumnRenamed("doc_id", "_id")
     # at most fit_rows rows of two numbers are broadcast, so only their texts are looked at
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    texts = rows.select(F.struct("doc_id", "label").alias("key"), "text")
+    once = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    texts = once.select(F.struct("doc_id", "label").alias("key"), "text")
     kind = chosen.schema["label"].dataType.simpleString()
     found = _texts_to(texts, f"key struct<doc_id:bigint,label:{kind}>, features array<double>", lambda f: f.tolist()).collect()
     found.sort(key=lambda r: (r["key"]["doc_id"], r["features"]))

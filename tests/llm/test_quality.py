@@ -105,6 +105,17 @@ def test_all_rows_stay_without_both_labels(spark, documents, label):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(10)) and kept.schema == docs.schema
 
 
+def test_a_repeated_id_is_fitted_once(spark, documents, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(gam, "fit", lambda x, y: fitted.append((x.tolist(), y.tolist())))
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"text {i}", "s") for i in ids] + [(ids[0], f"other {k}" if k % 2 else None, "s") for k in range(300)]
+    labels = labelled(spark, [(i, i % 2, 0) for i in ids])
+    for partitions in (1, 5):
+        gam.fit_quality(documents(rows, partitions), labels)
+    assert len(fitted[0][0]) == len(ids) and fitted[0] == fitted[1]
+
+
 def test_held_out_accuracy(spark, sf_dir):
     scored = QUERIES["op10_additive_model"](spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
