@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tenura.llm.ann import every_twentieth, nearest
+from tenura.llm.audit import filter_audit
 from tenura.llm.bitpack import token_index
 from tenura.llm.gam import quality_scores
 from tenura.llm.impacts import every_hundredth, top_products
 from tenura.llm.jaccard import linked_documents
 from tenura.llm.mix import words_taken
+from tenura.llm.naming import exact_copies
+from tenura.llm.orchard import CENTROIDS, ROUNDS, cluster
 from tenura.llm.pack import pack
 from tenura.llm.spans import section_tokens
 from tenura.llm.suffix import removed_passages
@@ -97,6 +100,21 @@ def op10_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_orchard_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in eight clusters after ten rounds."""
+    return cluster(table(spark, sf_dir, "embeddings")).drop("tried")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, in each of their 120 orders."""
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equals that stays."""
+    return exact_copies(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     ship(spark)
@@ -114,6 +132,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_impact_ordered": op9_impact_ordered,
     "op10_additive_model": op10_additive_model,
+    "op11_orchard_search": op11_orchard_search,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_block_naming": op13_block_naming,
     "pipeline": pipeline,
 }
 
@@ -123,7 +144,58 @@ array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
     + strpos('0123456789abcdef', substr(hex, 2 + (5 * i) // 4, 1)) - 1) >> (3 - i % 4)) & 31 AS BIGINT), 1)
   for i in range(32)], '')"""
 
+
+
+def _lloyd_sql(k: int, rounds: int) -> str:
+    """Plain rounds over all pairs of vectors and centroids."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS (SELECT i, vec_id, e, arg_min(c, (d, c)) AS cluster, MIN(d) AS distance FROM (
+  SELECT v.i, v.vec_id, v.e, m.c, CAST(list_sum([(v.e[j] - m.e[j]) * (v.e[j] - m.e[j]) for j in range(1, 65)]) AS BIGINT) AS d FROM v, m{r} m) GROUP BY i, vec_id, e)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (SELECT cluster, j, CAST(SUM(x) AS BIGINT) AS s, COUNT(*) AS n FROM (
+  SELECT cluster, UNNEST(e) AS x, UNNEST(range(64)) AS j FROM near{r}) GROUP BY cluster, j),
+means{r} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j) AS e FROM sums{r} GROUP BY cluster),
+m{r + 1} AS (SELECT m.c, COALESCE(t.e, m.e) AS e FROM m{r} m LEFT JOIN means{r} t ON t.cluster = m.c)""")
+    return f"""
+WITH v AS (SELECT ROW_NUMBER() OVER () AS i, vec_id, [CAST(FLOOR(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+m0 AS (SELECT ROW_NUMBER() OVER (ORDER BY h) - 1 AS c, e FROM (SELECT sha256('3:' || vec_id) AS h, e FROM v ORDER BY h LIMIT {k})),
+{",".join(steps)}
+SELECT vec_id, CAST(cluster AS INT) AS cluster, distance, CAST(SUM(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(SUM(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.e, ',')) AS centroid_sha256
+FROM near{rounds} JOIN m{rounds} m ON m.c = cluster"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_orchard_search": _lloyd_sql(CENTROIDS, ROUNDS),
+    "op12_filter_audit": r"""
+WITH RECURSIVE t AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS x,
+    regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT x, MIN(doc_id) AS least FROM t GROUP BY x),
+fails AS (SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * len(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * len(x), regexp_matches(x, '[#$%&*|]'), COALESCE(doc_id > least, FALSE)] AS f,
+    COALESCE(l.quality = 1, FALSE) AS good, COALESCE(l.toxic = 1, FALSE) AS toxic
+  FROM t JOIN first USING (x) LEFT JOIN labels l USING (doc_id)),
+masks AS (SELECT part, f, COUNT(*) AS n, COUNT(*) FILTER (good) AS good, COUNT(*) FILTER (toxic) AS toxic FROM fails GROUP BY ALL),
+orders AS (SELECT '' AS o UNION ALL SELECT o || c FROM orders, (SELECT UNNEST(['A', 'B', 'C', 'D', 'E']) AS c) WHERE strpos(o, c) = 0),
+steps AS (SELECT o, UNNEST(range(1, 6)) AS s FROM orders WHERE len(o) = 5),
+hit AS (SELECT part, o, s, o[s] AS c, n, good, toxic, f[ascii(o[s]) - 64] AS fails,
+    len([k for k in range(1, s) if f[ascii(o[k]) - 64]]) > 0 AS gone, len([y for y in f if y]) = 1 AS only_one FROM masks, steps),
+sums AS (SELECT part, o, s, c, COALESCE(SUM(n) FILTER (NOT gone AND NOT fails), 0) AS kept, COALESCE(SUM(n) FILTER (NOT gone AND fails), 0) AS removed,
+    COALESCE(SUM(n) FILTER (gone AND fails), 0) AS redundant, COALESCE(SUM(n) FILTER (fails AND only_one), 0) AS unique_fails,
+    COALESCE(SUM(good) FILTER (NOT gone AND fails), 0) AS good_lost, COALESCE(SUM(toxic) FILTER (NOT gone AND fails), 0) AS toxic_lost
+  FROM hit GROUP BY part, o, s, c)
+SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(SUM(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley FROM sums""",
+    "op13_block_naming": r"""
+WITH t AS (SELECT doc_id, length(COALESCE(text, '')) AS points, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]', '', 'g') AS x FROM documents)
+SELECT doc_id, FIRST_VALUE(doc_id) OVER best AS keep_id, COUNT(*) OVER (PARTITION BY x) AS group_size,
+  ROW_NUMBER() OVER best = 1 AS kept, sha256(x) AS text_sha256
+FROM t WINDOW best AS (PARTITION BY x ORDER BY points DESC, doc_id)""",
     "op2_warc_transactions": f"""
 WITH p AS (SELECT page_id, url, COALESCE(html, '') AS body, sha1(COALESCE(html, '')) AS hex FROM pages),
 held AS (SELECT body, MAX(page_id) AS holder FROM p GROUP BY body)
