@@ -176,7 +176,8 @@ def _describe_sql(source: str, columns) -> str:
 
 add("describe", over(lambda df: rounded(aggregate.describe(df, NUMERIC), "mean", "std", places=8), raw),
     sql("people", _describe_sql("people", NUMERIC)))
-_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# every numeric column of the table
+_LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _round_quartiles(text: str) -> str:
@@ -195,6 +196,50 @@ def describe_lineitem(spark, sf_dir):
 
 add("describe_lineitem", describe_lineitem, _round_quartiles(_describe_sql("lineitem", _LINE)))
 
+# --- NaN is missing, infinities are values -----------------------------------------------------
+
+
+def odd_numbers(spark, sf_dir):
+    """People with a column of holes (NaN), one of infinities and one without any number."""
+    key, income = F.col("EmployeeNumber"), F.col("MonthlyIncome").cast("double")
+    return raw(spark, sf_dir).select(
+        "EmployeeNumber", "Attrition", "JobLevel", "Age",
+        F.when(key % 7 == 0, F.lit(float("nan"))).otherwise(income).alias("holed"),
+        F.when(key % 1001 == 0, F.lit(float("-inf"))).when(key % 9 == 0, F.lit(None)).otherwise(income).alias("endless"),
+        F.lit(float("nan")).alias("hollow"),
+    )
+
+
+_ODD = """odd AS (SELECT EmployeeNumber, Attrition, JobLevel, Age,
+  CASE WHEN EmployeeNumber % 7 <> 0 THEN CAST(MonthlyIncome AS DOUBLE) END AS holed,
+  CASE WHEN EmployeeNumber % 1001 = 0 THEN CAST('-inf' AS DOUBLE) WHEN EmployeeNumber % 9 <> 0 THEN CAST(MonthlyIncome AS DOUBLE) END AS endless
+  FROM people)"""
+_ODD_SQL = """
+SELECT 'holed' AS feature, COUNT(holed) AS n, ROUND(AVG(holed), 8) AS mean, ROUND(STDDEV_SAMP(holed), 8) AS std, MIN(holed) AS min,
+  quantile_cont(holed, 0.25) AS q25, quantile_cont(holed, 0.5) AS q50, quantile_cont(holed, 0.75) AS q75, MAX(holed) AS max, CAST(1 AS INT) AS position FROM odd
+UNION ALL SELECT 'hollow', CAST(0 AS BIGINT), NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(3 AS INT)
+UNION ALL SELECT 'endless', COUNT(endless), CASE WHEN COUNT(*) FILTER (WHERE isinf(endless)) > 0 THEN CAST('-inf' AS DOUBLE) ELSE ROUND(AVG(endless), 8) END, CASE WHEN COUNT(*) FILTER (WHERE isinf(endless)) > 0 THEN NULL
+    ELSE ROUND(SQRT((COUNT(endless) * SUM(f * f) - SUM(f) * SUM(f)) / (COUNT(endless) * (COUNT(endless) - 1.0::DOUBLE))), 8) END,
+  MIN(endless), quantile_cont(endless, 0.25), quantile_cont(endless, 0.5), quantile_cont(endless, 0.75), MAX(endless), CAST(2 AS INT)
+  FROM (SELECT endless, CASE WHEN isfinite(endless) THEN endless END AS f FROM odd)"""
+add("describe_nan", over(lambda df: rounded(aggregate.describe(df, ["holed", "endless", "hollow"]), "mean", "std", places=8), odd_numbers),
+    sql("people", _ODD_SQL, _ODD))
+add("group_median_nan", over(lambda df: aggregate.center_by_class(df, "holed", "Attrition"), odd_numbers),
+    sql("people", """SELECT Attrition, quantile_cont(holed, 0.5) AS median, AVG(holed) AS mean, COUNT(holed) AS n
+    FROM odd GROUP BY 1""", _ODD))
+add("box_stats_nan", over(lambda df: aggregate.box_stats(df, "holed", "Attrition"), odd_numbers), sql("people", """
+SELECT p.Attrition, MIN(p.holed) AS min, MAX(p.holed) AS max, q.q1, q.median, q.q3,
+  MIN(CASE WHEN p.holed BETWEEN q.lo AND q.hi THEN p.holed END) AS whisker_low,
+  MAX(CASE WHEN p.holed BETWEEN q.lo AND q.hi THEN p.holed END) AS whisker_high,
+  COUNT(*) FILTER (WHERE p.holed < q.lo OR p.holed > q.hi) AS outliers
+FROM odd p JOIN fence q USING (Attrition) GROUP BY p.Attrition, q.q1, q.median, q.q3""", _ODD,
+    """fence AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (
+  SELECT Attrition, quantile_cont(holed, 0.25) AS q1, quantile_cont(holed, 0.5) AS median,
+    quantile_cont(holed, 0.75) AS q3 FROM odd GROUP BY 1))"""))
+add("violin_nan", over(lambda df: aggregate.violin_stats(df, "holed", "JobLevel"), odd_numbers), sql("people", """
+SELECT JobLevel, COUNT(holed) AS n, AVG(holed) AS mean, quantile_cont(holed, 0.5) AS median,
+  MIN(holed) AS min, MAX(holed) AS max FROM odd GROUP BY 1""", _ODD))
+
 # --- histograms, box and violin --------------------------------------------------------------
 
 
@@ -225,6 +270,9 @@ add("histogram", over(lambda df: aggregate.histogram(df, NUMERIC, "Attrition", 3
     sql("people", _histogram_query("Attrition", 30), *_histogram_sql(NUMERIC, "Attrition", 30)))
 add("histogram_density", over(lambda df: aggregate.histogram(df, specs.TENURE_COLUMNS, "Attrition", 20), raw),
     sql("people", _histogram_query("Attrition", 20), *_histogram_sql(specs.TENURE_COLUMNS, "Attrition", 20)))
+_FINITE = """finite AS (SELECT Attrition, holed, CASE WHEN isfinite(endless) THEN endless END AS endless FROM odd)"""
+add("histogram_nan", over(lambda df: aggregate.histogram(df, ["holed", "endless"], "Attrition", 30), odd_numbers),
+    sql("people", _histogram_query("Attrition", 30), _ODD, _FINITE, *_histogram_sql(["holed", "endless"], "Attrition", 30, "finite")))
 add("box_stats", over(lambda df: aggregate.box_stats(df, "MonthlyIncome", "Attrition"), raw), sql("people", """
 SELECT p.Attrition, MIN(p.MonthlyIncome) AS min, MAX(p.MonthlyIncome) AS max, q.q1, q.median, q.q3,
   MIN(CASE WHEN p.MonthlyIncome BETWEEN q.lo AND q.hi THEN p.MonthlyIncome END) AS whisker_low,
@@ -303,6 +351,28 @@ add("duplicate_rows_without_key", over(lambda df: aggregate.duplicate_rows(
         df, ["Department", "JobRole", "Age", "JobLevel", "MaritalStatus"]), raw), sql("people", """
 SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicates FROM (
   SELECT COUNT(*) AS n FROM people GROUP BY Department, JobRole, Age, JobLevel, MaritalStatus)"""))
+
+
+def typed_events(spark, sf_dir):
+    """Events cut down to months, with microseconds, zeros of both signs, NaN, nulls and nested cells."""
+    events, key = table(spark, sf_dir, "events"), F.col("event_id")
+    month = F.unix_micros(F.date_trunc("month", F.col("ts").cast("timestamp")))
+    number = (
+        F.when(key % 5 == 0, F.lit(0.0)).when(key % 5 == 1, F.lit(-0.0)).when(key % 5 == 2, F.lit(float("nan")))
+        .when(key % 5 == 3, F.lit(None)).otherwise(F.floor(F.col("value") / 16).cast("double"))
+    )
+    return events.select(
+        F.timestamp_micros(month + key % 3).alias("at"), number.alias("number"),
+        F.struct("event_type", F.array(F.col("user_id") % 2, F.lit(None)).alias("users")).alias("who"),
+        F.create_map(F.lit("n"), number).alias("map"),
+    )
+
+
+add("duplicate_rows_typed", over(aggregate.duplicate_rows, typed_events), """
+SELECT (SELECT COUNT(*) FROM events) - COUNT(*) AS duplicates FROM (
+  SELECT DISTINCT date_trunc('month', ts) AS month, event_id % 3 AS micros, event_type, user_id % 2 AS u,
+    CASE WHEN event_id % 5 IN (0, 1) THEN 'zero' WHEN event_id % 5 = 2 THEN 'nan' WHEN event_id % 5 = 3 OR value IS NULL THEN 'null'
+      WHEN FLOOR(value / 16) = 0 THEN 'zero' ELSE CAST(FLOOR(value / 16) AS VARCHAR) END AS number FROM events)""")
 add("duplicate_keys", over(lambda df: aggregate.duplicate_rows(df, ["EmployeeNumber"]), raw), sql("people", """
 SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicates FROM (SELECT COUNT(*) AS n FROM people GROUP BY EmployeeNumber)"""))
 add("duplicate_keys_lineitem", lambda spark, sf_dir: aggregate.duplicate_rows(

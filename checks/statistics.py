@@ -9,7 +9,9 @@ from checks.common import (
     sql_chi2_p, sql_normal_p, sql_student_p, table,
 )
 from tenura import specs
-from tenura.operators import profile, stats
+from tenura.operators import aggregate, distinct, profile, stats
+from tenura.operators.columns import long_form
+from tenura.session import settle
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -45,7 +47,8 @@ def _biserial(df, columns, flag):
 
 add("point_biserial", over(lambda df: _biserial(df, NUMERIC, "Attrition_Flag"), flagged),
     sql("people", "SELECT * FROM pb", _FL, _biserial_sql("fl", NUMERIC, "f")))
-_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# every numeric column of the table
+_LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _RETURNED = "li AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned FROM lineitem)"
 
 
@@ -57,8 +60,11 @@ def returned(spark, sf_dir):
 add("point_biserial_lineitem", over(lambda df: _biserial(df, _LINE, "returned"), returned),
     f"WITH {_RETURNED}, {_biserial_sql('li', _LINE, 'returned')} SELECT * FROM pb")
 _RATIOS = ["income_per_experience_year", "company_loyalty_ratio"]
-add("point_biserial_with_nulls", over(lambda df: _biserial(df, _RATIOS, "attrition"), labelled),
-    sql("labelled", "SELECT * FROM pb", _biserial_sql("labelled", _RATIOS, "attrition")))
+# every numeric column beside the ratios that have nulls
+_HOLES = [*_RATIOS, *[c for c in specs.CLEAN_COLUMNS if c not in ("attrition", "department", "job_role", "education_field",
+                                                                  "marital_status", "business_travel")]]
+add("point_biserial_with_nulls", over(lambda df: _biserial(df, _HOLES, "attrition"), labelled),
+    sql("labelled", "SELECT * FROM pb", _biserial_sql("labelled", _HOLES, "attrition")))
 
 # columns that don't vary, and values that are not numbers
 _FLAT = ["EmployeeCount", "StandardHours", "Age"]
@@ -75,15 +81,29 @@ _HOLED = "holed AS (SELECT *, CASE WHEN EmployeeNumber % 7 <> 0 THEN MonthlyInco
 add("point_biserial_nan", over(lambda df: _biserial(df, ["holed", "Age"], "Attrition_Flag"), with_nan),
     sql("people", "SELECT * FROM pb", _FL, _HOLED, _biserial_sql("holed", ["holed", "Age"], "f")))
 
+
+
+def with_endless(spark, sf_dir):
+    key = F.col("EmployeeNumber")
+    endless = F.when(key % 1001 == 5, F.lit(float("inf"))).otherwise(F.col("MonthlyIncome"))
+    return flagged(spark, sf_dir).withColumns({"endless": endless, "apart": F.when(key % 1001 != 5, F.col("Age"))})
+
+
+_ENDLESS = "endless AS (SELECT *, CASE WHEN EmployeeNumber % 1001 <> 5 THEN MonthlyIncome END AS there, CASE WHEN EmployeeNumber % 1001 <> 5 THEN Age END AS apart FROM fl)"
+# an infinity leaves no correlation; the other column keeps its own
+add("point_biserial_infinite", over(lambda df: _biserial(df, ["endless", "Age"], "Attrition_Flag"), with_endless),
+    sql("people", """SELECT feature, correlation, abs_corr, n, p_value, significant, CAST(1 AS INT) AS position FROM pb
+    UNION ALL SELECT 'endless', NULL, NULL, COUNT(*), NULL, FALSE, CAST(2 AS INT) FROM fl""", _FL, _ENDLESS, _biserial_sql("endless", ["Age"], "f")))
+
 # --- correlation matrix ----------------------------------------------------------------
 
 
 def _matrix_sql(source: str, columns) -> str:
-    return "m AS (" + " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, CASE WHEN MIN({a}) < MAX({a}) AND MIN({b}) < MAX({b}) "
-        f"THEN ROUND(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) END AS r FROM {source} "
-        f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
-        for a in columns for b in columns) + ")"
+    cells = ", ".join(f"{{'c': '{c}', 'v': CAST({c} AS DOUBLE)}}" for c in columns)
+    return (
+        f"l AS (SELECT i, p.c, p.v FROM (SELECT ROW_NUMBER() OVER () AS i, UNNEST([{cells}]) AS p FROM {source}) WHERE p.v IS NOT NULL), "
+        "m AS (SELECT x.c AS a, y.c AS b, CASE WHEN MIN(x.v) < MAX(x.v) AND MIN(y.v) < MAX(y.v) THEN ROUND(CORR(x.v, y.v), 6) END AS r "
+        "FROM l x JOIN l y USING (i) GROUP BY 1, 2)")
 
 
 add("pearson_matrix", over(lambda df: rounded(stats.pearson_matrix(df, NUMERIC), "r"), raw),
@@ -91,7 +111,6 @@ add("pearson_matrix", over(lambda df: rounded(stats.pearson_matrix(df, NUMERIC),
 add("pearson_matrix_lineitem", lambda spark, sf_dir: rounded(
         stats.pearson_matrix(table(spark, sf_dir, "lineitem"), _LINE), "r"),
     f"WITH {_matrix_sql('lineitem', _LINE)} SELECT * FROM m")
-_HOLES = [*_RATIOS, "age", "monthly_income"]
 add("pearson_matrix_with_nulls", over(lambda df: rounded(stats.pearson_matrix(df, _HOLES), "r"), labelled),
     sql("labelled", "SELECT * FROM m", _matrix_sql("labelled", _HOLES)))
 
@@ -99,6 +118,12 @@ add("pearson_matrix_with_nulls", over(lambda df: rounded(stats.pearson_matrix(df
 _FLAT_AND_HOLED = ["StandardHours", "holed", "Age", "DailyRate"]
 add("pearson_constant_with_nulls", over(lambda df: rounded(stats.pearson_matrix(df, _FLAT_AND_HOLED), "r"), with_nan),
     sql("people", "SELECT * FROM m", _FL, _HOLED, _matrix_sql("holed", _FLAT_AND_HOLED)))
+add("pearson_infinite", over(lambda df: rounded(stats.pearson_matrix(df, ["endless", "Age", "apart"]), "r"), with_endless),
+    sql("people", """SELECT 'endless' AS a, 'endless' AS b, CAST(NULL AS DOUBLE) AS r UNION ALL SELECT 'endless', 'Age', NULL
+    UNION ALL SELECT 'Age', 'endless', NULL UNION ALL SELECT 'Age', 'Age', 1.0 UNION ALL SELECT 'apart', 'apart', 1.0
+    UNION ALL SELECT 'Age', 'apart', 1.0 UNION ALL SELECT 'apart', 'Age', 1.0
+    UNION ALL SELECT 'apart', 'endless', ROUND(CORR(CAST(apart AS DOUBLE), CAST(there AS DOUBLE)), 6) FROM endless
+    UNION ALL SELECT 'endless', 'apart', ROUND(CORR(CAST(apart AS DOUBLE), CAST(there AS DOUBLE)), 6) FROM endless""", _FL, _ENDLESS))
 add("pearson_single", over(lambda df: rounded(stats.pearson_matrix(df, ["Age"]), "r"), raw),
     sql("people", "SELECT * FROM m", _matrix_sql("people", ["Age"])))
 
@@ -154,6 +179,74 @@ add("null_report_lineitem", lambda spark, sf_dir: profile.null_report(table(spar
     _nulls_sql("lineitem", _LINE_ALL))
 
 
+add("null_report_nan", over(lambda df: profile.null_report(df, ["holed", "Age"]), with_nan),
+    sql("people", """SELECT 'holed' AS column_name, COUNT(*) FILTER (WHERE EmployeeNumber % 7 = 0) AS null_count,
+    COUNT(*) FILTER (WHERE EmployeeNumber % 7 = 0) AS total_nulls FROM people
+    UNION ALL SELECT 'Age', CAST(0 AS BIGINT), COUNT(*) FILTER (WHERE EmployeeNumber % 7 = 0) FROM people"""))
+add("schema_profile_nan", over(lambda df: profile.schema_profile(df.select("EmployeeNumber", "holed"), "EmployeeNumber"), with_nan),
+    sql("people", """SELECT 'EmployeeNumber' AS column_name, 'bigint' AS dtype, COUNT(*) AS non_null, CAST(0 AS BIGINT) AS null_count,
+    0.0::DOUBLE AS null_pct, COUNT(DISTINCT EmployeeNumber) AS n_unique, CAST(MIN(EmployeeNumber) AS VARCHAR) AS sample_value FROM people
+    UNION ALL SELECT 'holed', 'double', COUNT(holed), COUNT(*) - COUNT(holed), ROUND((COUNT(*) - COUNT(holed)) * 100.0 / COUNT(*), 2)::DOUBLE,
+    COUNT(DISTINCT holed), (SELECT CAST(CAST(holed AS DOUBLE) AS VARCHAR) FROM holed ORDER BY EmployeeNumber LIMIT 1) FROM holed""", _FL, _HOLED))
+
+# --- sketches: exact counts beside them, and whether the sketch is within its bound ------------------
+
+
+def _within(sketched: str, exact: str, bound: float):
+    return F.abs(F.col(sketched) - F.col(exact)) <= F.greatest(F.lit(1.0), F.col(exact) * bound)
+
+
+def spread_once(spark, sf_dir):
+    """People, derived and written once, for queries of several passes."""
+    return settle(raw(spark, sf_dir))
+
+
+def profile_incremental(spark, sf_dir):
+    """People in three loads, profiled one by one; the whole profile comes from the kept sketches alone."""
+    people = spread_once(spark, sf_dir)
+    loads = [settle(distinct.column_sketches(people.filter(F.col("EmployeeNumber") % 3 == i), specs.RAW_COLUMNS, f"load {i}")) for i in range(3)]
+    merged = distinct.merged_profile(loads[0].unionByName(loads[1]).unionByName(loads[2]))
+    exact = distinct.distinct_counts(people, specs.RAW_COLUMNS).withColumnRenamed("n_unique", "n_exact")
+    return merged.join(exact, "feature").select(
+        F.col("feature").alias("column_name"), "dtype", "n_loads", "n_rows", "non_null", "null_count", F.col("n_exact").alias("n_unique"),
+        _within("n_unique", "n_exact", distinct.sketch_error()).alias("within_bound"))
+
+
+add("schema_profile_incremental", profile_incremental, sql("people", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS dtype, CAST(3 AS BIGINT) AS n_loads, COUNT(*) AS n_rows, COUNT({c}) AS non_null, "
+    f"COUNT(*) - COUNT({c}) AS null_count, COUNT(DISTINCT {c}) AS n_unique, TRUE AS within_bound FROM people" for c, t in _RAW_TYPES.items())))
+
+
+def profile_approx(spark, sf_dir):
+    people, rsd = spread_once(spark, sf_dir), 0.01
+    exact = distinct.distinct_counts(people, specs.RAW_COLUMNS).select(F.col("feature").alias("column_name"), F.col("n_unique").alias("n_exact"))
+    return profile.schema_profile_approx(people, specs.RAW_COLUMNS, rsd).join(exact, "column_name").select(
+        "column_name", "dtype", "non_null", "null_count", F.col("n_exact").alias("n_unique"), _within("n_unique", "n_exact", 4 * rsd).alias("within_bound"))
+
+
+add("schema_profile_approx", profile_approx, sql("people", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS dtype, COUNT({c}) AS non_null, COUNT(*) - COUNT({c}) AS null_count, "
+    f"COUNT(DISTINCT {c}) AS n_unique, TRUE AS within_bound FROM people" for c, t in _RAW_TYPES.items())))
+
+
+def describe_approx(spark, sf_dir):
+    """Sketched quartiles, each with the ranks that its value really has: within 1 / accuracy of those asked for."""
+    people, accuracy = raw(spark, sf_dir), 1000
+    told = settle(aggregate.describe_approx(people, NUMERIC, accuracy))
+    each = long_form(people, NUMERIC).join(F.broadcast(told), "feature")  # one row per column
+    checks = [
+        ((F.count_if(F.col("value") < F.col(q)) <= F.count(F.lit(1)) * (p + 1 / accuracy))
+         & (F.count_if(F.col("value") <= F.col(q)) >= F.count(F.lit(1)) * (p - 1 / accuracy))).alias(f"{q}_within")
+        for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+    ]
+    return rounded(each.groupBy("feature", "n", "mean", "std", "min", "max").agg(*checks), "mean", "std")
+
+
+add("describe_approx", describe_approx, sql("people", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, COUNT({c}) AS n, ROUND(AVG({c}), 6) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS std, MIN(CAST({c} AS DOUBLE)) AS min, "
+    f"MAX(CAST({c} AS DOUBLE)) AS max, TRUE AS q25_within, TRUE AS q50_within, TRUE AS q75_within FROM people" for c in NUMERIC)))
+
+
 def _levels_sql(source: str, types: dict) -> list[str]:
     levels = " UNION ALL ".join(
         f"SELECT '{c}' AS c, '{t}' AS t, CAST({c} AS VARCHAR) AS v, TRY_CAST({c} AS DOUBLE) AS num, COUNT(*) AS n "
@@ -282,6 +375,31 @@ def _ranks(df, value, flag):
 
 add("mann_whitney", over(lambda df: _ranks(df, "MonthlyIncome", "Attrition_Flag"), flagged),
     sql("people", _RANKS, _FL, *_ranks_sql("fl", "MonthlyIncome", "f")))
+add("mann_whitney_nan", over(lambda df: _ranks(df, "holed", "Attrition_Flag"), with_nan),
+    sql("people", _RANKS, _FL, _HOLED, *_ranks_sql("holed", "holed", "f")))
+
+
+def nation_balances(spark, sf_dir):
+    """Mean balance of each nation's customers, and whether the nation is African: five of them against twenty."""
+    names = ("customer", "nation", "region")
+    customer, nation, region = (table(spark, sf_dir, n) for n in names)
+    by_nation = customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.round(F.avg("c_acctbal"), 6).alias("balance"))
+    placed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return by_nation.join(placed, "n_nationkey").select("balance", (F.col("r_name") == "AFRICA").cast("int").alias("african"))
+
+
+# every choice of places for the African nations, one by one
+add("mann_whitney_small", over(lambda df: _ranks(df, "balance", "african"), nation_balances), f"""
+WITH RECURSIVE nb AS (SELECT ROUND(AVG(c_acctbal), 6) AS balance, MAX(CASE WHEN r_name = 'AFRICA' THEN 1 ELSE 0 END) AS african
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY c_nationkey),
+{", ".join(_ranks_sql("nb", "balance", "african"))},
+choice AS (SELECT 0 AS last, 0 AS taken, 0 AS total UNION ALL
+  SELECT p.i, taken + 1, total + p.i FROM choice, (SELECT UNNEST(range(1, (SELECT COUNT(*) + 1 FROM nb))) AS i) p, sides
+  WHERE p.i > last AND taken < n1),
+chance AS (SELECT LEAST(1.0::DOUBLE, 2.0::DOUBLE * COUNT(*) FILTER (WHERE total - n1 * (n1 + 1) / 2 >= GREATEST(u, n1 * n2 - u)) / COUNT(*)) AS p
+  FROM choice, u WHERE taken = n1)
+SELECT ROUND(u, 1) AS u, CAST(n1 AS BIGINT) AS n_pos, CAST(n2 AS BIGINT) AS n_neg, ROUND(z, 6) AS z,
+  ROUND((SELECT p FROM chance), 6) AS p_value, ROUND(u / (n1 * n2), 9) AS auc FROM zed""")
 add("mann_whitney_lineitem", over(lambda df: _ranks(df, "l_extendedprice", "returned"), returned),
     "WITH " + ", ".join([_RETURNED, *_ranks_sql("li", "l_extendedprice", "returned")]) + " " + _RANKS)
 

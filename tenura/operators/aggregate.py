@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.arithmetic import percent
-from tenura.operators.columns import long_form, numeric_columns
-from tenura.operators.ordering import exact_quantiles, quantiles_of_counts, value_table
+from tenura.operators.columns import long_form, numeric_columns, present
+from tenura.operators.digest import row_digest
+from tenura.operators.heavy import most_frequent
+from tenura.operators.selection import first_counts, moments, radix_quantiles
 from tenura.session import settle
 
 
@@ -106,8 +108,8 @@ def distinct_tuples(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> DataFra
 
 def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
     """Count and percent by value, the most frequent first; the rows are read once."""
-    present = df.filter(F.col(column).isNotNull()) if dropna else df
-    counts = settle(present.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    rows = df.filter(present(df, column).isNotNull()) if dropna else df
+    counts = settle(rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", percent(F.col("n"), total)).orderBy(F.col("n").desc(), column)
 
@@ -154,19 +156,22 @@ def pivot_mean(df: DataFrame, row: str, column: str, levels: Mapping[object, str
 def pivot_median(df: DataFrame, row: str, column: str, levels: Mapping[object, str], value: str) -> DataFrame:
     """Two-key exact median, second key spread over named columns."""
     kept = df.filter(F.col(row).isNotNull() & F.col(column).isin(list(levels)))
-    medians = exact_quantiles(kept, value, {"median": 0.5}, by=[row, column])
+    medians = radix_quantiles(kept, [value], {"median": 0.5}, by=[row, column])
     spread = [F.max(F.when(F.col(column) == F.lit(level), F.col("median"))).alias(name) for level, name in levels.items()]
     return medians.groupBy(row).agg(*spread)
 
 
 def center_by_class(df: DataFrame, value: str, label: str) -> DataFrame:
-    """Exact median, mean and count of a measure by class."""
-    counts = settle(value_table(df.filter(F.col(label).isNotNull()), value, [label]))
-    medians = quantiles_of_counts(counts, value, {"median": 0.5}, by=[label], settled=True)
-    means = counts.groupBy(label).agg(
-        (F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"), F.sum("n").alias("n")
-    )
-    return medians.join(means, label)
+    """Exact median, mean and count of a measure by class; null and NaN are no values."""
+    rows = _measured(df, value, label)
+    medians = radix_quantiles(rows, [value], {"median": 0.5}, by=[label], settled=True)
+    means = rows.groupBy(label).agg(F.avg(value).alias("mean"))
+    return medians.join(means, label).select(label, "median", "mean", "n")
+
+
+def _measured(df: DataFrame, value: str, by: str) -> DataFrame:
+    """The two columns, written, where both have a value; each pass over them reads no others."""
+    return settle(df.select(by, present(df, value)).na.drop())
 
 
 def median_gap(df: DataFrame, value: str, label: str, high: object, low: object) -> DataFrame:
@@ -189,29 +194,19 @@ def median_gap(df: DataFrame, value: str, label: str, high: object, low: object)
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per column.
 
-    The rows are read once, into counts per distinct value; all the rest comes
-    from those. A column without values has n = 0 and nulls. ``position`` gives the
-    report's order: the largest mean first.
+    The numbers are written once; moments and quartiles come from counts by key prefix, refined
+    where a quartile needs it, so no values are shuffled. Null and NaN are no values. A column without values
+    has n = 0 and nulls; where infinities leave no mean or std, those are null. ``position``
+    gives the report's order: the largest mean first.
     """
-    counts = settle(value_table(long_form(df, columns), "value", ["feature"]))
-    v, n = F.col("value"), F.col("n")
-    first = settle(
-        counts.groupBy("feature").agg(
-            F.sum("n").alias("rows"), (F.sum(v * n) / F.sum("n")).alias("mean"),
-            F.min("value").alias("min"), F.max("value").alias("max"),
-        )
-    )
-    off = v - F.col("mean")
-    spread = F.sqrt(F.sum(n * off * off) / F.nullif(F.max("rows") - 1, F.lit(0)))
-    moments = counts.join(first, "feature").groupBy("feature", "rows", "mean", "min", "max").agg(spread.alias("std"))
-    quartiles = quantiles_of_counts(
-        counts, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=["feature"], settled=True
-    )
+    numbers = settle(df.select(*[present(df, c).cast("double").alias(c) for c in columns]))
+    counts = first_counts(numbers, columns)
+    quartiles = radix_quantiles(numbers, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, settled=True, first=counts).drop("n")
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
-    told = names.join(moments.join(quartiles, "feature"), "feature", "left").select(
-        "feature", F.coalesce("rows", F.lit(0)).cast("long").alias("n"), "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
     # one row per column
+    told = names.join(moments(counts).join(quartiles, "feature"), "feature", "left").select(
+        "feature", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "mean", "std", "min", "q25", "q50", "q75", "max"
+    )
     return told.withColumn("position", F.row_number().over(Window.orderBy(F.desc_nulls_last("mean"), "feature")))
 
 
@@ -234,9 +229,11 @@ def histogram(df: DataFrame, columns: Sequence[str], by: str, bins: int) -> Data
 
     The last bin is closed; a single-valued range is widened by half on each side, or
     by as much as a large value needs to differ; empty bins are kept, and without any
-    value they have no edges. ``density`` is count / (rows x width).
+    value they have no edges. ``density`` is count / (rows x width). Null, NaN and
+    infinities are no values.
     """
     long = long_form(df, columns, keep=[by]).filter(F.col(by).isNotNull())
+    long = long.withColumn("value", F.when(F.abs("value") < float("inf"), F.col("value")))
     spans = long.groupBy("feature", by).agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").alias("rows")
     )
@@ -276,37 +273,30 @@ def histogram(df: DataFrame, columns: Sequence[str], by: str, bins: int) -> Data
 
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Five-number summary, 1.5 IQR whiskers and outlier count by class."""
-    counts = settle(value_table(df.filter(F.col(by).isNotNull()), value, [by]))
-    quartiles = quantiles_of_counts(
-        counts, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by], settled=True
-    )
+    """Five-number summary, 1.5 IQR whiskers and outlier count by class; null and NaN are no values."""
+    rows = _measured(df, value, by)
+    fences = settle(radix_quantiles(rows, [value], {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by], settled=True).drop("feature", "n"))
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(settle(quartiles), by)
+        rows.join(fences, by)
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.min(value).alias("min"),
             F.max(value).alias("max"),
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
             F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(by, "min", "whisker_low", "q1", "median", "q3", "whisker_high", "max", "outliers")
     )
 
 
 def violin_stats(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Count, mean, exact median, min and max by level."""
-    counts = settle(value_table(df.filter(F.col(by).isNotNull()), value, [by]))
-    medians = quantiles_of_counts(counts, value, {"median": 0.5}, by=[by], settled=True)
-    rest = counts.groupBy(by).agg(
-        F.sum("n").alias("n"),
-        (F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
+    """Count, mean, exact median, min and max by level; null and NaN are no values."""
+    rows = _measured(df, value, by)
+    medians = radix_quantiles(rows, [value], {"median": 0.5}, by=[by], settled=True)
+    rest = rows.groupBy(by).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
     return rest.join(medians, by).select(by, "n", "mean", "median", "min", "max")
 
 
@@ -323,8 +313,12 @@ def conditional_counts(df: DataFrame, conditions: Mapping[str, Column], by: Sequ
 
 
 def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent non-null value per column, the smallest value on ties."""
-    counts = value_table(long_form(df, columns, dtype="string"), "value", ["feature"])
+    """Most frequent non-null value per column, the smallest value on ties.
+
+    Heavy-hitter summaries leave few values to be counted; a column without a heavy value,
+    such as a key, is counted in full.
+    """
+    counts = most_frequent(df, columns)
     return counts.groupBy("feature").agg(mode_of("value", "n", numeric_columns(df)).alias("top")).select(
         "feature", F.col("top.value").alias("mode"), (-F.col("top.minus_n")).alias("n")
     )
@@ -352,11 +346,11 @@ def union_cuts(parts: Sequence[DataFrame]) -> DataFrame:
 def duplicate_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows equal to an earlier row on ``keys`` (default: all columns); nulls are equal.
 
-    Whole rows are compared by a 256-bit digest of their text, in which nulls are
-    marked, so their columns don't cross the shuffle.
+    Whole rows are compared by a typed 256-bit digest, so their columns don't cross the
+    shuffle. Zeros of either sign are equal, and NaN equals NaN; timestamps count to the
+    microsecond.
     """
-    row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    grouped = df.groupBy(*keys) if keys else df.groupBy(F.unhex(row).alias("row"))
+    grouped = df.groupBy(*keys) if keys else df.groupBy(row_digest(df).alias("row"))
     counted = grouped.agg(F.count(F.lit(1)).alias("n"))
     return counted.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 

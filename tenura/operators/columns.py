@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +67,23 @@ def with_flag(df: DataFrame, name: str, column: str, positive: object) -> DataFr
     return df.withColumn(name, F.when(F.col(column) == F.lit(positive), 1).otherwise(0))
 
 
+def without_nan(column: Column) -> Column:
+    """A double in which NaN is missing, as null is."""
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+
+
+def present(df: DataFrame, name: str) -> Column:
+    """The column in its own type, NaN as null where it can hold one."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(name), F.lit(None).cast(kind)).alias(name)
+    return F.col(name)
+
+
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (),
               dtype: str = "double", feature: str = "feature", value: str = "value") -> DataFrame:
-    """One row per (row, column), values cast to one type; nulls kept."""
-    cast = df.select(*keep, *[F.col(c).cast(dtype).alias(c) for c in columns])
+    """One row per (row, column), values cast to one type; nulls kept, and NaN becomes null."""
+    cast = df.select(*keep, *[present(df, c).cast(dtype).alias(c) for c in columns])
+    if dtype == "double":  # a text may say NaN, too
+        cast = cast.select(*keep, *[without_nan(F.col(c)).alias(c) for c in columns])
     return cast.unpivot(list(keep), list(columns), feature, value)

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenura.operators.columns import present
 from tenura.session import settle
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its low bits
@@ -75,9 +76,13 @@ def running_totals(
     within: Sequence[str] = (),
     known_small: bool = False,
     settled: bool = False,
+    ahead: bool = False,
 ) -> DataFrame:
     """Adds ``<sum>_before`` (over earlier rows of the group) and ``<sum>_total``.
 
+    ``ahead`` adds ``<sum>_next``, that of the row which follows in the group (null after the
+    last); ``order`` must be plain columns then.
+
     ``order`` must be unique within a group, as after a ``groupBy`` on it. A group
     may be of any size: it is cut into blocks, and only block totals are combined.
     ``settled`` says that ``df`` is a written table already; ``known_small`` that its
@@ -93,13 +98,15 @@ def running_totals(
             "*",
             *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"{s}_before") for s in sums],
             *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
+            *[F.lead(s).over(whole.orderBy(*keys)).alias(f"{s}_next") for s in sums if ahead],
         )
 
     blocks = settle(
         table.repartitionByRange(*groups, *keys).withColumn("_block", F.spark_partition_id())
     )
     # (block, group) totals: at most blocks + groups rows
-    parts = blocks.groupBy("_block", *groups).agg(*[F.sum(s).alias(s) for s in sums])
+    firsts = [F.min_by(F.struct(*sums), F.struct(*order)).alias("_first")] if ahead else []
+    parts = blocks.groupBy("_block", *groups).agg(*[F.sum(s).alias(s) for s in sums], *firsts)
     whole = Window.partitionBy(*groups)
     earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(
@@ -107,28 +114,28 @@ def running_totals(
         *groups,
         *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_{s}_offset") for s in sums],
         *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
+        *[F.lead("_first").over(whole.orderBy("_block")).alias("_follows") for _ in firsts],
     )
-    in_block = (
-        Window.partitionBy("_block", *groups)
-        .orderBy(*keys)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    ordered = Window.partitionBy("_block", *groups).orderBy(*keys)
+    in_block = ordered.rowsBetween(Window.unboundedPreceding, -1)
     local = blocks.select(
         "*",
         *[F.coalesce(F.sum(s).over(in_block), F.lit(0)).alias(f"_{s}_local") for s in sums],
+        *[F.lead(F.struct(*sums)).over(ordered).alias("_near") for _ in firsts],
     )
     joined = local.join(offsets, _same(local, offsets, ["_block", *groups]))
     return joined.select(
         *[local[c] for c in table.columns],
         *[(F.col(f"_{s}_local") + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums],
         *[F.col(f"{s}_total") for s in sums],
+        *[F.coalesce("_near", "_follows")[s].alias(f"{s}_next") for s in sums if ahead],
     )
 
 
 def value_table(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct non-null values with their counts ``n``: combined before the shuffle."""
+    """Distinct values with their counts ``n``, without null and NaN: combined before the shuffle."""
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(present(df, value).isNotNull())
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )

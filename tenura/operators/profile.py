@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.functions.encode import decode
-from tenura.operators.aggregate import duplicate_rows, mode_of
-from tenura.operators.columns import long_form, numeric_columns, string_columns
+from tenura.operators.aggregate import column_modes, duplicate_rows
+from tenura.operators.columns import long_form, present, string_columns
+from tenura.operators.distinct import bits_for_error, column_sketches, distinct_counts, facts, merged_profile
+from tenura.session import settle
 
 
 def _levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -21,89 +22,68 @@ def _levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _present(then: Column | str) -> Column:
-    return F.when(F.col("value").isNotNull(), F.col(then) if isinstance(then, str) else then)
-
-
 def schema_profile(df: DataFrame, order: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: type, non-null and null counts, exact distinct count, first value.
 
     ``order`` is the column that decides which row counts as the first one; of several
-    first rows the smallest by all columns.
+    first rows the smallest by all columns. NaN counts as null. Constant columns are
+    known from their least and greatest value; of the others only digests are shuffled.
     """
     columns = list(columns or df.columns)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in columns}
-    per_column = _levels(df, columns).groupBy("feature").agg(
-        F.coalesce(F.sum(_present("n")), F.lit(0)).alias("non_null"),
-        F.sum("n").alias("n_rows"),
-        F.count("value").alias("n_unique"),
-    )
-    # the first row alone, found by its key: a filter that the scan can prune on
-    first_row = df.filter(F.col(order) == df.agg(F.min(order)).scalar())
-    first_row = first_row.orderBy(F.to_json(F.struct(*df.columns))).limit(1)
-    first = long_form(first_row, columns, dtype="string").select("feature", F.col("value").alias("sample_value"))
+    known = settle(facts(df, columns, order))
+    per_column = known.join(distinct_counts(df, columns, known), "feature", "left")
     nulls = F.col("n_rows") - F.col("non_null")
-    return per_column.join(F.broadcast(first), "feature", "left").select(
+    return per_column.select(
         F.col("feature").alias("column_name"),
-        decode("feature", types).alias("dtype"),
+        "dtype",
         "non_null",
         nulls.alias("null_count"),
         F.round(nulls * 100.0 / F.col("n_rows"), 2).cast("double").alias("null_pct"),
-        "n_unique", "sample_value",
+        F.coalesce("n_unique", F.lit(0)).alias("n_unique"), F.col("first").alias("sample_value"),
     )
 
 
 def schema_profile_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.01) -> DataFrame:
-    """:func:`schema_profile` with sketched distinct counts: one scan, no shuffle of values."""
-    columns = list(columns or df.columns)
-    cells = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.count(f.name).alias("non_null"),
-            F.count_if(F.col(f.name).isNull()).alias("null_count"),
-            F.approx_count_distinct(f.name, rsd).alias("n_unique"),
-        )
-        for f in df.schema.fields if f.name in columns
-    ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    """:func:`schema_profile` with sketched distinct counts: one scan, nothing but sketches shuffled."""
+    told = merged_profile(column_sketches(df, list(columns or df.columns), "all", bits_for_error(rsd)))
+    return told.select(F.col("feature").alias("column_name"), "dtype", "non_null", "null_count", "n_unique")
 
 
 def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Nulls per column and in total, one pass."""
+    """Nulls, NaN among them, per column and in total, one pass."""
     columns = list(columns or df.columns)
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counted = df.agg(*[F.count_if(present(df, c).isNull()).alias(c) for c in columns])
     long = counted.unpivot([], columns, "column_name", "null_count")
     return long.withColumn("total_nulls", counted.select(sum(F.col(c) for c in columns)).scalar())
 
 
-def _level_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    top = mode_of("value", "n", numeric_columns(df))
-    return _levels(df, columns).groupBy("feature").agg(
-        F.count("value").alias("n_unique"),
-        F.sum("n").alias("n_rows"),
-        F.min(_present("n")).alias("smallest"),
-        top.alias("top"),
-    )
-
+def _column_reasons(df: DataFrame, columns: Sequence[str], share: float) -> DataFrame:
+    """feature, n_unique, reason (null: none) and the most frequent value of columns with a reason.
 
-def _constant_reason(df: DataFrame, share: float) -> Column:
-    texts = string_columns(df)
-    rare = F.col("smallest") / F.col("n_rows") < share
-    two_valued = F.col("feature").isin(texts) & (F.col("n_unique") == 2)
-    return F.when(F.col("n_unique") <= 1, "constant").when(two_valued & rare, "near-constant")
+    A pass for least, greatest and counts, one for distinct digests of what varies, and one that
+    counts both values of the two-valued texts; no value is shuffled.
+    """
+    known = settle(facts(df, columns))
+    counted = settle(known.join(distinct_counts(df, columns, known), "feature"))
+    # one row per column
+    pairs = [(r.feature, r.low, r.high) for r in counted.filter("n_unique = 2").collect() if r.feature in string_columns(df)]
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.count_if(F.col(c) == low).alias("lows"), F.count_if(F.col(c) == high).alias("highs"))
+        for c, low, high in pairs
+    ]
+    none = df.sparkSession.createDataFrame([], "feature string, lows long, highs long")
+    halves = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")) if cells else none
+    rare = F.least("lows", "highs") / F.col("n_rows") < share
+    reason = F.when(F.col("n_unique") <= 1, "constant").when(F.col("lows").isNotNull() & rare, "near-constant")
+    return counted.join(halves, "feature", "left").select(
+        "feature", "n_unique", reason.alias("reason"), F.when(F.col("highs") > F.col("lows"), F.col("high")).otherwise(F.col("low")).alias("value")
+    )
 
 
 def constant_columns(df: DataFrame, share: float, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns with at most one value, or two-valued text whose minority is rarer than ``share``."""
-    columns = list(columns or df.columns)
-    return (
-        _level_summary(df, columns)
-        .withColumn("reason", _constant_reason(df, share))
-        .filter(F.col("reason").isNotNull())
-        .select(F.col("feature").alias("column_name"), "n_unique", "reason",
-                F.col("top.value").alias("value"))
-    )
+    told = _column_reasons(df, list(columns or df.columns), share).filter(F.col("reason").isNotNull())
+    return told.select(F.col("feature").alias("column_name"), "n_unique", "reason", "value")
 
 
 def distinct_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -115,23 +95,21 @@ def drop_plan(df: DataFrame, share: float, id_columns: Sequence[str],
               columns: Sequence[str] | None = None) -> DataFrame:
     """Columns to drop with the reason, distinct count and most frequent value."""
     columns = list(columns or df.columns)
-    reason = F.coalesce(
-        _constant_reason(df, share),
-        F.when(F.col("feature").isin(list(id_columns)), "id"),
-    )
-    return (
-        _level_summary(df, columns)
-        .withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .select(F.col("feature").alias("column_name"), "n_unique", "reason",
-                F.col("top.value").alias("mode"))
-    )
+    told = settle(_column_reasons(df, columns, share))
+    # one row per column: only ids that nothing else drops have to be searched for their mode
+    ids = [r.feature for r in told.filter(F.col("reason").isNull()).collect() if r.feature in id_columns]
+    plain = told.filter(F.col("reason").isNotNull()).select(F.col("feature").alias("column_name"), "n_unique", "reason", F.col("value").alias("mode"))
+    if not ids:
+        return plain
+    modes = column_modes(df, ids).select("feature", "mode")
+    named = told.join(modes, "feature").select(F.col("feature").alias("column_name"), "n_unique", F.lit("id").alias("reason"), "mode")
+    return plain.unionByName(named)
 
 
 def dataset_profile(df: DataFrame, flag: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, columns, nulls, duplicates, class balance and the majority baseline, as one row."""
     columns = list(columns or [c for c in df.columns if c != flag])
-    nulls = sum(F.count_if(F.col(c).isNull()) for c in columns)
+    nulls = sum(F.count_if(present(df, c).isNull()) for c in columns)
     positive = F.sum(flag)
     rows = F.count(F.lit(1))
     one = df.agg(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenura.operators.columns import present
 from tenura.operators.ordering import running_totals
 from tenura.session import settle
 
@@ -18,13 +19,13 @@ from tenura.session import settle
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(score, pos, neg) per group: combined before the shuffle."""
     flag = F.col(label).cast("bigint")
-    present = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return present.groupBy(*by, score).agg(F.sum(flag).alias("pos"), F.sum(1 - flag).alias("neg"))
+    rows = df.filter(present(df, score).isNotNull() & F.col(label).isNotNull())
+    return rows.groupBy(*by, score).agg(F.sum(flag).alias("pos"), F.sum(1 - flag).alias("neg"))
 
 
 def _thresholds(counts: DataFrame, score: str, by: Sequence[str], known_small: bool = False) -> DataFrame:
     ranked = running_totals(
-        counts, ["pos", "neg"], [F.col(score).desc()], within=by, known_small=known_small
+        counts.withColumn("_falling", -F.col(score)), ["pos", "neg"], ["_falling"], within=by, known_small=known_small, ahead=True
     )
     return ranked.select(
         *by,
@@ -34,6 +35,7 @@ def _thresholds(counts: DataFrame, score: str, by: Sequence[str], known_small: b
         (F.col("neg_before") + F.col("neg")).alias("fp"),
         F.col("pos_total").alias("n_pos"),
         F.col("neg_total").alias("n_neg"),
+        "pos_next", "neg_next",
     )
 
 
@@ -48,12 +50,27 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole != 0, part.cast("double") / whole.cast("double")).otherwise(F.lit(0.0))
 
 
-def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """False and true positive rate per distinct threshold, none dropped, from (0, 0) on.
+def _corner() -> Column:
+    """Whether the curve turns at a point: its step and the next have different slopes, in whole numbers.
 
-    The start point has the threshold infinity: nobody is said to be positive.
+    The first and the last threshold count as corners.
+    """
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    wide = "decimal(38,0)"  # products of two counts may exceed a long
+    left = F.col("pos").cast(wide) * F.col("neg_next").cast(wide)
+    right = F.col("pos_next").cast(wide) * F.col("neg").cast(wide)
+    return first | F.col("pos_next").isNull() | (left != right)
+
+
+def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), drop_collinear: bool = True) -> DataFrame:
+    """False and true positive rate by threshold, from (0, 0) on.
+
+    Points that lie in line with both neighbours change neither the drawing nor its area and are
+    left out; ``drop_collinear=False`` keeps one for each distinct score. The start point
+    has the threshold infinity: nobody is said to be positive.
     """
     table = threshold_table(df, score, label, by)
+    table = settle(table.filter(_corner()) if drop_collinear else table)
     start = table.select(*by).distinct() if by else table.select(F.lit(1).alias("_")).limit(1)
     zero = F.lit(0.0)
     return table.select(

@@ -12,23 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions.products import PAIR_SUMS, pair_sums
-from tenura.functions.pvalues import chi2_p, normal_p, student_p
-from tenura.operators.columns import long_form
+from tenura.functions.pvalues import EXACT_OTHERS, EXACT_ROWS, chi2_p, normal_p, rank_sum_p, student_p
+from tenura.operators.columns import long_form, present, without_nan
 from tenura.operators.ordering import running_totals
 from tenura.session import settle
 
 
-def without_nan(column: Column) -> Column:
-    """NaN counts as missing, as null does."""
-    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
-
-
 def correlation(x: Column, y: Column) -> Column:
-    """Pearson's r over rows with both values; null where one of them doesn't vary."""
+    """Pearson's r over rows with both values; null where one of them doesn't vary or is infinite."""
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x), F.when(both, y)
     spread = F.stddev_pop(x) * F.stddev_pop(y)
-    r = F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0)))
+    r = without_nan(F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0))))
     # rounding may step over the ends
     return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
@@ -67,19 +62,21 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One algorithm with and without holes: nulls and NaN are dropped pair by pair. Each
     task sums cross products of its batches, so columns x columns numbers leave it. A
-    column that doesn't vary has null correlations, with itself, too.
+    column that doesn't vary has null correlations, with itself, too; so has a pair of
+    columns with an infinity in a row that has both.
     """
     columns = list(columns)
     numbers = df.select(*[without_nan(F.col(c)).alias(c) for c in columns])
-    means = numbers.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    finite = lambda c: F.when(F.abs(c) < float("inf"), F.col(c))
+    means = numbers.agg(*[F.avg(finite(c)).alias(c) for c in columns]).first()
     shifts = [0.0 if m is None else float(m) for m in means]
     sums = numbers.mapInPandas(pair_sums(len(columns), shifts), PAIR_SUMS)
-    names = ("n", "x", "y", "xx", "yy", "xy")
+    names = ("n", "x", "y", "xx", "yy", "xy", "endless")
     whole = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
-    n, x, y, xx, yy, xy = (F.col(c) for c in names)
+    n, x, y, xx, yy, xy, endless = (F.col(c) for c in names)
     dx, dy = n * xx - x * x, n * yy - y * y
     # what rounding leaves of a column that doesn't vary
-    still = (dx <= 1e-14 * n * xx) | (dy <= 1e-14 * n * yy)
+    still = (dx <= 1e-14 * n * xx) | (dy <= 1e-14 * n * yy) | (endless > 0)
     r = F.when(~still, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(n * xy - x * y, F.sqrt(dx) * F.sqrt(dy)))))
     upper = whole.select("i", "j", F.when((F.col("i") == F.col("j")) & ~still, F.lit(1.0)).otherwise(r).alias("r"))
     both = upper.unionByName(upper.filter("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
@@ -153,7 +150,7 @@ def chi_squared(df: DataFrame, columns: Sequence[str], label: str, alpha: float)
 def class_counts_by_value(df: DataFrame, value: str, flag: str) -> DataFrame:
     """Distinct values with the counts of flagged (pos) and other (neg) rows."""
     return (
-        df.filter(F.col(value).isNotNull() & F.col(flag).isNotNull())
+        df.filter(present(df, value).isNotNull() & F.col(flag).isNotNull())
         .groupBy(value)
         .agg(F.sum(F.col(flag).cast("bigint")).alias("pos"), F.sum(1 - F.col(flag).cast("bigint")).alias("neg"))
     )
@@ -162,8 +159,10 @@ def class_counts_by_value(df: DataFrame, value: str, flag: str) -> DataFrame:
 def mann_whitney(df: DataFrame, value: str, flag: str, known_small: bool = False) -> DataFrame:
     """Two-sided rank-sum test of a measure between flagged and other rows.
 
-    U is that of the flagged rows; ties count half. The p-value is the normal
-    approximation with tie and continuity corrections.
+    U is that of the flagged rows; ties count half. Null and NaN are no values. Where a
+    sample has eight rows or fewer and no two values are equal, the p-value is exact, from the
+    number of orders that give each U; else it is the normal approximation with tie and
+    continuity corrections, as it is where the other sample has more than a million rows.
     """
     counts = class_counts_by_value(df, value, flag)
     ranked = running_totals(counts, ["pos", "neg"], [value], known_small=known_small)
@@ -178,11 +177,12 @@ def mann_whitney(df: DataFrame, value: str, flag: str, known_small: bool = False
     n1, n2 = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
     n = n1 + n2
     sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("tie") / (n * (n - 1))))
+    exact = (F.least(n1, n2) <= EXACT_ROWS) & (F.greatest(n1, n2) <= EXACT_OTHERS) & (F.col("tie") == 0)
     z = (F.greatest(F.col("u"), n1 * n2 - F.col("u")) - n1 * n2 / 2 - 0.5) / F.nullif(sigma, F.lit(0.0))
     return (
         one.filter((F.col("n_pos") > 0) & (F.col("n_neg") > 0))
         .withColumn("z", z)
-        .withColumn("p_value", normal_p(F.greatest(F.col("z"), F.lit(0.0))))
+        .withColumn("p_value", F.when(exact, rank_sum_p("u", "n_pos", "n_neg")).otherwise(normal_p(F.greatest(F.col("z"), F.lit(0.0)))))
         .withColumn("auc", F.col("u") / (n1 * n2))
         .drop("tie")
     )
