@@ -142,7 +142,8 @@ def exact_copies(
     names = block_names(spelled.filter(F.col("at").isNotNull()))
     best = F.struct((-F.col("points")).alias("points"), F.col("id").isNull().alias("nameless"), "id", "row")
     known = settle(identities(texts, names).join(texts.select("row", "id", "points", "digest"), "row"))
-    groups = known.groupBy("level", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best"))
+    # written, so that Spark can split a group that a third of the rows are in
+    groups = settle(known.groupBy("level", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(best).alias("best")))
     return known.join(groups, ["level", "name"]).select(
         F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
