@@ -11,6 +11,7 @@ bit first.
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -21,15 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm.common import SharedFiles, arrow_schema, batch_of, text_batches
-from tenura.llm.tokens import encoder, vocabulary_path
+from tenura.llm.tokens import encoder, vocabulary_path, vocabulary_size
 from tenura.operators.ordering import running_totals
 from tenura.session import scratch_path, settle
 
 MAGIC = b"TOKBITS1"
 BLOCK = 4096
 SHARD_IDS = 1 << 22
-#: Bytes of text that are encoded at a time.
-TEXT_BYTES = 4_000_000
+#: Rows drawn to place each bound between parts.
+DRAWN = 64
 
 
 def bits_for(vocab_size: int) -> int:
@@ -121,6 +122,21 @@ class Shard:
         return whole[start - first * self.block : stop - first * self.block]
 
 
+def _place(key: int | None, rank: int) -> tuple[int, int, int]:
+    """Where a document stands in the order of ids, null first, then of text hashes."""
+    return (0, 0, rank) if key is None else (1, key, rank)
+
+
+def _bounds(rows: DataFrame, n_parts: int) -> list[tuple[int, int, int]]:
+    """Places that cut the order into ``n_parts`` about equal parts, from a bounded draw of rows.
+
+    Only balance depends on the draw: whatever the bounds, all documents are placed in order.
+    """
+    drawn = rows.select("id", "rank").orderBy(F.rand(7)).limit(DRAWN * n_parts).collect()
+    places = sorted(_place(r.id, r["rank"]) for r in drawn)
+    return [places[i * len(places) // n_parts] for i in range(1, n_parts)] if places else []
+
+
 def write_token_shards(
     docs: DataFrame,
     folder: str | None = None,
@@ -133,7 +149,8 @@ def write_token_shards(
 ) -> DataFrame:
     """Writes every document's ids, ``end_id`` last, in ascending id order; returns one row per file.
 
-    Columns: file, part, seq, n_documents, n_ids, first (ids in earlier files). Files
+    Texts are encoded where they are read, and only ids are shuffled and sorted. Columns:
+    file, part, seq, n_documents, n_ids, first (ids in earlier files). Files
     end at a document once they hold ``shard_ids`` ids. A null id comes first; rows
     that repeat an id follow each other by their text's hash. A null text has its end
     id alone; an empty table writes no file. Other columns are not read.
@@ -141,12 +158,27 @@ def write_token_shards(
     spark = docs.sparkSession
     path = vocabulary or vocabulary_path()
     folder = folder or scratch_path(spark, "tokens")
+    bits = bits_for(max(vocabulary_size(path), end_id + 1))
+    kind = "<u2" if bits <= 16 else "<u4"
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("rank"), F.col(text_column).alias("text"))
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(rows, n_parts)
+    encoded_columns = "id long, rank long, part int, ids binary"
+    encoded_shape = arrow_schema(encoded_columns)
+
+    def encoded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = encoder(path), np.array([end_id], kind)
+        for frame in text_batches(frames, "text"):
+            keys, ranks = frame.column("id").to_pylist(), frame.column("rank").to_pylist()
+            parts = [bisect_right(bounds, _place(key, rank)) for key, rank in zip(keys, ranks, strict=True)]
+            ids = [np.concatenate([found, end], dtype=kind, casting="unsafe").tobytes() for found in encode.ids(frame.column("text"))]
+            columns = [frame.column("id"), frame.column("rank"), pa.array(parts, pa.int32()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=encoded_shape)
+
     shape = arrow_schema("file string, part long, seq long, n_documents long, n_ids long")
 
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, files = encoder(path), SharedFiles(folder)
-        bits = bits_for(max(encode.vocab_size, end_id + 1))
-        end, kind = np.uint32(end_id), np.uint16 if bits <= 16 else np.uint32
+        files = SharedFiles(folder)
         part, seq, held = TaskContext.get().partitionId(), 0, 0
         keys: list[int | None] = []
         documents: list[np.ndarray] = []
@@ -159,9 +191,9 @@ def write_token_shards(
             seq, held, keys, documents = seq + 1, 0, [], []
             return batch_of(shape, [row])
 
-        for frame in text_batches(frames, "text", TEXT_BYTES):
-            for key, found in zip(frame.column("id").to_pylist(), encode.ids(frame.column("text")), strict=True):
-                ids = np.append(found, end).astype(kind)
+        for frame in frames:
+            for key, raw in zip(frame.column("id").to_pylist(), frame.column("ids").to_pylist(), strict=True):
+                ids = np.frombuffer(raw, kind)
                 keys.append(key)
                 documents.append(ids)
                 held += len(ids)
@@ -170,9 +202,9 @@ def write_token_shards(
         if keys:
             yield close()
 
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
-    written = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(task, "file string, part long, seq long, n_documents long, n_ids long")
+    placed = rows.mapInArrow(encoded, encoded_columns).repartitionById(n_parts, F.col("part"))
+    ordered = placed.sortWithinPartitions(F.col("id").asc_nulls_first(), "rank").select("id", "ids")
+    written = ordered.mapInArrow(task, "file string, part long, seq long, n_documents long, n_ids long")
     files = running_totals(settle(written), ["n_ids"], ["part", "seq"], settled=True)
     return files.select("file", "part", "seq", "n_documents", "n_ids", F.col("n_ids_before").alias("first"), F.lit(folder).alias("folder"))
 

@@ -44,6 +44,12 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
+
+
 class Encoder:
     """Ids of byte-level texts, as the tokenizer gives them for the whole text.
 
