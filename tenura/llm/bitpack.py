@@ -29,6 +29,8 @@ from tenura.session import scratch_path, settle
 MAGIC = b"TOKBITS1"
 BLOCK = 4096
 SHARD_IDS = 1 << 22
+#: Bytes of text that are encoded at a time.
+TEXT_BYTES = 4_000_000
 #: Rows drawn to place each bound between parts.
 DRAWN = 64
 
@@ -167,12 +169,15 @@ def write_token_shards(
     encoded_shape = arrow_schema(encoded_columns)
 
     def encoded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), np.array([end_id], kind)
-        for frame in text_batches(frames, "text"):
+        encode, size = encoder(path), np.dtype(kind).itemsize
+        for frame in text_batches(frames, "text", TEXT_BYTES):
             keys, ranks = frame.column("id").to_pylist(), frame.column("rank").to_pylist()
             parts = [bisect_right(bounds, _place(key, rank)) for key, rank in zip(keys, ranks, strict=True)]
-            ids = [np.concatenate([found, end], dtype=kind, casting="unsafe").tobytes() for found in encode.ids(frame.column("text"))]
-            columns = [frame.column("id"), frame.column("rank"), pa.array(parts, pa.int32()), pa.array(ids, pa.binary())]
+            flat, at = encode.arrays(frame.column("text"))
+            ended = np.insert(flat, at[1:], end_id).astype(kind)
+            offsets = ((at + np.arange(len(at))) * size).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(ended)])
+            columns = [frame.column("id"), frame.column("rank"), pa.array(parts, pa.int32()), ids]
             yield pa.RecordBatch.from_arrays(columns, schema=encoded_shape)
 
     shape = arrow_schema("file string, part long, seq long, n_documents long, n_ids long")
