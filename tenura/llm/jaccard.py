@@ -4,7 +4,8 @@
 2. Random texts lie at distance 1 from any pivot text, where windows of twice the
    threshold would copy each text to each region. So the first regions come from
    buckets of shingles: of H + 1 buckets, two sets that differ in at most H shingles
-   agree in one. Sets that agree in a bucket meet, and what hangs together is a
+   agree in one. Short sets, whose buckets would hold a shingle or none, have pairs of
+   shingles of their prefixes in place of buckets. Sets that agree in a key meet, and what hangs together is a
    cluster; all links lie inside clusters.
 3. A cluster is joined by pivots. Each set goes to the region of its nearest pivot and,
    by the triangle inequality, to each region whose pivot is at most twice the
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from tenura.session import settle
 
 #: Bytes of text that are hashed at a time.
 BATCH = 2_000_000
+#: Differing shingles below which sets go by prefixes.
+SHORT = 8
 #: Small regions are compared directly.
 LEAF_SETS = 512
 PIVOTS = 8
@@ -73,9 +77,41 @@ class Rule:
         return np.array(edges)
 
 
+    def overlap(self, size: np.ndarray | int) -> np.ndarray | int:
+        """Least shingles that a set of ``size`` shares with a linked one."""
+        return -(-self.percent * size // 100)
+
+    def short(self) -> int:
+        """Largest set that goes by its prefix: linked sets as short differ in under ``SHORT`` shingles."""
+        if not 50 < self.percent < 100:
+            return 0  # two shingles in common are not certain, or only equal sets are linked
+        size = 1
+        while self.differing((size + 1) * 100 // self.percent) < SHORT:
+            size += 1
+        return size
+
+
 # --- signatures: which sets may be linked ------------------------------------------
 
 
+@lru_cache(maxsize=256)
+def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
+
+def prefix_keys(spread: np.ndarray, rule: Rule) -> np.ndarray:
+    """Keys of the pairs of a short set's first shingles in the order of their hashes.
+
+    A linked set shares o shingles at least. The first two that both have come, in this set of n,
+    before the last o - 2 of them, so among its first n - o + 2, and so in the other's: the
+    pair is a key of both. Each key stands for two shingles, so one common phrase ties nothing together.
+    """
+    first = np.sort(spread)[: len(spread) - rule.overlap(len(spread)) + 2]
+    a, b = _pairs(len(first))
+    with np.errstate(over="ignore"):
+        return mix(first[a] * np.uint64(0xD1342543DE82EF95) + first[b], 23)
+
+
 def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """A key per set, size class and bucket, and the set's number.
 
@@ -87,7 +123,9 @@ def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndar
     spare - B empty buckets agrees in B + 1 buckets of one shingle, so in two of them in
     one of B stretches of buckets: keys of two such buckets of a stretch stand for
     them. Only sets with still more empty buckets give the keys of weak ones, too.
+    Short sets give the keys of their prefixes instead, and so do sets that a short one may be linked with, beside their own.
     """
+    short = rule.short()
     sizes = np.array([len(s) for s in sets], np.int64)
     keys, owners = [], []
     if not sizes.any():
@@ -99,6 +137,13 @@ def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndar
         if not len(s):
             continue
         spread = mix(s, 3)
+        if rule.overlap(len(s)) <= short:
+            if rule.differing(int(rule.largest_partner(len(s)))):
+                key = prefix_keys(spread, rule)
+                keys.append(key)
+                owners.append(np.full(len(key), i))
+            if len(s) <= short:
+                continue
         for c in range(home[i], reach[i] + 1):
             h = rule.differing(int(edges[c + 1]) - 1)
             if not h:

@@ -179,3 +179,30 @@ def test_components_of_any_shape(spark):
     df = spark.createDataFrame(edges, "a long, b long").repartition(7)
     assert {tuple(r) for r in components(df).collect()} == {(x, forest.root(x)) for x in nodes}
     assert components(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rule", [jaccard.Rule(), jaccard.Rule(words=5, percent=80)])
+def test_short_unrelated_texts_stay_apart(rule):
+    """100,000 texts of 6 to 30 words: what hangs together by keys is at most five of them."""
+    draw = np.random.default_rng(8)
+    forest, seen = Forest(), {}
+    for at in range(0, 100_000, 20_000):
+        texts = [" ".join(map(str, draw.integers(0, 5000, draw.integers(6, 31)))) for _ in range(20_000)]
+        keys, owners = jaccard.bucket_keys(shingle_sets(pa.array(texts), rule.words), rule)
+        for key, owner in zip(keys.tolist(), (owners + at).tolist(), strict=True):
+            forest.unite(seen.setdefault(key, owner), owner)
+    sizes = {}
+    for i in range(100_000):
+        sizes[forest.root(i)] = sizes.get(forest.root(i), 0) + 1
+    assert max(sizes.values()) <= 5
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90, 95])
+def test_short_linked_sets_share_a_key(percent):
+    rule, draw = jaccard.Rule(words=1, percent=percent), random.Random(percent)
+    for _ in range(3000):
+        a = draw.sample(range(10**6), draw.randrange(1, rule.short() + 12))
+        b = [x for x in a if draw.random() > (100 - percent) / 250] + draw.sample(range(10**6, 2 * 10**6), draw.randrange(1 + len(a) * (100 - percent) // 150))
+        if a != b and b and 100 * len(set(a) & set(b)) >= percent * len(set(a) | set(b)) and set(a) != set(b):
+            keys, owner = jaccard.bucket_keys(shingle_sets(pa.array([" ".join(map(str, x)) for x in (a, b)]), 1), rule)
+            assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
