@@ -14,6 +14,7 @@ from tenura.functions import encode
 from tenura.functions.arithmetic import ratio
 from tenura.operators import columns, joins, topk
 from tenura.operators.aggregate import row_count, value_counts
+from tenura.operators.distinct import facts
 from tenura.plans import data_tests, features, flow, registry, star
 from tenura.session import scratch_path
 from tenura.sources import readers
@@ -265,13 +266,21 @@ def fill_nulls(spark, sf_dir):
 add("fill_nulls", fill_nulls, sql("labelled", f"""
 SELECT {KEY}, COALESCE(income_per_experience_year, 0) AS income_per_experience_year,
   COALESCE(company_loyalty_ratio, 0) AS company_loyalty_ratio FROM labelled"""))
-add("select_by_type", over(lambda df: columns.column_kinds(df, specs.CATEGORICAL_EXCLUDED), raw),
-    "SELECT * FROM (VALUES " + ", ".join(
-        f"({i}, {literal(p.split()[0])}, {literal(p.split()[1].lower())}, "
-        f"{literal('string' if p.split()[1] == 'STRING' else 'numeric')}, "
-        f"{str(p.split()[0] in specs.CATEGORICAL_EXCLUDED).upper()})"
-        for i, p in enumerate(specs.RAW_SCHEMA.split(","), 1)
-    ) + ") t(position, column_name, dtype, kind, excluded)")
+
+
+def select_by_type(spark, sf_dir):
+    """Each column's kind, and how many of its rows have a value."""
+    people = raw(spark, sf_dir)
+    values = facts(people, people.columns).select(F.col("feature").alias("column_name"), "non_null", "constant")
+    return columns.column_kinds(people, specs.CATEGORICAL_EXCLUDED).join(values, "column_name")
+
+
+add("select_by_type", select_by_type, sql("people", " UNION ALL ".join(
+    f"SELECT {i} AS position, {literal(p.split()[0])} AS column_name, {literal(p.split()[1].lower())} AS dtype, "
+    f"{literal('string' if p.split()[1] == 'STRING' else 'numeric')} AS kind, "
+    f"{str(p.split()[0] in specs.CATEGORICAL_EXCLUDED).upper()} AS excluded, COUNT({p.split()[0]}) AS non_null, "
+    f"COUNT(DISTINCT {p.split()[0]}) <= 1 AS constant FROM people"
+    for i, p in enumerate(specs.RAW_SCHEMA.split(","), 1))))
 
 
 def cut_risk_tier(spark, sf_dir):

@@ -134,9 +134,11 @@ def cross_validate(spark, sf_dir):
 add("cross_validate", cross_validate)
 
 
-def feature_importance(spark, sf_dir):
-    _, names, model = _train(spark, sf_dir, training.FOREST)
-    return training.feature_importance(model, names, spark)
+def _importance(spec):
+    def query(spark, sf_dir):
+        _, names, model = _train(spark, sf_dir, spec)
+        return training.feature_importance(model, names, spark)
+    return query
 
 
 def lr_coefficients(spark, sf_dir):
@@ -150,7 +152,8 @@ def lr_drivers(spark, sf_dir):
     return training.drivers(training.coefficients(model, names, spark))
 
 
-add("feature_importance", feature_importance)
+add("feature_importance", _importance(training.FOREST))
+add("feature_importance_boosted", _importance(training.BOOSTED))
 add("lr_coefficients", lr_coefficients)
 add("lr_drivers", lr_drivers)
 
@@ -201,27 +204,26 @@ add("pr_curve", over(lambda df: ranking.pr_curve(df, "score", "attrition", by=["
     sql("cards", """SELECT model, score AS threshold, tp::DOUBLE / (tp + fp) AS precision, tp::DOUBLE / n_pos AS recall,
     n_pos::DOUBLE / (n_pos + n_neg) AS base_rate FROM steps
     UNION ALL SELECT model, 'inf'::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, SUM(attrition)::DOUBLE / COUNT(*) FROM cards GROUP BY model""", _STEPS))
-_one = over(lambda df: df.filter("model = 'Full Card'"), all_cards)
-add("confusion_matrix", over(lambda df: ranking.confusion_matrix(df, "attrition", "prediction"), _one),
-    sql("cards", """SELECT CAST(a AS INT) AS actual, CAST(p AS INT) AS predicted, COUNT(c.attrition) AS n
-    FROM range(0, 2) x(a) CROSS JOIN range(0, 2) y(p)
-    LEFT JOIN cards c ON c.attrition = a AND c.prediction = p AND c.model = 'Full Card' GROUP BY 1, 2"""))
+add("confusion_matrix", over(lambda df: ranking.confusion_matrix(df, "attrition", "prediction", by=["model"]), all_cards),
+    sql("cards", """SELECT m.model, CAST(a AS INT) AS actual, CAST(p AS INT) AS predicted, COUNT(c.attrition) AS n
+    FROM (SELECT DISTINCT model FROM cards) m CROSS JOIN range(0, 2) x(a) CROSS JOIN range(0, 2) y(p)
+    LEFT JOIN cards c ON c.attrition = a AND c.prediction = p AND c.model = m.model GROUP BY 1, 2, 3"""))
 _REPORT = """
-one AS (SELECT 'Stayed' AS label, tn AS hit, fn AS wrong, fp AS missed FROM counts WHERE model = 'Full Card'
-  UNION ALL SELECT 'Left', tp, fp, fn FROM counts WHERE model = 'Full Card'),
-lines AS (SELECT label, CASE WHEN hit + wrong > 0 THEN hit::DOUBLE / (hit + wrong) ELSE 0 END AS precision,
+one AS (SELECT model, 'Stayed' AS label, tn AS hit, fn AS wrong, fp AS missed FROM counts
+  UNION ALL SELECT model, 'Left', tp, fp, fn FROM counts),
+lines AS (SELECT model, label, CASE WHEN hit + wrong > 0 THEN hit::DOUBLE / (hit + wrong) ELSE 0 END AS precision,
   CASE WHEN hit + missed > 0 THEN hit::DOUBLE / (hit + missed) ELSE 0 END AS recall,
   CASE WHEN 2 * hit + wrong + missed > 0 THEN 2.0::DOUBLE * hit / (2 * hit + wrong + missed) ELSE 0 END AS f1,
   hit + missed AS support FROM one),
-acc AS (SELECT (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS a, tp + fp + fn + tn AS n FROM counts WHERE model = 'Full Card'),
+acc AS (SELECT model, (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS a, tp + fp + fn + tn AS n FROM counts),
 report AS (SELECT * FROM lines
-  UNION ALL SELECT 'accuracy', a, a, a, n FROM acc
-  UNION ALL SELECT 'macro avg', AVG(precision), AVG(recall), AVG(f1), CAST(SUM(support) AS BIGINT) FROM lines
-  UNION ALL SELECT 'weighted avg', SUM(precision * support) / SUM(support), SUM(recall * support) / SUM(support),
-    SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM lines)"""
+  UNION ALL SELECT model, 'accuracy', a, a, a, n FROM acc
+  UNION ALL SELECT model, 'macro avg', AVG(precision), AVG(recall), AVG(f1), CAST(SUM(support) AS BIGINT) FROM lines GROUP BY model
+  UNION ALL SELECT model, 'weighted avg', SUM(precision * support) / SUM(support), SUM(recall * support) / SUM(support),
+    SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM lines GROUP BY model)"""
 add("classification_report", over(lambda df: rounded(
-        ranking.classification_report(df, "attrition", "prediction"), "precision", "recall", "f1", places=9), _one),
-    sql("cards", "SELECT label, ROUND(precision, 9) AS precision, ROUND(recall, 9) AS recall, ROUND(f1, 9) AS f1, support FROM report",
+        ranking.classification_report(df, "attrition", "prediction", by=["model"]), "precision", "recall", "f1", places=9), all_cards),
+    sql("cards", "SELECT model, label, ROUND(precision, 9) AS precision, ROUND(recall, 9) AS recall, ROUND(f1, 9) AS f1, support FROM report",
         _COUNTS, _REPORT.strip()))
 
 # --- runs -------------------------------------------------------------------------------------

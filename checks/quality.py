@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from checks.aggregates import _all_cuts
 from checks.common import labelled, literal, new_lake, raw, sql, table
 from tenura.operators import quality
+from tenura import specs
 from tenura.plans import data_tests, flow, registry, training
-from tenura.session import scratch_path
+from tenura.session import scratch_path, settle
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -109,53 +110,100 @@ _ALL_CHECKS = [*data_tests.DECLARED, *data_tests.checkpoints(1470)]
 
 def dq_report(spark, sf_dir):
     lake = new_lake(spark)
-    lake.write(raw(spark, sf_dir), data_tests.RAW)
-    registry.build(lake)
+    observed = {data_tests.RAW: lake.write_observed(raw(spark, sf_dir), data_tests.RAW, data_tests.RAW_CHECKS)}
+    observed |= registry.build(lake, checks=_ALL_CHECKS)
     stored = {c.table: lake.read(c.table) for c in _ALL_CHECKS}
-    return quality.run_checks(stored, _ALL_CHECKS)
+    return quality.run_checks(stored, _ALL_CHECKS, observed=observed)
 
 
 add("dq_report", dq_report, sql("everything", report_sql(_ALL_CHECKS), f"analytics AS ({_all_cuts})"))
 
 # --- the whole build ----------------------------------------------------------------------------
 
-_built: dict = {}
+def _csv(spark, sf_dir) -> list[str]:
+    """A folder that is missing and one with the people as CSV."""
+    path = scratch_path(spark, "raw-csv")
+    raw(spark, sf_dir).write.option("header", True).csv(path)
+    return [f"{path}-missing", path]
 
 
-def _build(spark, sf_dir):
-    """One build per session and data set; its three reports read the tables it wrote."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _built:
-        lake = new_lake(spark)
-        source = raw(spark, sf_dir)
-        path = scratch_path(spark, "raw-csv")
-        source.write.option("header", True).csv(path)
-        log = flow.run(lake, [f"{path}-missing", path], expected=1470, models=[training.LOGISTIC],
-                       model_root=scratch_path(spark, "models"))
-        _built[at] = (lake, log)
-    return _built[at]
+def _main_rows():
+    """Rows of a task's largest table; training writes none."""
+    return F.array_max(F.transform(F.map_values("outputs"), lambda o: o["n_rows"])).alias("n_rows")
 
 
 def layered_build(spark, sf_dir):
-    return _build(spark, sf_dir)[1].select("position", "task", "status")
+    log = flow.run(new_lake(spark), _csv(spark, sf_dir), expected=1470, models=[training.LOGISTIC], model_root=scratch_path(spark, "models"))
+    return log.select("position", "task", "status", _main_rows())
 
 
 def run_log(spark, sf_dir):
-    return flow.summary(_build(spark, sf_dir)[1]).select("tasks", "failed", "all_passed")
+    """Every table that a build without models wrote, as logged; and whether a scan finds the logged fingerprint."""
+    lake = new_lake(spark)
+    wrote = flow.tables_of(flow.run(lake, _csv(spark, sf_dir), expected=1470, models=[])).collect()  # one row per table
+    rows = [(r.task, r.table_name, r.n_rows, quality.fingerprint(lake.read(r.table_name)) == r.fingerprint) for r in wrote]
+    return spark.createDataFrame(rows, "task string, table_name string, n_rows long, same_rows boolean")
+
+
+def resumed_build(spark, sf_dir):
+    """Three builds of one lake: all new; nothing changed; then a clean table that has lost rows and an analytics table that is gone."""
+    lake, source = new_lake(spark), raw(spark, sf_dir)
+    build = lambda: flow.run(lake, source, 1470, models=[], if_exists="changed", resume=True)
+    first, second = build(), build()
+    lake.write(settle(lake.read(data_tests.CLEAN).filter(F.col(specs.KEY) % 7 != 0)), data_tests.CLEAN)
+    spark.sql(f"DROP TABLE {lake.full_name(data_tests.ANALYTICS)}")
+    parts = [log.select(F.lit(i).alias("attempt"), "position", "task", "status", _main_rows()) for i, log in enumerate((first, second, build()), 1)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def pass_run_id(spark, sf_dir):
     """The run id that training handed to scoring leads back to the best run."""
-    lake, log = _build(spark, sf_dir)
+    lake = new_lake(spark)
+    log = flow.run(lake, raw(spark, sf_dir), expected=1470, models=[training.LOGISTIC], model_root=scratch_path(spark, "models"))
     handed = log.filter("task = 'training'").select(F.col("details").alias("run_id"))
     runs = lake.read("gold.ml_runs").join(handed, "run_id").select("run_name")
     scored = lake.read(data_tests.PREDICTIONS).agg(F.count(F.lit(1))).scalar()
     return runs.withColumn("n_scored", scored)
 
 
-_TASKS = ["raw load", "clean", "features", "star schema", "analytics", "training", "scoring"]
-add("layered_build", layered_build, "SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{t}', 'PASS')" for i, t in enumerate(_TASKS, 1)) + ") t(position, task, status)")
-add("run_log", run_log, f"SELECT CAST({len(_TASKS)} AS BIGINT) AS tasks, CAST(0 AS BIGINT) AS failed, TRUE AS all_passed")
+_CUTS = f"analytics AS ({_all_cuts})"
+_N = "(SELECT COUNT(*) FROM {})"
+add("layered_build", layered_build, sql("everything", " UNION ALL ".join(
+    f"SELECT {i} AS position, '{task}' AS task, 'PASS' AS status, {rows} AS n_rows" for i, task, rows in (
+        (1, "raw load", _N.format("people")), (2, "clean", _N.format("silver")), (3, "features", _N.format("features")),
+        (4, "star schema", _N.format("fact")), (5, "analytics", _N.format("analytics")), (6, "training", "NULL"),
+        (7, "scoring", _N.format("predictions")))), _CUTS))
+add("run_log", run_log, sql("everything", " UNION ALL ".join(
+    f"SELECT '{task}' AS task, '{table}' AS table_name, {_N.format(source)} AS n_rows, TRUE AS same_rows" for task, table, source in (
+        ("raw load", "bronze.people", "people"), ("clean", "silver.people_clean", "silver"), ("features", "gold.ml_features", "features"),
+        ("star schema", "gold.dim_department", "dim_department"), ("star schema", "gold.dim_job_role", "dim_job_role"),
+        ("star schema", "gold.dim_education_field", "dim_education_field"), ("star schema", "gold.dim_marital_status", "dim_marital_status"),
+        ("star schema", "gold.dim_business_travel", "dim_business_travel"), ("star schema", "gold.fact_attrition", "fact"),
+        ("analytics", "gold.attrition_analytics", "analytics"))), _CUTS))
+add("resumed_build", resumed_build, sql("everything", " UNION ALL ".join(
+    f"SELECT {attempt} AS attempt, {i} AS position, '{task}' AS task, '{status}' AS status, {_N.format(source)} AS n_rows"
+    for attempt, statuses in ((1, "PASS PASS PASS PASS PASS"), (2, "PASS SKIP SKIP SKIP SKIP"), (3, "PASS PASS SKIP SKIP PASS"))
+    for i, (task, source), status in zip(range(1, 6), (("raw load", "people"), ("clean", "silver"), ("features", "features"),
+                                                      ("star schema", "fact"), ("analytics", "analytics")), statuses.split())), _CUTS))
 add("pass_run_id", pass_run_id,
     sql("people", "SELECT 'BEST_Logistic Regression' AS run_name, COUNT(*) AS n_scored FROM people"))
+
+# --- bucketed tables ------------------------------------------------------------------------------
+
+
+def ref_integrity_bucketed(spark, sf_dir):
+    """Lines without an order, and lines per order status, over tables of 8 buckets by order key: no exchange of the lines."""
+    lake = new_lake(spark)
+    lines = table(spark, sf_dir, "lineitem").withColumn("key", F.when(F.col("l_linenumber") == 7, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")))
+    lake.bucketed(lines.select("key", "l_linenumber", "l_extendedprice"), "silver.lines", "key", 8)
+    lake.bucketed(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus"), "silver.orders", "key", 8)
+    lines, orders = lake.read("silver.lines"), lake.read("silver.orders")
+    lost = lines.join(orders.hint("merge"), "key", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    status = lines.join(orders.hint("merge"), "key").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return lost.select(F.lit("no order").alias("status"), "n").unionByName(status.withColumnRenamed("o_orderstatus", "status"))
+
+
+add("ref_integrity_bucketed", ref_integrity_bucketed, """
+SELECT 'no order' AS status, COUNT(*) AS n FROM lineitem WHERE l_linenumber = 7
+  OR l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT o_orderstatus, COUNT(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber <> 7 GROUP BY 1""")

@@ -327,9 +327,9 @@ def _chi2(df, columns, label):
 
 add("chi_squared", over(lambda df: _chi2(df, CATEGORICAL, "Attrition"), raw),
     sql("people", "SELECT * FROM tests", *_chi2_sql("people", CATEGORICAL, "Attrition")))
-add("chi_squared_lineitem", lambda spark, sf_dir: _chi2(
-        table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linenumber"], "l_linestatus"),
-    "WITH " + ", ".join(_chi2_sql("lineitem", ["l_returnflag", "l_linenumber"], "l_linestatus")) + " SELECT * FROM tests")
+_LEVELS = ["l_returnflag", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+add("chi_squared_lineitem", lambda spark, sf_dir: _chi2(table(spark, sf_dir, "lineitem"), _LEVELS, "l_linestatus"),
+    "WITH " + ", ".join(_chi2_sql("lineitem", _LEVELS, "l_linestatus")) + " SELECT * FROM tests")
 
 # thousands of levels: one column that has nothing to do with the label, one that fixes it
 

@@ -28,16 +28,18 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def dense_key(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+def dense_key(df: DataFrame, order: Sequence[str | Column], name: str, settled: bool = False) -> DataFrame:
     """Number all rows 1..n in ``order``, with no global window.
 
     Equals ``row_number() over (order by ...)`` when ``order`` ends in a unique
-    column. The numbered layout is written once, so that counting the blocks and
-    using them see the same rows even if executors are lost in between.
+    column. The rows are written before their order is sampled, so that what made them runs
+    once. The numbered layout is written, too, so that counting the blocks and
+    using them see the same rows even if executors are lost in between. ``settled`` says that
+    ``df`` is a written table already.
     """
     keys = _order(order)
     laid_out = settle(
-        df.repartitionByRange(*keys)
+        (df if settled else settle(df)).repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
     )

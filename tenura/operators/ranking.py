@@ -162,21 +162,21 @@ def binary_metrics(df: DataFrame, score: str, label: str, prediction: str, by: S
     )
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Four rows (actual, predicted, n); cells without rows are kept as zero."""
-    counts = confusion_counts(df, label, prediction)
+def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Four rows (actual, predicted, n) per group; cells without rows are kept as zero."""
+    counts = confusion_counts(df, label, prediction, by)
     places = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
     cells = [
         F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(c).alias("n"))
         for c, (a, p) in places.items()
     ]
-    return counts.select(F.inline(F.array(*cells)))
+    return counts.select(*by, F.inline(F.array(*cells)))
 
 
 def classification_report(df: DataFrame, label: str, prediction: str,
-                          names: tuple[str, str] = ("Stayed", "Left")) -> DataFrame:
-    """Per class precision, recall, F1 and support; accuracy, macro and weighted means."""
-    counts = confusion_counts(df, label, prediction)
+                          names: tuple[str, str] = ("Stayed", "Left"), by: Sequence[str] = ()) -> DataFrame:
+    """Per group and class precision, recall, F1 and support; accuracy, macro and weighted means."""
+    counts = confusion_counts(df, label, prediction, by)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
     def line(name: str, hit: Column, wrong: Column, missed: Column) -> Column:
@@ -210,4 +210,4 @@ def classification_report(df: DataFrame, label: str, prediction: str,
         ],
         total.alias("support"),
     )
-    return both.select(F.inline(F.array("zero", "one", accuracy, macro, weighted)))
+    return both.select(*by, F.inline(F.array("zero", "one", accuracy, macro, weighted)))

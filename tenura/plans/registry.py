@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tenura import specs
+from tenura.operators.quality import Check, Observed
 from tenura.plans import data_tests as names
 from tenura.plans import analytics, features, silver, star
 from tenura.sources.tables import Lake
@@ -56,15 +57,19 @@ MODELS: list[Model] = [
 ]
 
 
-def build(lake: Lake, tags: Collection[str] | None = None, models: Collection[Model] = MODELS) -> list[str]:
-    """Build the models with any of the tags, in the listed order; returns their names."""
-    done = []
+def build(lake: Lake, tags: Collection[str] | None = None, models: Collection[Model] = MODELS,
+          checks: Collection[Check] = ()) -> dict[str, Observed | None]:
+    """Build the models with any of the tags, in the listed order; by name, what each write counted.
+
+    Failures of the simple ones of ``checks`` are counted while their table is written.
+    """
+    done = {}
     for model in models:
         if tags is not None and not model.tags & set(tags):
             continue
         if model.materialize == "view":
             lake.create_view(model.build(lake), model.name)
+            done[model.name] = None
         else:
-            lake.write(model.build(lake), model.name)
-        done.append(model.name)
+            done[model.name] = lake.write_observed(model.build(lake), model.name, [c for c in checks if c.table == model.name])
     return done

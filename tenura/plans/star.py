@@ -14,6 +14,7 @@ from tenura.functions.encode import band, decode, yes_no
 from tenura.operators.aggregate import distinct_tuples, distinct_values
 from tenura.operators.joins import counted, lookup_join
 from tenura.operators.ordering import dense_key, number_rows
+from tenura.session import settle
 
 # dimension -> (key, {clean column: dimension column}, sort order in dimension columns)
 DIMENSIONS = {
@@ -109,9 +110,11 @@ def fact(silver: DataFrame, dims: Dimensions | None = None) -> DataFrame:
     """One row per employee: 47 columns in order.
 
     The surrogate key numbers rows by department, role, age and income, with the
-    employee number as the last sort column so that the numbering is unique.
+    employee number as the last sort column so that the numbering is unique. The clean
+    rows are written first: numbering and dimensions read them instead of making them anew.
     """
     order = [*specs.FACT_ORDER, specs.KEY]
-    keyed = dense_key(silver, order, "employee_key")
-    joined = with_dimension_keys(keyed, dims or dimensions(silver))
+    rows = settle(silver)
+    keyed = dense_key(rows, order, "employee_key", settled=True)
+    joined = with_dimension_keys(keyed, dims or dimensions(rows))
     return labelled(joined).select(*specs.FACT_COLUMNS)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tenura.operators.columns import sanitize_columns
+from tenura.operators.quality import Check, Observed, observations, observed_from
 from tenura.sources.readers import scan_csv
 
 
@@ -41,6 +42,24 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(self.full_name(name))
 
+    def write_observed(self, df: DataFrame, name: str, checks: Sequence[Check] = ()) -> Observed:
+        """:meth:`write`, counting rows, a fingerprint and the failures of simple tests on the way."""
+        metrics, decided = observations(df, checks)
+        seen = Observation()
+        self.write(df.observe(seen, *metrics), name)
+        return observed_from(seen.get, decided)
+
+    def bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> None:
+        """Replace a table, laid out in ``buckets`` sorted buckets by ``key``.
+
+        Tables of as many buckets are joined on their keys without an exchange, however large;
+        choose a number that leaves a bucket small enough for a task.
+        """
+        if name.split(".")[0] not in self._known:
+            self.create_schema(name.split(".")[0])
+        placed = df.repartition(buckets, key)
+        placed.write.mode("overwrite").format(self.fmt).bucketBy(buckets, key).sortBy(key).saveAsTable(self.full_name(name))
+
     def create_as(self, name: str, query: str) -> None:
         """CREATE OR REPLACE TABLE ... AS SELECT."""
         self.write(self.spark.sql(query), name)

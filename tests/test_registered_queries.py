@@ -7,7 +7,7 @@ from checks.compare import compare, connect
 
 QUERIES, TWINS = queries(), oracle_sql()
 # fitted over and over by design; covered by test_plans with smaller settings
-SLOW = {"layered_build", "run_log", "pass_run_id", "dq_report"}
+SLOW = {"layered_build", "pass_run_id"}
 
 
 @pytest.fixture(scope="module")
