@@ -10,6 +10,7 @@ from contextvars import copy_context
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
@@ -212,7 +213,18 @@ def fit_model(train: DataFrame, spec: ModelSpec, columns: Sequence[str], key: st
         features = "scaled"
     # balanced weights sum to the number of rows
     stages.append(_classifier(spec, features, float(rows)))
-    return Pipeline(stages=stages).fit(weighted)
+    model = Pipeline(stages=stages).fit(weighted)
+    _without_summary(model.stages[-1])
+    return model
+
+
+def _without_summary(fitted) -> None:
+    """Lets go of a fit's training summary, as saving and loading the model would.
+
+    The summary holds the session, which can't be sent to tasks once a write was observed in it.
+    """
+    if getattr(fitted, "hasSummary", False):
+        fitted._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
 
 
 def score(model: PipelineModel, df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
