@@ -121,7 +121,7 @@ def nearest(
     Scores are exact, in double precision; a query never finds its own id; ties go to
     the smaller id; a query with fewer candidates gets all. Zero vectors, null ids or
     vectors and vectors with null or non-finite components take no part; rows that
-    repeat an id count once; vectors meet those of their own width. A larger ``spread``
+    repeat an id are candidates each, and ask together; vectors meet those of their own width. A larger ``spread``
     rescores more and misses less. An empty table gives no row; other columns are not
     read.
     """

@@ -14,6 +14,8 @@ from tenura.session import settle
 
 INDEX_ROWS = 4096
 QUERY_ROWS = 1024
+#: Bytes of vectors in a block, as doubles; wide vectors lie in smaller blocks.
+BLOCK_BYTES = 1 << 25
 FOUND = "query_id long, vec_id long, score"
 
 Index = dict[str, bytes]
@@ -22,8 +24,8 @@ Index = dict[str, bytes]
 def usable_vectors(embeddings: DataFrame, zero: bool) -> DataFrame:
     """vec_id, embedding (double) and width of the vectors that take part; ``zero`` keeps zero vectors.
 
-    Null ids and vectors and those with null or non-finite components are out. Of rows
-    that repeat an id the smallest vector stays.
+    Null ids and vectors and those with null or non-finite components are out. Rows that
+    repeat an id all stay.
     """
     vector = F.col("embedding").cast("array<double>")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -32,13 +34,13 @@ def usable_vectors(embeddings: DataFrame, zero: bool) -> DataFrame:
     )
     if not zero:
         rows = rows.filter(F.exists("embedding", lambda x: x != 0))
-    once = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    return once.select(F.col("vec_id").cast("long"), "embedding", F.size("embedding").alias("width"))
+    return rows.select(F.col("vec_id").cast("long"), "embedding", F.size("embedding").alias("width"))
 
 
 def _blocks(rows: DataFrame, block_rows: int, name: str) -> tuple[DataFrame, int]:
-    """Rows with a block number; blocks are even, whatever the ids are."""
-    n = max(1, -(-rows.count() // block_rows))
+    """Rows with a block number; blocks are even, whatever the ids are, and hold about ``BLOCK_BYTES`` at most."""
+    count, numbers = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
+    n = max(1, -(-count // block_rows), -(-8 * numbers // BLOCK_BYTES))
     return rows.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(n))), n
 
 
@@ -67,7 +69,8 @@ def against_all(
     ``build`` makes the index of a block, ``search`` gives a block's best for a block
     of queries as (query ids, vector ids, scores), ``k`` for each query. Only vectors
     of the query's width meet it. A task holds one block of either kind, and each
-    query keeps ``k`` rows of each block.
+    query keeps ``k`` rows of each block. Query rows that share an id ask together: its
+    ``k`` best are those of all their products.
     """
     rows = settle(vectors)
     placed, n = _blocks(rows, index_rows, "block")

@@ -52,6 +52,20 @@ def gathered(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_batches(held) if held else schema.empty_table()
 
 
+def set_apart(df: DataFrame, used: Sequence[str]) -> DataFrame:
+    """``df`` with other names for columns whose names an operator uses itself; ``toDF`` gives the old ones back."""
+    clashing = {u.lower() for u in used}
+    taken = clashing | {c.lower() for c in df.columns}
+    names = []
+    for name in df.columns:
+        if name.lower() in clashing:
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        names.append(name)
+    return df if names == df.columns else df.toDF(*names)
+
+
 def kind_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

@@ -87,7 +87,8 @@ def searcher(k: int):
                 if n > k + 1:
                     first = np.argpartition(-upper, k, axis=1)[:, :k]
                     known = integer_products(np.repeat(part, k, axis=0), values[first.reshape(-1)]).reshape(-1, k)
-                    bar = known.min(axis=1).astype(np.float64)
+                    # where rows of the query's own id are among them, nothing is known of the k-th best
+                    bar = np.where(np.take_along_axis(own, first, 1), -np.inf, known).min(axis=1)
                     bar -= np.abs(bar) * 1e-12
                 else:
                     bar = np.full(len(part), -np.inf)
@@ -109,7 +110,7 @@ def top_products(embeddings: DataFrame, is_query: Column, k: int = 10, scale: in
     Components become floor(scale * x). A query never meets its own id; ties go to the
     smaller id; with fewer candidates all are returned. Zero vectors take part. Null
     ids or vectors and vectors with null or non-finite components don't; rows that
-    repeat an id count once; vectors meet those of their own width. Scores beyond 64
+    repeat an id are candidates each, and ask together; vectors meet those of their own width. Scores beyond 64
     bits stay at the end of the range. An empty table gives no row; other columns are
     not read.
     """

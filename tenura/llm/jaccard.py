@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.common import arrow_schema, let_go, same, text_batches
+from tenura.llm.common import arrow_schema, let_go, same, set_apart, text_batches
 from tenura.llm.components import Forest, components
 from tenura.llm.shingles import mix, shingle_sets
 from tenura.session import settle
@@ -560,11 +560,13 @@ def first_of_groups(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     """The rows of ``docs`` that stand for their groups of linked texts: those with the smallest id.
 
     Texts without words and rows without an id stay. Of rows that repeat an id one stays.
+    Other columns may have any name.
     """
+    names, docs = docs.columns, set_apart(docs, ["__first"])
     found = linked_documents(docs, rule)
     firsts = found.filter("doc_id is not null and component_id = doc_id").select(F.col("doc_id").alias("__first")).distinct()
     known = docs.filter("doc_id is not null")
     kept = known.join(firsts, known["doc_id"] == F.col("__first"), "left_semi")
     if known.groupBy("doc_id").count().filter("count > 1").head(1):
         kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    return kept.unionByName(docs.filter("doc_id is null")).toDF(*names)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import WORD, same, word_count
+from tenura.llm.common import WORD, same, set_apart, word_count
 from tenura.operators.ordering import dense_key, running_totals
 from tenura.session import settle
 
@@ -180,8 +180,11 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """The mix as rows like ``docs``: one per document and pass, with the words that the pass takes.
 
     A text taken whole stays as it is; of others the taken stretches remain, each with
-    the white space after its words. ``n_chars`` is set anew where there is one.
+    the white space after its words. ``n_chars`` is set anew where there is one. Other
+    columns may have any name.
     """
+    names = docs.columns
+    docs = set_apart(docs, ["__mix_id", "__mix_source", "__mix_text", "__mix_stretches", "__mix_whole", "__mix_key"])
     documents, _, mix = mixture(docs, **options)
     stretch = F.struct("from_word", "words")
     passes = mix.groupBy("doc_id", "source", "text_key", "pass").agg(
@@ -191,7 +194,6 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
         documents.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "text_key", "size")]),
         same(F.col("doc_id"), F.col("_doc_id")) & same(F.col("source"), F.col("_source")) & (F.col("text_key") == F.col("_text_key")),
     ).select(
-        # names that no other column has
         F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("_text_key").alias("__mix_text"),
         F.col("_stretches").alias("__mix_stretches"), (F.col("_taken") == F.col("_size")).alias("__mix_whole"),
     )
@@ -207,4 +209,4 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     out = met.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).toDF(*names)

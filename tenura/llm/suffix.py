@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.llm.common import arrow_schema, gathered, let_go, text_batches
+from tenura.llm.common import arrow_schema, gathered, let_go, set_apart, text_batches
 from tenura.llm.shingles import mix
 from tenura.session import settle
 
@@ -560,6 +560,7 @@ def repeated_windows(found: DataFrame, length: int, shard_bytes: int = SHARD_BYT
 
 # names of added columns that no other column has
 _KEY, _ORDINAL, _SPANS = "__passage_key", "__passage_ordinal", "__passage_spans"
+_OWN = (_KEY, _ORDINAL, _SPANS, "__k", "__o")
 
 
 def keyed(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -631,16 +632,18 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``; rows of which nothing is left go.
 
     A cut inside a character takes the whole character. ``n_chars`` is set anew where
-    there is one. A row that had no text stays.
+    there is one. A row that had no text stays. Other columns may have any name.
     """
     names, shape = docs.columns, docs.schema
     where = {n: i for i, n in enumerate(names)}
+    docs = set_apart(docs, _OWN)
+    inner = docs.columns
 
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in text_batches(frames, "text"):
             texts, spans = frame.column("text").to_pylist(), frame.column(_SPANS).to_pylist()
             new = [t if not s else _kept(t.encode("utf-8", "surrogatepass"), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)]
-            arrays = [frame.column(n) for n in names]
+            arrays = [frame.column(n) for n in inner]
             arrays[where["text"]] = pa.array(new, arrays[where["text"]].type)
             if "n_chars" in where:
                 sizes = [old if not s else len(t) for old, t, s in zip(frame.column("n_chars").to_pylist(), new, spans, strict=True)]
@@ -648,4 +651,4 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
             out = pa.RecordBatch.from_arrays(arrays, names=names)
             yield out.filter(pa.array([bool(n) or not o for n, o in zip(new, texts, strict=True)]))
 
-    return _apply(keyed(docs), length).select(*names, _SPANS).mapInArrow(task, shape)
+    return _apply(keyed(docs), length).select(*inner, _SPANS).mapInArrow(task, shape)

@@ -27,6 +27,7 @@ def clashing():
         from pyspark.sql import functions as F
 
         names = ["id", "key", "h", "rank", "size", "words", "block", "sequence_id", "file", "score", "region", "start", "_id", "ordinal", "spans", "_key", "_first", "_whole", "_size", "text_key", "taken", "target", "n", "a", "b", "place", "features"]
+        names += ["__k", "__o", "__first", "__mix_id", "__mix_key", "__MIX_WHOLE", "__mix_whole_", "__passage_key", "__passage_spans"]
         return df.select("*", *[F.lit("x").alias(n) for n in names])
 
     return add

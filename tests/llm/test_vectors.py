@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenura.llm import ann, impacts, queries
+from tenura.llm.blocks import _blocks
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank int, score double, block long"
 
@@ -27,13 +28,14 @@ def vectors(n=400, width=24, seed=3):
 
 
 def brute(rows, queries, k, value):
-    known = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            known[i] = min(known.get(i, list(map(float, v))), list(map(float, v)))
+    known = [
+        (i, list(map(float, v))) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = set()
-    for q in [i for i in known if queries(i)]:
-        scores = [(-value(known[q], v), i) for i, v in known.items() if i != q and len(v) == len(known[q])]
+    for q in {i for i, _ in known if queries(i)}:
+        asked = [v for i, v in known if i == q]
+        scores = [(-value(a, v), i) for a in asked for i, v in known if i != q and len(v) == len(a)]
         for rank, (score, i) in enumerate(sorted(scores)[:k], 1):
             out.add((q, rank, i, -score))
     return out
@@ -167,6 +169,28 @@ def test_few_candidates_and_odd_rows(spark):
     assert exact == brute(rows, lambda i: i % 20 == 0, 10, whole)
 
 
+def test_every_row_of_an_id_takes_part(spark):
+    two = [(0, [1, 0]), (1, [2, 0]), (1, [0.5, 9])]
+    got = [tuple(r) for r in impacts.top_products(frame(spark, two), impacts.every_hundredth()).collect()]
+    assert sorted(got) == [(0, 1, 1, 2 * 1024 * 1024), (0, 2, 1, 512 * 1024)]
+    draw = np.random.default_rng(4)
+    # a query's id and a candidate's hold a third of all rows each
+    ids = np.where(draw.random(900) < 0.34, 0, np.where(draw.random(900) < 0.5, 7, np.arange(900)))
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, np.round(draw.standard_normal((900, 6)), 2).astype(np.float32), strict=True)]
+    for index_rows in (64, 4096):
+        exact = impacts.top_products(frame(spark, rows), ann.every_twentieth(), index_rows=index_rows).collect()
+        assert {tuple(r) for r in exact} == brute(rows, lambda i: i % 20 == 0, 10, whole)
+        near = {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(frame(spark, rows), ann.every_twentieth(), index_rows=index_rows).collect()}
+        want = {(q, rank, i) for q, rank, i, _ in brute(rows, lambda i: i % 20 == 0, 20, dot)}
+        assert len(near) == len(want) and len(near & want) >= 0.99 * len(want)
+
+
+def test_blocks_of_wide_vectors_hold_fewer(spark):
+    for width, n in ((64, 1), (4096, 3), (0, 1)):
+        rows, blocks = _blocks(spark.range(3000).select(F.lit(width).alias("width")), 16384, "block")
+        assert blocks == n and rows.groupBy("block").count().count() == n
+
+
 def test_empty_tables(spark):
     assert ann.nearest(frame(spark, []), ann.every_twentieth()).count() == 0
     assert impacts.top_products(frame(spark, []), impacts.every_hundredth()).count() == 0
