@@ -130,6 +130,8 @@ def drawn_slots(sources: DataFrame, block_words: int, shard_slots: int, seed: in
     )
     # no row stands for more slots than one shard has
     each = kept.unionByName(late).filter("low < high").withColumn("slot", F.explode(F.sequence("low", F.col("high") - 1)))
+    # few rows became many: they are spread over all tasks before their permutation
+    each = each.repartition(int(each.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "slot").select("rank", "shard", "slot")
     facts = owing.select("rank", "source_size", F.col("words").alias("owed"), "blocks", "whole")
     i = F.col("slot") % F.col("blocks")
     done = F.floor(F.col("slot") / F.col("blocks"))

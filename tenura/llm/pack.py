@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -198,6 +199,30 @@ class Packer:
         self.rests = []
 
 
+class Held(NamedTuple):
+    """A row whose ids are still needed: its id, how many ids it has, and those from ``start`` on."""
+
+    key: object
+    n: int
+    start: int
+    raw: bytes
+
+    def part(self, piece: Piece) -> bytes:
+        at = 4 * (piece.start - self.start)
+        return self.raw[at : at + 4 * piece.length]
+
+
+def still_needed(held: dict[int, Held], rests: list[Piece]) -> dict[int, Held]:
+    """What the pieces that wait need of their rows, and no more."""
+    begin: dict[int, int] = {}
+    for piece in rests:
+        begin[piece.example] = min(piece.start, begin.get(piece.example, piece.start))
+    return {
+        k: row if at == row.start else Held(row.key, row.n, at, row.raw[4 * (at - row.start) :])
+        for k, at in begin.items() for row in (held[k],)
+    }
+
+
 def pack(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -240,7 +265,7 @@ def pack(
         encode, packer = encoder(path), Packer(limits, cut, window)
         first = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
-        held: dict[int, tuple[object, bytes]] = {}
+        held: dict[int, Held] = {}
         count = sequences = 0
 
         def rows_of(done: list[list[Piece]]) -> pa.RecordBatch:
@@ -251,9 +276,9 @@ def pack(
                 padding = 0 if total & (total - 1) == 0 else limits.tokens - total
                 offset = 0
                 for segment, p in enumerate(content):
-                    key, raw = held[p.example]
-                    ids = raw[4 * p.start : 4 * (p.start + p.length)]
-                    row = (key, p.start, p.length, p.loss, crc32(ids), len(raw) // 4, first + sequences, offset, segment, total, padding)
+                    example = held[p.example]
+                    ids = example.part(p)
+                    row = (example.key, p.start, p.length, p.loss, crc32(ids), example.n, first + sequences, offset, segment, total, padding)
                     out.append((*row, ids) if with_ids else row)
                     offset += p.length
                 sequences += 1
@@ -264,13 +289,12 @@ def pack(
             raws = encode.raw_ids(frame.column("text"))
             for key, raw, n_quiet in zip(frame.column("id").to_pylist(), raws, frame.column("quiet").to_pylist(), strict=True):
                 raw += end
-                held[count] = (key, raw)
+                held[count] = Held(key, len(raw) // 4, 0, raw)
                 done += packer.add(count, len(raw) // 4, n_quiet)
                 count += 1
             if done:
                 yield rows_of(done)
-                kept = {p.example for p in packer.rests}
-                held = {k: v for k, v in held.items() if k in kept}
+            held = still_needed(held, packer.rests)
         if done := list(packer.close()):
             yield rows_of(done)
 

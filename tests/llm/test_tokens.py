@@ -120,6 +120,29 @@ def test_dot_product_takes_what_fits_best():
     assert sorted(sorted(p.length for p in b) for b in bins) == [[3, 7], [4, 6], [5, 5]]
 
 
+def test_pack_over_many_batches(spark, documents, encode):
+    texts = dict(enumerate(random_texts(150) + ["word " * 900, "a b " * 400]))
+    limits = pack.Limits(64, 5, 30)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = pack.pack(documents([(i, t, "s") for i, t in texts.items()], 2), limits=limits, window=25).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    check_pieces(rows, encode, texts, limits)
+
+
+def test_waiting_rows_keep_only_what_waits():
+    raw = np.arange(300_000, dtype="<u4").tobytes()
+    held = {k: pack.Held(k, 300_000, 0, raw) for k in range(5)}
+    rests = [pack.Piece(1, 299_000, 1000, 0), pack.Piece(3, 299_990, 10, 0), pack.Piece(3, 299_900, 90, 0)]
+    want = {(p.example, p.start): held[p.example].part(p) for p in rests}
+    for _ in range(2):
+        held = pack.still_needed(held, rests)
+        assert {k: len(h.raw) for k, h in held.items()} == {1: 4000, 3: 400}
+        assert {(p.example, p.start): held[p.example].part(p) for p in rests} == want
+    assert pack.still_needed(held, []) == {}
+
+
 def test_pack_edges(documents, spark):
     assert pack.pack(documents([])).count() == 0
     repeated = pack.pack(documents([(1, "a b", "s")] * 3 + [(None, "a b", "s")])).collect()
