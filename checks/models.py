@@ -191,15 +191,17 @@ def card_metrics(spark, sf_dir):
 
 
 add("binary_metrics", card_metrics, sql("cards", "SELECT * FROM metrics", *_EVAL))
-add("roc_curve", over(lambda df: ranking.roc_curve(df, "score", "attrition", by=["model"]), all_cards),
+_ALL_POINTS = """SELECT model, score AS threshold, fp::DOUBLE / n_neg AS fpr, tp::DOUBLE / n_pos AS tpr FROM steps
+    UNION ALL SELECT DISTINCT model, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM cards"""
+add("roc_curve", over(lambda df: ranking.roc_curve(df, "score", "attrition", by=["model"]), all_cards), sql("cards", _ALL_POINTS, _STEPS))
+add("roc_curve_all_points", over(lambda df: ranking.roc_curve(df, "score", "attrition", by=["model"], drop_collinear=False), all_cards),
+    sql("cards", _ALL_POINTS, _STEPS))
+add("roc_curve_corners", over(lambda df: ranking.roc_curve(df, "score", "attrition", by=["model"], drop_collinear=True), all_cards),
     sql("cards", """SELECT model, score AS threshold, fp::DOUBLE / n_neg AS fpr, tp::DOUBLE / n_pos AS tpr FROM (
       SELECT *, LAG(tp) OVER w AS tp0, LAG(fp) OVER w AS fp0, LEAD(tp) OVER w AS tp2, LEAD(fp) OVER w AS fp2 FROM steps
       WINDOW w AS (PARTITION BY model ORDER BY score DESC))
     WHERE tp0 IS NULL OR tp2 IS NULL OR (tp - tp0) * (fp2 - fp) <> (tp2 - tp) * (fp - fp0)
     UNION ALL SELECT DISTINCT model, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM cards""", _STEPS))
-add("roc_curve_all_points", over(lambda df: ranking.roc_curve(df, "score", "attrition", by=["model"], drop_collinear=False), all_cards),
-    sql("cards", """SELECT model, score AS threshold, fp::DOUBLE / n_neg AS fpr, tp::DOUBLE / n_pos AS tpr FROM steps
-    UNION ALL SELECT DISTINCT model, 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM cards""", _STEPS))
 add("pr_curve", over(lambda df: ranking.pr_curve(df, "score", "attrition", by=["model"]), all_cards),
     sql("cards", """SELECT model, score AS threshold, tp::DOUBLE / (tp + fp) AS precision, tp::DOUBLE / n_pos AS recall,
     n_pos::DOUBLE / (n_pos + n_neg) AS base_rate FROM steps

@@ -62,12 +62,12 @@ def _corner() -> Column:
     return first | F.col("pos_next").isNull() | (left != right)
 
 
-def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), drop_collinear: bool = True) -> DataFrame:
-    """False and true positive rate by threshold, from (0, 0) on.
+def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), drop_collinear: bool = False) -> DataFrame:
+    """False and true positive rate per distinct threshold, from (0, 0) on.
 
-    Points that lie in line with both neighbours change neither the drawing nor its area and are
-    left out; ``drop_collinear=False`` keeps one for each distinct score. The start point
-    has the threshold infinity: nobody is said to be positive.
+    The start point has the threshold infinity: nobody is said to be positive.
+    ``drop_collinear`` leaves out points that lie in line with both neighbours, which change
+    neither the drawing nor its area.
     """
     table = threshold_table(df, score, label, by)
     table = settle(table.filter(_corner()) if drop_collinear else table)

@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from checks.common import all_cards
 from tenura.functions.pvalues import rank_sum_tail, student_tail
 from tenura.operators import aggregate, distinct, heavy, profile, ranking, selection, stats
 from tenura.operators.digest import row_digest
@@ -196,3 +198,13 @@ def test_roc_points_in_line_are_left_out(spark, small):
         inner = [p for o, p, q in zip(whole[g][1:], whole[g][2:], whole[g][3:]) if abs((p[1] - o[1]) * (q[2] - p[2]) - (q[1] - p[1]) * (p[2] - o[2])) < 1e-12]
         assert not set(inner) & set(kept[g])
     assert len(kept["flat"]) == 3  # start, first and last threshold
+
+
+def test_roc_curve_has_every_threshold(spark, sf_dir):
+    rows = [("a", s / 10, y) for s in range(10) for y in (0, 1, 1)]
+    df = spark.createDataFrame(rows, "g string, s double, y int")
+    assert sorted(r.threshold for r in ranking.roc_curve(df, "s", "y", ["g"]).collect()) == [*(s / 10 for s in range(10)), INF]
+    points = {name: {tuple(r) for r in queries()[name](spark, sf_dir).collect()} for name in ("roc_curve", "roc_curve_corners")}
+    cards = all_cards(spark, sf_dir)
+    assert len(points["roc_curve"]) == cards.select("model", "score").distinct().count() + cards.select("model").distinct().count()
+    assert points["roc_curve_corners"] < points["roc_curve"]
