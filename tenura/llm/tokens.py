@@ -1,18 +1,19 @@
-"""Whole-text token ids with a memo of chunks that earlier texts already had.
+"""Whole-text token ids with a memo of pieces that earlier texts already had.
 
 The byte-level pattern never runs across the boundary before a single space that a
 non-space character follows, so a text may be cut there and its chunks encoded
-apart. A batch has few different chunks; those that the memo does not have go to the
-tokenizer, and the memo is emptied when it is full.
+apart. A batch has few different chunks, and these fewer pieces; those that the memo does
+not have go to the tokenizer. A full memo keeps the last batch's pieces alone. Chunks,
+pieces and ids stay in Arrow: a worker holds no Python object for any that it remembers.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from array import array
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +22,15 @@ import pyarrow.compute as pc
 _CUT = re.compile(r" (?=\S)")
 # Chunks of visible ASCII, Latin letters and single line ends between them.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
-_KNOWN = re.compile(f"[!-~{_LATIN}]+(?:\n[!-~{_LATIN}]+)*")
+_KNOWN = rf"\A[!-~{_LATIN}]+(?:\n[!-~{_LATIN}]+)*\z"
 _ALL_KNOWN = re.compile(f"[!-~{_LATIN}]+(?:[ \n][!-~{_LATIN}]+)*")
 # An empty chunk, or one that begins with what either library takes for white space.
 _ODD = r"^(?:$|[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
 # The public pattern of the vocabulary, narrowed to those characters.
 _PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\n")
-MEMO_CHUNKS = 500_000
+MEMO_CHUNKS = 200_000
+#: Bytes that a piece of the memo and its ids may have on average.
+PIECE_BYTES = 200
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -50,6 +53,26 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size()
 
 
+def _offsets(values: pa.Array) -> np.ndarray:
+    """Where each value of a binary array begins in its buffer, the end last."""
+    return np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+
+
+def _binary(ids: list[list[int]]) -> pa.Array:
+    """Lists of ids as values of little-endian unsigned 32-bit integers."""
+    flat = np.fromiter(chain.from_iterable(ids), "<u4")
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) * 4
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
+def _joined(values: pa.Array, between: str) -> str:
+    """All values as one text; below 1 GB without a Python object for each."""
+    if values.nbytes > 1 << 30:
+        return between.join(values.to_pylist())
+    whole = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(pa.string()))
+    return pc.binary_join(whole, between)[0].as_py()
+
+
 class Encoder:
     """Ids of byte-level texts, as the tokenizer gives them for the whole text.
 
@@ -70,52 +93,77 @@ class Encoder:
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
         self.alphabet = byte_alphabet()
-        self.pieces: dict[str, bytes] = {}
         self.memo_chunks = memo_chunks
-        self.memo: dict[str, bytes] = {}
+        self._forget()
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.memo, self.memo_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def _plain(self, texts: list[str]) -> pa.Array:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        return _binary([e.ids for e in encoded])
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Adds chunks that follow a space; their pieces go to the vocabulary's merges."""
-        if len(self.pieces) > self.memo_chunks // 5:
-            self.pieces.clear()
-        known, joined = chunks, " ".join(chunks)
-        if not _ALL_KNOWN.fullmatch(joined):
-            known = [c for c in chunks if _KNOWN.fullmatch(c)]
-            joined = " ".join(known)
-        pieces = _PIECES.findall(" " + joined) if known else []
-        new = [p for p in set(pieces) if p not in self.pieces]
-        shown = "\0".join(new).encode().decode("latin-1").translate(self.alphabet)
+    def _merged(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces of the public pattern: they go to the vocabulary's merges."""
+        if not len(pieces):
+            return _binary([])
+        shown = _joined(pieces, "\0")
         merge = self.tokenizer.model.tokenize
-        for piece, text in zip(new, shown.split(self.alphabet[0]), strict=bool(new)):
-            self.pieces[piece] = array("I", [t.id for t in merge(text)]).tobytes()
-        ids = list(map(self.pieces.__getitem__, pieces))
-        starts = [i for i, p in enumerate(pieces) if p[0] == " "]
-        for chunk, i, j in zip(known, starts, [*starts[1:], len(pieces)][: len(known)], strict=True):
-            self.memo[chunk] = ids[i] if j == i + 1 else b"".join(ids[i:j])
-        rest = [c for c in chunks if not _KNOWN.fullmatch(c)] if len(known) < len(chunks) else []
-        self.memo.update(zip(rest, self._plain([" " + c for c in rest]), strict=True))
-
-    def _known(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks that follow a space."""
-        if len(self.memo) > self.memo_chunks:
-            self.memo.clear()
-        found = list(map(self.memo.get, chunks))
-        new = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
-        if new:
-            self._learn(new)
-            found = [self.memo[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
+        split = shown.encode().decode("latin-1").translate(self.alphabet).split(self.alphabet[0])
+        return _binary([[t.id for t in merge(text)] for text in split])
+
+    def _learnt(self, keys: pa.Array, n_pieces: int) -> pa.Array:
+        """Ids of distinct keys; the first ``n_pieces`` are pieces of the public pattern, the others chunks and their space."""
+        place = pc.index_in(keys, value_set=self.memo)
+        missing = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+        if not len(missing):
+            return self.memo_ids.take(place)
+        cut = int(np.searchsorted(missing, n_pieces))
+        new = keys.take(pa.array(missing))
+        new_ids = pa.concat_arrays([self._merged(new[:cut]), self._plain(new[cut:].to_pylist())])
+        slot = place.fill_null(0).to_numpy().astype(np.int64)
+        slot[missing] = len(self.memo) + np.arange(len(missing))
+        memo, memo_ids = pa.concat_arrays([self.memo, new]), pa.concat_arrays([self.memo_ids, new_ids])
+        found = memo_ids.take(pa.array(slot))
+        for kept in ((memo, memo_ids), (keys, found)):
+            if len(kept[0]) <= self.memo_chunks and sum(x.nbytes for x in kept) <= self.memo_chunks * PIECE_BYTES:
+                self.memo, self.memo_ids = kept
+                break
+        else:
+            self._forget()
         return found
 
+    def _known(self, chunks: pa.Array) -> pa.Array:
+        """Ids of distinct chunks that follow a space."""
+        if not len(chunks):
+            return _binary([])
+        joined, known = _joined(chunks, " "), np.ones(len(chunks), bool)
+        if not _ALL_KNOWN.fullmatch(joined):
+            known = pc.match_substring_regex(chunks, _KNOWN).to_numpy(zero_copy_only=False)
+            joined = _joined(chunks.filter(pa.array(known)), " ")
+        pieces = pa.array(_PIECES.findall(" " + joined) if known.any() else [], pa.large_string())
+        others = pa.array([" " + c for c in chunks.filter(pa.array(~known)).to_pylist()], pa.large_string())
+        coded = pa.concat_arrays([pieces, others]).dictionary_encode()
+        which = coded.indices.to_numpy()
+        n_pieces = int(which[: len(pieces)].max(initial=-1)) + 1
+        ids = self._learnt(coded.dictionary, n_pieces).take(coded.indices)
+        # a chunk begins with the piece that has its space
+        starts = np.flatnonzero(pc.starts_with(pieces, " ").to_numpy(zero_copy_only=False))
+        order = np.empty(len(chunks), np.int64)
+        order[known] = np.arange(len(starts))
+        order[~known] = len(starts) + np.arange(len(others))
+        begin = np.concatenate([starts, len(pieces) + np.arange(len(others) + 1)])
+        chunk_ids = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(chunks), [None, pa.py_buffer(_offsets(ids)[begin]), ids.buffers()[2]]
+        )
+        return chunk_ids if known.all() else chunk_ids.take(pa.array(order))
+
     def _rare(self, texts: list[str]) -> list[bytes]:
         """Ids of texts in which white space follows a space: they are cut only where a word follows."""
         split = [_CUT.split(t) for t in texts]
         different = list(dict.fromkeys(c for s in split for c in s[1:]))
-        known = dict(zip(different, self._known(different), strict=True))
-        heads = self._plain([s[0] for s in split])
+        known = dict(zip(different, self._known(pa.array(different, pa.string())).to_pylist(), strict=True))
+        heads = self._plain([s[0] for s in split]).to_pylist()
         return [h + b"".join([known[c] for c in s[1:]]) for h, s in zip(heads, split, strict=True)]
 
     def arrays(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,29 +172,26 @@ class Encoder:
         split = pc.split_pattern(texts.fill_null(""), " ")
         place = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
         coded = split.flatten().dictionary_encode()
-        which = coded.indices.to_numpy().astype(np.int64)
-        chunks = coded.dictionary.to_pylist()
+        del split
+        which, chunks = coded.indices.to_numpy(), coded.dictionary
         heads = place[:-1]
         later = np.ones(len(which), bool)
         later[heads] = False
         # the first chunk of a text has no space in front
         follows = np.zeros(len(chunks), bool)
         follows[which[later]] = True
-        odd = pc.match_substring_regex(coded.dictionary, _ODD).to_numpy(zero_copy_only=False) & follows
+        odd = pc.match_substring_regex(chunks, _ODD).to_numpy(zero_copy_only=False) & follows
         rare = np.unique(np.searchsorted(place, np.flatnonzero(odd[which] & later), "right") - 1).tolist()
         used = np.flatnonzero(follows & ~odd)
         front, back = np.unique(which[heads], return_inverse=True)
-        ids = [*self._known([chunks[i] for i in used.tolist()]), *self._plain([chunks[i] for i in front.tolist()])]
-        slot = np.zeros(len(chunks), np.int64)
+        ids = pa.concat_arrays([self._known(chunks.take(pa.array(used))), self._plain(chunks.take(pa.array(front)).to_pylist())])
+        slot = np.zeros(len(chunks), np.int32)
         slot[used] = np.arange(len(used))
         taken = slot[which]
         taken[heads] = len(used) + back
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin = np.cumsum(length) - length
-        sizes = length[taken]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        out = flat[np.repeat(begin[taken] - ends[:-1], sizes) + np.arange(ends[-1])]
+        picked = ids.take(pa.array(taken))
+        ends = _offsets(picked) // 4
+        out = np.frombuffer(picked.buffers()[2] or b"", "<u4", ends[-1])
         at = ends[place]
         if not rare:
             return out, at

@@ -1,6 +1,7 @@
 """Ids, packing, bit-packed files and token attribution against the tokenizer itself."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from tenura.llm import bitpack, pack, spans
-from tenura.llm.tokens import Encoder, vocabulary_path
+from tenura.llm.tokens import PIECE_BYTES, Encoder, vocabulary_path
 
 ODD = [
     None, "", "a", " a", "a ", "  a", "a  b", "a   b\n c", "\n", " \n x", "it's 's a'll 'S", "é 中文 😀 ok <|endoftext|> x",
@@ -47,6 +48,31 @@ def test_memo_may_be_small(encode):
         assert [x.tolist() for x in tiny.ids(texts)] == [plain(encode, t).ids for t in texts]
 
 
+def test_memo_keeps_no_python_objects():
+    draw = random.Random(8)
+    words = ["".join(draw.choice("etaoinshrdlu") for _ in range(9)) for _ in range(50_000)]
+    fresh = Encoder(vocabulary_path())
+    fresh.arrays(pa.array(["a first text"]))
+    tracemalloc.start()
+    fresh.arrays(pa.array([" ".join(words)]))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 1_000_000  # 50,000 chunks and their ids as objects take over 8 MB
+    assert 49_000 < len(fresh.memo) <= 50_100 and fresh.memo.nbytes + fresh.memo_ids.nbytes < 60 * 50_000
+
+
+def test_memo_stays_in_its_bounds():
+    small, draw = Encoder(vocabulary_path(), memo_chunks=300), random.Random(9)
+    alphabets = ["abcdefgh", "абвгдежз", "abгд", "ßàñ", "a\t"]
+    often = ["the", "of", "слово", "naïve,"]
+    for n in (40, 290, 1000, 60):
+        words = ["".join(draw.choice(letters) for _ in range(7)) for letters in alphabets for _ in range(n // 5)]
+        texts = [" ".join(draw.sample(words, len(words)) + often), None, "the of", "z" * draw.randrange(20, 60) * n + " the"]
+        assert [x.tolist() for x in small.ids(texts)] == [plain(small, t).ids for t in texts]
+        assert len(small.memo) == len(small.memo_ids) <= 300
+        assert small.memo.nbytes + small.memo_ids.nbytes <= 300 * PIECE_BYTES
+
+
 def test_spans_are_the_tokenizers(encode):
     for text in [t for t in ODD + random_texts(400) if t]:
         starts, ends = spans.token_spans(text, encode.ids([text])[0], encode)
