@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tenura.llm.blocks import Index, against_all, best, usable_vectors
 
-PARTS = ("ids", "vectors", "centre", "bits", "length", "own")
 #: Standard deviations of the estimate's error that are allowed for.
 SPREAD = 1.9
 INDEX_ROWS = 16384
@@ -126,7 +125,7 @@ def nearest(
     read.
     """
     vectors = usable_vectors(embeddings, zero=False)
-    return against_all(vectors, is_query, build_codes, searcher(k, spread), PARTS, k, "double", index_rows)
+    return against_all(vectors, is_query, build_codes, searcher(k, spread), k, "double", index_rows)
 
 
 def every_twentieth() -> Column:

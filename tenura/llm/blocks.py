@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,8 @@ INDEX_ROWS = 4096
 QUERY_ROWS = 1024
 #: Bytes of vectors in a block, as doubles; wide vectors lie in smaller blocks.
 BLOCK_BYTES = 1 << 25
+#: Blocks of queries that meet a block of vectors in one task.
+MET_BLOCKS = 8
 FOUND = "query_id long, vec_id long, score"
 
 Index = dict[str, bytes]
@@ -37,11 +39,15 @@ def usable_vectors(embeddings: DataFrame, zero: bool) -> DataFrame:
     return rows.select(F.col("vec_id").cast("long"), "embedding", F.size("embedding").alias("width"))
 
 
-def _blocks(rows: DataFrame, block_rows: int, name: str) -> tuple[DataFrame, int]:
-    """Rows with a block number; blocks are even, whatever the ids are, and hold about ``BLOCK_BYTES`` at most."""
+def _sized(rows: DataFrame, block_rows: int, name: str) -> tuple[DataFrame, int, int]:
+    """Rows with a block number, the number of blocks and the bytes of one; blocks are even, whatever the ids are, and hold about ``BLOCK_BYTES`` at most."""
     count, numbers = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
     n = max(1, -(-count // block_rows), -(-8 * numbers // BLOCK_BYTES))
-    return rows.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(n))), n
+    return rows.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(n))), n, 8 * numbers // n
+
+
+def _blocks(rows: DataFrame, block_rows: int, name: str) -> tuple[DataFrame, int]:
+    return _sized(rows, block_rows, name)[:2]
 
 
 def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +64,6 @@ def against_all(
     is_query: Column,
     build: Callable[[np.ndarray, np.ndarray], Index],
     search: Callable[[Index, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]],
-    parts: tuple[str, ...],
     k: int,
     score: str,
     index_rows: int = INDEX_ROWS,
@@ -68,49 +73,45 @@ def against_all(
 
     ``build`` makes the index of a block, ``search`` gives a block's best for a block
     of queries as (query ids, vector ids, scores), ``k`` for each query. Only vectors
-    of the query's width meet it. A task holds one block of either kind, and each
+    of the query's width meet it. A task holds one block of vectors, indexed there, and up to ``MET_BLOCKS``
+    blocks of queries; both come by a shuffle, never through the driver, and no index is written. Each
     query keeps ``k`` rows of each block. Query rows that share an id ask together: its
     ``k`` best are those of all their products.
     """
     rows = settle(vectors)
     placed, n = _blocks(rows, index_rows, "block")
-    asking, m = _blocks(rows.filter(is_query), query_rows, "asked")
-    index_columns = "width int, block long, " + ", ".join(f"{p} binary" for p in parts)
-    index_shape = arrow_schema(index_columns)
-
-    def indexed(key: tuple, table: pa.Table) -> pa.Table:
-        built = build(*matrix(table))
-        row = {"width": [key[0].as_py()], "block": [key[1].as_py()]} | {p: [built[p]] for p in parts}
-        return pa.Table.from_pydict(row, schema=index_shape)
-
-    asked_columns = "width int, asked long, asked_ids binary, asked_vectors binary"
+    asking, m, size = _sized(rows.filter(is_query), query_rows, "asked")
+    together = max(1, min(MET_BLOCKS, BLOCK_BYTES // max(size, 1)))
+    asked_columns = "width int, asked long, vec_ids binary, vectors binary"
     asked_shape = arrow_schema(asked_columns)
 
     def asked(key: tuple, table: pa.Table) -> pa.Table:
         ids, values = matrix(table)
-        row = {"width": [key[0].as_py()], "asked": [key[1].as_py()], "asked_ids": [ids.tobytes()], "asked_vectors": [values.tobytes()]}
+        row = {"width": [key[0].as_py()], "asked": [key[1].as_py()], "vec_ids": [ids.tobytes()], "vectors": [values.tobytes()]}
         return pa.Table.from_pydict(row, schema=asked_shape)
 
-    index = settle(placed.groupBy("width", "block").applyInArrow(indexed, index_columns))
     queries = settle(asking.groupBy("width", "asked").applyInArrow(asked, asked_columns))
     found_columns = f"{FOUND} {score}"
     found_shape = arrow_schema(found_columns)
 
-    def met(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
-            for i in range(len(frame)):
-                held = {p: frame.column(p)[i].as_py() for p in parts}
-                width = frame.column("width")[i].as_py()
-                ids = np.frombuffer(frame.column("asked_ids")[i].as_py(), np.int64)
-                values = np.frombuffer(frame.column("asked_vectors")[i].as_py(), np.float64).reshape(len(ids), width)
-                columns = search(held, ids, values)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, found_shape, strict=True)], schema=found_shape)
-
-    # blocks of queries against blocks of vectors: each meeting is one row
-    pairs = index.withColumn("asked", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))).join(
-        queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))), ["width", "asked", "block"]
-    )
-    found = pairs.repartition(min(n * m, 4096), "width", "asked", "block").mapInArrow(met, found_columns)
+    def met(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if len(left) and len(right):
+            index = build(*matrix(left))
+            for ids, values in zip(right.column("vec_ids"), right.column("vectors"), strict=True):
+                ids = np.frombuffer(ids.as_py(), np.int64)
+                found.append(search(index, ids, np.frombuffer(values.as_py(), np.float64).reshape(len(ids), -1)))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [[]] * len(found_shape)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, found_shape, strict=True)], schema=found_shape)
+
+    # the queries go to each block of vectors, a block of vectors to every few blocks of queries
+    key, last = ["width", "block", "part"], (m - 1) // together
+    every = lambda most: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(most).cast("long")))
+    side = queries.withColumn("part", F.floor(F.col("asked") / together)).withColumn("block", every(n - 1))
+    tasks = min(n * (last + 1), 4096)
+    found = placed.withColumn("part", every(last)).repartition(tasks, *key).groupBy(*key).cogroup(
+        side.repartition(tasks, *key).groupBy(*key)
+    ).applyInArrow(met, found_columns)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

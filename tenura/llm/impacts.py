@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tenura.llm.blocks import INDEX_ROWS, Index, against_all, best, usable_vectors
 
-PARTS = ("ids", "values", "postings", "ends", "edges")
 LEVELS = 32
 #: Share of a block's vectors that may be left for exact rescoring when processing stops.
 FEW = 0.01
@@ -116,7 +115,7 @@ def top_products(embeddings: DataFrame, is_query: Column, k: int = 10, scale: in
     """
     vectors = usable_vectors(embeddings, zero=True)
     whole = F.transform("embedding", lambda x: F.floor(x * scale).cast("double"))
-    return against_all(vectors.withColumn("embedding", whole), is_query, build_segments, searcher(k), PARTS, k, "long", index_rows)
+    return against_all(vectors.withColumn("embedding", whole), is_query, build_segments, searcher(k), k, "long", index_rows)
 
 
 def every_hundredth() -> Column:

@@ -195,3 +195,15 @@ def test_empty_tables(spark):
     assert ann.nearest(frame(spark, []), ann.every_twentieth()).count() == 0
     assert impacts.top_products(frame(spark, []), impacts.every_hundredth()).count() == 0
     assert ann.nearest(frame(spark, [(1, [1.0])]), ann.every_twentieth()).count() == 0
+
+
+def test_queries_reach_the_blocks_by_shuffles_alone(spark):
+    """A broadcast would bring queries x blocks through the driver."""
+    draw = np.random.default_rng(12)
+    rows = [(i, draw.standard_normal(4).tolist()) for i in range(300)]
+    for found in (
+        impacts.top_products(frame(spark, rows), F.pmod("vec_id", F.lit(10)) == 0, index_rows=32),
+        ann.nearest(frame(spark, rows), F.pmod("vec_id", F.lit(10)) == 0, index_rows=32),
+    ):
+        assert found.count() == 30 * (10 if dict(found.dtypes)["score"] == "bigint" else 20)
+        assert "Broadcast" not in found._jdf.queryExecution().toString()
