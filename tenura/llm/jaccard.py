@@ -6,7 +6,8 @@
    buckets of shingles: of H + 1 buckets, two sets that differ in at most H shingles
    agree in one. Short sets, whose buckets would hold a shingle or none, have pairs of
    shingles of their prefixes in place of buckets. Sets that agree in a key meet, and what hangs together is a
-   cluster; all links lie inside clusters.
+   cluster; all links lie inside clusters. Few common shingles tie ever more unrelated texts
+   together as a corpus grows, so the sets of a large cluster meet again by buckets of other hashes.
 3. A cluster is joined by pivots. Each set goes to the region of its nearest pivot and,
    by the triangle inequality, to each region whose pivot is at most twice the
    threshold farther away; regions are joined in the same way until they are small, and
@@ -23,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +43,15 @@ PIVOTS = 8
 #: Shingles that one task may hold of a cluster.
 TASK_SHINGLES = 4_000_000
 #: Sets in a block where pivots don't help.
-BLOCK_SETS = 1024
+BLOCK_SETS = 8192
+#: Clusters of more sets meet again, at most so often.
+LARGE_SETS = 4096
+TURNS = 4
 #: Bucket keys that a task chains before they are shuffled.
 CHAINED = 1_000_000
+#: Bits of a digest and of a key that are shuffled: zero bytes beside each other compress away. Rows that agree by chance only add to a cluster.
+CLASS = (1 << 32) - 1
+KEY_BITS = -(1 << 16)
 
 
 @dataclass(frozen=True)
@@ -112,8 +120,8 @@ def prefix_keys(spread: np.ndarray, rule: Rule) -> np.ndarray:
         return mix(first[a] * np.uint64(0xD1342543DE82EF95) + first[b], 23)
 
 
-def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """A key per set, size class and bucket, and the set's number.
+def bucket_keys(sets: list[np.ndarray], rule: Rule, turn: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """A key per set, size class and bucket, and the set's number. Each turn has other buckets and prefixes.
 
     Sets in a class have m = H + 1 + spare buckets, so two linked sets agree in
     spare + 1 buckets at least, and if they agree in a full one (of two shingles or
@@ -136,7 +144,7 @@ def bucket_keys(sets: list[np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndar
     for i, s in enumerate(sets):
         if not len(s):
             continue
-        spread = mix(s, 3)
+        spread = mix(s, 3 + 64 * turn)
         if rule.overlap(len(s)) <= short:
             if rule.differing(int(rule.largest_partner(len(s)))):
                 key = prefix_keys(spread, rule)
@@ -188,15 +196,17 @@ def _digests(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
 
 
 def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, s1, s2 of every row, written once."""
-    columns = "doc_id long, n_shingles long, s1 long, s2 long"
+    """doc_id, n_shingles, s1, s2 and weight (shingles, or eighths of the text's bytes if those are more) of every row, written once."""
+    columns = "doc_id long, n_shingles long, s1 long, s2 long, weight long"
     shape = arrow_schema(columns)
 
     def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in text_batches(frames, "text", BATCH):
             sets = shingle_sets(frame.column("text"), rule.words)
             s1, s2 = _digests(sets)
-            arrays = [frame.column("doc_id"), *[pa.array(x, pa.int64()) for x in ([len(s) for s in sets], s1, s2)]]
+            sizes = [len(s) for s in sets]
+            weights = [max(n, b // 8) for n, b in zip(sizes, pc.fill_null(pc.binary_length(frame.column("text")), 0).to_pylist(), strict=True)]
+            arrays = [frame.column("doc_id"), *[pa.array(x, pa.int64()) for x in (sizes, s1, s2, weights)]]
             yield pa.RecordBatch.from_arrays(arrays, schema=shape)
 
     return settle(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, columns))
@@ -225,25 +235,41 @@ def chained(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([keys[first], own, own]), np.concatenate([ids[first], a, b])
 
 
-def meeting_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """a, b: chains of ids whose sets agree in a bucket.
+_KEY = "key long, doc_id long"
 
-    A key that very many sets share leaves a task once per ``CHAINED`` keys.
-    """
-    columns = "key long, doc_id long"
-    shape = arrow_schema(columns)
 
-    def task(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[tuple[int, int]] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+def _reduced(given: Iterator[tuple[np.ndarray, np.ndarray]], shape: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Keys and ids, chained so many at a time that a key of very many sets leaves a task once per ``CHAINED`` keys."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        keys, ids = chained(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(keys & np.int64(KEY_BITS)), pa.array(ids)], schema=shape)
 
-        def reduced() -> pa.RecordBatch:
-            nonlocal held, size
-            rows = chained(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    for keys, ids in given:
+        if len(keys):
+            held.append((keys.astype(np.int64), ids))
+            size += len(keys)
+        if size >= CHAINED:
+            yield batch()
             held, size = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], schema=shape)
+    if held:
+        yield batch()
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """a, b: the ids of a key as a chain."""
+    before = F.lag("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
+    return rows.select(before.alias("a"), F.col("doc_id").alias("b"), "key").filter("a is not null and a < b").select("a", "b")
+
 
+def meeting_sets(docs: DataFrame, rule: Rule) -> DataFrame:
+    """a, b: chains of sets, by the ``CLASS`` bits of their first digests, that agree in a bucket. Copies don't meet."""
+    shape = arrow_schema(_KEY)
+
+    def given(frames: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        done: set[tuple[int, int]] = set()
         for frame in text_batches(frames, "text", BATCH):
             sets = shingle_sets(frame.column("text"), rule.words)
             digests = list(zip(*_digests(sets), strict=True))
@@ -256,17 +282,52 @@ def meeting_sets(docs: DataFrame, rule: Rule) -> DataFrame:
             if len(done) > 1_000_000:
                 done.clear()
             keys, owners = bucket_keys([sets[i] for i in new], rule)
-            if len(keys):
-                held.append((keys.astype(np.int64), frame.column("doc_id").to_numpy()[np.array(new)[owners]]))
-                size += len(keys)
-            if size >= CHAINED:
-                yield reduced()
-        if held:
-            yield reduced()
-
-    rows = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").mapInArrow(task, columns)
-    before = F.lag("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
-    return rows.select(before.alias("a"), F.col("doc_id").alias("b"), "key").filter("a is not null and a < b").select("a", "b")
+            yield keys, np.array([digests[i][0] & CLASS for i in new], np.int64)[owners]
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
+    return _met(rows.mapInArrow(lambda frames: _reduced(given(frames), shape), _KEY))
+
+
+def meeting_again(members: DataFrame, rule: Rule, turn: int) -> DataFrame:
+    """a, b: chains of ids of a region whose sets agree in a bucket of this turn."""
+    shape = arrow_schema(_KEY)
+
+    def given(frames: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for frame in text_batches(frames, "shingles"):
+            ids, sets = _decoded(frame)
+            keys, owners = bucket_keys(sets, rule, turn)
+            region = frame.column("region").to_numpy().astype(np.uint64)
+            with np.errstate(over="ignore"):
+                yield mix(keys + mix(region, 51)[owners], 52), np.array(ids, np.int64)[owners]
+
+    rows = members.select("region", "doc_id", "shingles")
+    return _met(rows.mapInArrow(lambda frames: _reduced(given(frames), shape), _KEY))
+
+
+def refined(members: DataFrame, rule: Rule, most: int) -> DataFrame:
+    """``members`` with large regions taken apart.
+
+    Linked sets agree in a bucket by any hashes, unrelated ones that share a few common
+    shingles seldom do so again. Sets that meet nobody any more have no link and leave; a
+    region that hardly gets smaller stays as it is.
+    """
+    kept: list[DataFrame] = []
+    for turn in range(1, TURNS + 1):
+        sizes = _sizes(members).filter((F.col("sets") > LARGE_SETS) | (F.col("weight") > most))
+        large = settle(sizes.select("region", F.col("sets").alias("before")))
+        if not large.head(1):
+            break
+        work = members.join(large, "region")
+        roots = components(meeting_again(work, rule, turn).distinct()).select(F.col("node").alias("doc_id"), F.col("root").alias("part"))
+        parts = settle(work.join(roots.hint("merge"), "doc_id").select(F.col("part").alias("region"), "doc_id", "n", "shingles", "before"))
+        sizes = parts.groupBy("region").agg(F.count(F.lit(1)).alias("now"), F.max("before").alias("before"))
+        firm = settle(sizes.filter("now > 0.9 * before").select("region"))
+        parts = parts.drop("before")
+        kept += [members.join(large, "region", "left_anti"), parts.join(firm, "region", "left_semi")]
+        members = parts.join(firm, "region", "left_anti")
+    for more in kept:
+        members = members.unionByName(more)
+    return members
 
 
 # --- inside a cluster ---------------------------------------------------------------
@@ -378,7 +439,7 @@ _MEMBER = "region long, doc_id long, n long, shingles binary"
 _LINK = "a long, b long"
 
 
-def _decoded(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
+def _decoded(table: pa.Table | pa.RecordBatch) -> tuple[list[int], list[np.ndarray]]:
     return table.column("doc_id").to_pylist(), [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
 
 
@@ -402,7 +463,8 @@ def split_large(members: DataFrame, rule: Rule, most: int) -> tuple[DataFrame, D
     """Splits regions of more than ``most`` shingles by pivots over many tasks.
 
     Returns the regions small enough to join, those that pivots can't split, and the
-    links with pivots found on the way.
+    links with pivots found on the way. Where to go is decided by ids and sizes; the shingles follow only
+    into regions that are open, and a region that pivots can't split stays whole, once.
     """
     links: list[DataFrame] = []
     stuck: list[DataFrame] = []
@@ -424,7 +486,7 @@ def split_large(members: DataFrame, rule: Rule, most: int) -> tuple[DataFrame, D
         centres = settle(work.join(picked, ["region", "doc_id"]))
         pivots = centres.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
         window = 2 * (1 - rule.percent / 100) + 1e-9
-        columns = _MEMBER + ", parent long, a long"
+        columns = "region long, doc_id long, n long, parent long, a long"
         shape = arrow_schema(columns)
 
         def assign(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -441,10 +503,8 @@ def split_large(members: DataFrame, rule: Rule, most: int) -> tuple[DataFrame, D
             hit, member = np.nonzero(near <= near.min(axis=0) + window)
             parent = left.column("region")[0].as_py() if len(left) else 0
             regions = mix(np.array([parent], np.int64).astype(np.uint64) + hit.astype(np.uint64), 31 + turn).astype(np.int64)
-            raw = left.column("shingles").to_pylist()
             return pa.table([
-                pa.array(regions), pa.array([ids[i] for i in member], pa.int64()), pa.array(held.size[member]),
-                pa.array([raw[i] for i in member], pa.binary()), pa.array(np.full(len(member), parent)),
+                pa.array(regions), pa.array([ids[i] for i in member], pa.int64()), pa.array(held.size[member]), pa.array(np.full(len(member), parent)),
                 pa.array([names[ball[i]] if ball[i] >= 0 else None for i in member], pa.int64()),
             ], schema=shape)
 
@@ -458,10 +518,12 @@ def split_large(members: DataFrame, rule: Rule, most: int) -> tuple[DataFrame, D
         )
         child = child.join(large.select(F.col("region").alias("parent"), "sets"), "parent")
         open_ = settle(child.filter("not (tied = held and low = high)").withColumn("same", F.col("held") > 0.8 * F.col("sets")))
-        left = moved.drop("parent", "a").join(open_.select("region", "same", "now"), "region")
-        big_and_same = F.col("same") & (F.col("now") > most)
-        stuck.append(left.filter(big_and_same).select("region", "doc_id", "n", "shingles"))
-        members = settle(left.filter(~big_and_same).select("region", "doc_id", "n", "shingles"))
+        whole = settle(open_.filter(F.col("same") & (F.col("now") > most)).select(F.col("parent").alias("region")).distinct())
+        stuck.append(work.join(whole, "region", "left_semi").select("region", "doc_id", "n", "shingles"))
+        going = moved.select("region", "parent", "doc_id").distinct().join(open_.select("region", "parent"), ["region", "parent"])
+        going = going.join(whole.withColumnRenamed("region", "parent"), "parent", "left_anti")
+        texts = work.select(F.col("region").alias("parent"), "doc_id", "n", "shingles")
+        members = settle(texts.join(going.hint("merge"), ["parent", "doc_id"]).select("region", "doc_id", "n", "shingles"))
     if members is not None:
         stuck.append(members)
     empty = small[0].limit(0)
@@ -474,10 +536,14 @@ def split_large(members: DataFrame, rule: Rule, most: int) -> tuple[DataFrame, D
     return small_all, stuck_all, links
 
 
-def blockwise(members: DataFrame, rule: Rule) -> DataFrame:
-    """Links of regions that pivots can't split: blocks of bounded size against blocks, each pair of blocks a task."""
+def blockwise(members: DataFrame, rule: Rule, most: int = TASK_SHINGLES) -> DataFrame:
+    """Links of regions that pivots can't split: blocks of bounded size against blocks, each pair of blocks a task.
+
+    Each set is copied once per block of its region, so blocks are as large as a task may hold two of.
+    """
     shape = arrow_schema(_LINK)
-    sizes = _sizes(members).select("region", F.ceil(F.col("sets") / BLOCK_SETS).cast("long").alias("blocks"))
+    blocks = F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, 2 * F.col("weight") / most)).cast("long")
+    sizes = _sizes(members).select("region", blocks.alias("blocks"))
     placed = members.join(sizes, "region").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
     last = F.col("blocks") - 1
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
@@ -499,6 +565,27 @@ def blockwise(members: DataFrame, rule: Rule) -> DataFrame:
     return met.groupBy("region", "i", "j").applyInArrow(task, _LINK)
 
 
+def joined_texts(docs: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
+    """Links of clusters that a task may hold. Their texts travel, which compress; shingles don't."""
+    shape = arrow_schema(_LINK)
+
+    def task(table: pa.Table) -> pa.Table:
+        ids, sets = [], []
+        for frame in text_batches(table.sort_by([("doc_id", "ascending")]).to_batches(), "text", BATCH):
+            ids += frame.column("doc_id").to_pylist()
+            sets += shingle_sets(frame.column("text"), rule.words)
+        links = cluster_links(ids, sets, rule)
+        return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], schema=shape)
+
+    return _member_texts(docs, clusters).groupBy("region").applyInArrow(task, _LINK)
+
+
+def _member_texts(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """region, doc_id, text of clustered ids, which grow with the corpus: the same shuffle join at every size."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.join(clusters.hint("merge"), "doc_id").select("region", "doc_id", "text")
+
+
 def member_sets(docs: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
     """The sets of clustered ids: region, doc_id, n, shingles. Texts meet their ids, one row each."""
     columns = _MEMBER
@@ -512,10 +599,7 @@ def member_sets(docs: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
                 pa.array([s.tobytes() for s in sets], pa.binary()),
             ], schema=shape)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # clustered ids grow with the corpus: the same shuffle join at every size
-    rows = texts.join(clusters.hint("merge"), "doc_id").select("region", "doc_id", "text")
-    return rows.mapInArrow(task, columns)
+    return _member_texts(docs, clusters).mapInArrow(task, columns)
 
 
 def linked_documents(docs: DataFrame, rule: Rule | None = None, task_shingles: int = TASK_SHINGLES) -> DataFrame:
@@ -533,21 +617,22 @@ def linked_documents(docs: DataFrame, rule: Rule | None = None, task_shingles: i
     classes = settle(filled.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
     key = ["s1", "s2", "n_shingles"]
     copies = settle(filled.join(classes.filter("copies > 1").select(*key, "first"), key).select("doc_id", "first").filter("doc_id > first").distinct())
-    met = meeting_sets(docs, rule)
-    # a copy that met something stands for its class; an id with several different texts stays, as it is in several classes
-    several = filled.groupBy("doc_id").agg(*[f(x).alias(f"{f.__name__}_{x}") for x in key for f in (F.min, F.max)])
-    several = several.filter(" or ".join(f"min_{x} <> max_{x}" for x in key)).select("doc_id")
-    of = copies.groupBy("doc_id").agg(F.min("first").alias("first")).join(several, "doc_id", "left_anti")
-    a, b = of.select(F.col("doc_id").alias("a"), F.col("first").alias("fa")), of.select(F.col("doc_id").alias("b"), F.col("first").alias("fb"))
-    edges = settle(met.distinct().join(a, "a", "left").join(b, "b", "left").select(F.coalesce("fa", "a").alias("a"), F.coalesce("fb", "b").alias("b")).filter("a <> b"))
+    # the first id stands for a class
+    names = classes.select(F.col("s1").bitwiseAND(F.lit(CLASS)).alias("a"), F.col("first").alias("fa"))
+    a, b = names, names.toDF("b", "fb")
+    edges = settle(meeting_sets(docs, rule).distinct().join(a, "a").join(b, "b").select(F.col("fa").alias("a"), F.col("fb").alias("b")).filter("a <> b"))
     clusters = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("region"))
+    weights = clusters.join(filled.select("doc_id", "weight"), "doc_id").groupBy("region").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("sets"))
+    large = settle(weights.filter((F.col("sets") > LARGE_SETS) | (F.col("weight") > task_shingles)).select("region"))
     let_go(docs.sparkSession)
-    members = settle(member_sets(docs, clusters, rule))
-    let_go(docs.sparkSession)
-    small, stuck, links = split_large(members, rule, task_shingles)
-    found = joined(small, rule).unionByName(blockwise(stuck, rule))
-    for more in links:
-        found = found.unionByName(more)
+    found = joined_texts(docs, clusters.join(large, "region", "left_anti"), rule)
+    if large.head(1):
+        members = settle(member_sets(docs, clusters.join(large, "region", "left_semi"), rule))
+        let_go(docs.sparkSession)
+        small, stuck, links = split_large(refined(members, rule, task_shingles), rule, task_shingles)
+        found = found.unionByName(joined(small, rule)).unionByName(blockwise(stuck, rule, task_shingles))
+        for more in links:
+            found = found.unionByName(more)
     graph = settle(found.unionByName(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
     nodes = components(graph)
     roots = nodes.select(F.col("node").alias("_node"), "root")

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tenura.llm import jaccard
 from tenura.llm.components import Forest, components
@@ -206,3 +207,39 @@ def test_short_linked_sets_share_a_key(percent):
         if a != b and b and 100 * len(set(a) & set(b)) >= percent * len(set(a) | set(b)) and set(a) != set(b):
             keys, owner = jaccard.bucket_keys(shingle_sets(pa.array([" ".join(map(str, x)) for x in (a, b)]), 1), rule)
             assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+def one_region(spark, texts, rule):
+    sets = shingle_sets(pa.array(texts), rule.words)
+    rows = [(0, i, len(s), s.tobytes()) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "region long, doc_id long, n long, shingles binary")
+
+
+def test_large_regions_come_apart_by_other_hashes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LARGE_SETS", 50)
+    draw, rule = random.Random(5), jaccard.Rule()
+    texts = [" ".join(str(draw.randrange(10**6)) for _ in range(80)) for _ in range(200)]
+    texts += [t + " end" for t in texts[:100]]  # linked with the first hundred
+    got = {r["doc_id"]: r["region"] for r in jaccard.refined(one_region(spark, texts, rule), rule, 10**6).collect()}
+    assert got == {i: i % 200 for i in [*range(100), *range(200, 300)]}
+    alike = ["x " + texts[0]] * 60
+    kept = jaccard.refined(one_region(spark, alike, rule), rule, 10**6).collect()
+    assert sorted((r["region"], r["doc_id"]) for r in kept) == [(0, i) for i in range(60)]
+
+
+def test_regions_that_pivots_cannot_split_are_compared_once(spark):
+    draw, rule = random.Random(6), jaccard.Rule()
+    texts = [" ".join(str(draw.randrange(10**6)) for _ in range(40)) for _ in range(100)]
+    small, stuck, _ = jaccard.split_large(one_region(spark, texts, rule), rule, 500)
+    assert small.count() == 0
+    assert sorted(r["doc_id"] for r in stuck.select("doc_id").collect()) == list(range(100))
+
+
+def test_copies_do_not_meet(spark, documents):
+    """Copies in other tasks: their keys tie nothing together."""
+    draw = random.Random(7)
+    texts = [" ".join(str(draw.randrange(10**6)) for _ in range(60)) for _ in range(5)]
+    rows = documents([(10 * k + i, t, "s") for k in range(6) for i, t in enumerate(texts)])
+    assert jaccard.meeting_sets(rows.repartition(6, F.floor(F.col("doc_id") / 10)), jaccard.Rule()).count() == 0
+    got = jaccard.linked_documents(rows).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(10 * k + i, i) for k in range(6) for i in range(5)}
