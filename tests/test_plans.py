@@ -370,3 +370,12 @@ def test_linear_score_and_tiers(spark):
     out = scoring.with_risk(scoring.score_linear(df, {"x": 1.0}, 0.0)).collect()
     assert [(r.attrition_probability, r.predicted_attrition, r.risk_tier) for r in out] == [
         (0.5, 0, "Medium"), (0.5, 0, "Medium"), (1.0, 1, "High")]
+
+
+def test_linear_folds_are_laid_out_once(spark, monkeypatch):
+    calls, plain = [], training.laid_out
+    monkeypatch.setattr(training, "laid_out", lambda *a, **b: calls.append(1) or plain(*a, **b))
+    rows = spark.createDataFrame([(i, i % 3 % 2, float(i % 7), float(i % 5)) for i in range(120)], "k long, attrition int, x double, y double")
+    areas = training.cross_validate(rows, training.LOGISTIC, ["x", "y"], "k", folds=2).collect()
+    assert [r["fold"] for r in areas] == [0, 1] and all(0 <= r["auc_roc"] <= 1 for r in areas)
+    assert len(calls) == 1
